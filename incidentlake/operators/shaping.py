@@ -44,8 +44,11 @@ def stamp(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
 
 
-def to_event_record(df: DataFrame) -> DataFrame:
-    """Raw rows as 25-field event records; fields the source lacks are NULL."""
+def to_event_record(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw rows as 25-field event records; fields the source lacks are NULL.
+
+    ``keep`` names source columns to carry along, such as the event time.
+    """
     df = normalize_columns(df)
 
     def source(name):
@@ -59,17 +62,18 @@ def to_event_record(df: DataFrame) -> DataFrame:
     }
     return df.select(*[
         computed.get(f, source(RENAMED_FIELDS.get(f, f))).alias(f) for f in EVENT_FIELDS
-    ])
+    ], *keep)
 
 
 def to_envelope(records: DataFrame, timestamp=None) -> DataFrame:
     """Event records as keyed JSON messages ``(key, value, timestamp)``.
 
     The key is the incident id, else the case number, else a hash of the record,
-    so equal records share a key without any global counter.
+    so equal records share a key without any global counter. ``timestamp`` is the
+    message time, by default the load time.
     """
-    body = F.struct(*records.columns)
-    content = [c for c in records.columns if c != "ingest_ts"]
+    body = F.struct(*EVENT_FIELDS)
+    content = [c for c in EVENT_FIELDS if c != "ingest_ts"]
     key = F.coalesce(
         not_blank("crime_id"), not_blank("case_number"),
         F.xxhash64(*content).cast("string"),

@@ -152,8 +152,8 @@ def typed_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelopes of all incidents, every tenth one sent twice.
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All incidents, every tenth one delivered twice.
 
     The second copy comes an hour later and says the opposite about the arrest, so
     it matters which copy survives.
@@ -163,11 +163,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "arrest": F.expr("if(arrest = 'false', 'true', 'false')"),
         "ts": F.expr("ts + interval 1 hour"),
     })
-    rows = raw.unionByName(again)
-    record = to_event_record(rows).columns
-    # the event time rides along to become the message time
-    keyed = to_event_record(rows.drop("ts")).withColumn("_ts", rows["ts"])
-    return to_envelope(keyed.select(*record, "_ts"), F.col("_ts"))
+    return raw.unionByName(again)
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries as envelopes with the event time as message time."""
+    return to_envelope(to_event_record(deliveries(spark, sf_dir), keep=["ts"]), F.col("ts"))
+
+
+def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries as bronze rows without the detour over JSON text."""
+    records = to_event_record(deliveries(spark, sf_dir), keep=["ts"])
+    return records.withColumnRenamed("ts", "kafka_timestamp").withColumn(
+        "kafka_key", F.col("crime_id"))
 
 
 MESSAGES = """

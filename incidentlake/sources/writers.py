@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.errors.exceptions.base import PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.shaping import to_envelope, to_event_record
@@ -38,9 +38,8 @@ def write_table(
     try:
         writer.save(path)
         return path
-    except PySparkException as error:
-        condition = error.getCondition() or ""
-        if fallback is None or not condition.startswith(_NO_SUCH_FORMAT):
+    except (PySparkException, Py4JJavaError) as error:
+        if fallback is None or _NO_SUCH_FORMAT not in str(error):
             raise
     return write_table(df, f"{path.rstrip('/')}_{fallback}", fallback, mode,
                        partition_by=partition_by)
@@ -53,12 +52,13 @@ def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def publish_events(
     raw: DataFrame, sink: str, target: str, limit: int | None = None, mode: str = "append",
-    timestamp=None, **options: str,
+    timestamp: str | None = None, **options: str,
 ) -> None:
     """Raw rows as keyed JSON messages to a Kafka topic or to envelope files."""
     if limit is not None:
         raw = raw.limit(limit)
-    messages = to_envelope(to_event_record(raw), timestamp)
+    keep = [timestamp] if timestamp else []
+    messages = to_envelope(to_event_record(raw, keep), F.col(timestamp) if timestamp else None)
     if sink == "kafka":
         messages.drop("timestamp").write.format("kafka").options(topic=target, **options).save()
     elif sink == "files":
@@ -72,15 +72,14 @@ def save_model(model, path: str) -> None:
 
 
 def layer_counts(spark: SparkSession, layers: dict[str, str], fmt: str = "parquet") -> DataFrame:
-    """Rows per layer; a layer that cannot be read has status NOT FOUND."""
+    """Rows per layer; a layer that is not there has status NOT FOUND."""
     def one(name, path):
-        try:
-            table = spark.read.format(fmt).load(path)
-        except AnalysisException:
+        if path_exists(spark, path):
+            rows = spark.read.format(fmt).load(path).agg(F.count("*").alias("rows"))
+            counted = rows.withColumn("status", F.lit("OK"))
+        else:
             counted = spark.range(1).select(
                 F.lit(None).cast("bigint").alias("rows"), F.lit("NOT FOUND").alias("status"))
-        else:
-            counted = table.agg(F.count("*").alias("rows")).withColumn("status", F.lit("OK"))
         return counted.select(F.lit(name).alias("layer"), "rows", "status")
 
     return reduce(DataFrame.unionByName, [one(n, p) for n, p in layers.items()])
