@@ -9,16 +9,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A failing try_cast builds and drops an exception for every bad row, which costs far
+# more than the cast. So text that cannot be a number is recognised before the cast.
+_WHOLE_PART = r"^ *[+-]?(\d+\.?\d*|\.\d+) *$"
+
+
 def tolerant_int(c) -> Column:
     """Integer from text or number; ``'1.0'`` is 1, junk and overflow are NULL."""
     c = _col(c)
-    return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+    return F.when(c.cast("string").rlike(_WHOLE_PART), c.try_cast("double").try_cast("int"))
 
 
 def tolerant_double(c) -> Column:
+    """Double from text or number; junk is NULL."""
     return _col(c).try_cast("double")
 
 
+def double_from_text(c) -> Column:
+    """``tolerant_double`` for text columns, where blank is a common way to be missing."""
+    return F.nullif(F.trim(_col(c)), F.lit("")).try_cast("double")
+
+
 def tolerant_bool(c) -> Column:
     return _col(c).try_cast("boolean")
 

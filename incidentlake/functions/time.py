@@ -12,9 +12,22 @@ from .casts import _col
 ALL_FORMATS = (ISO_FORMAT, US_FORMAT, PLAIN_FORMAT)
 
 
+# Where a format has a character the others lack. Trying a format that does not fit
+# costs an exception per row, so each one is only tried on text of its shape.
+_MARKS = {ISO_FORMAT: (11, "T"), US_FORMAT: (3, "/"), PLAIN_FORMAT: (11, " ")}
+
+
+def _attempt(c: Column, fmt: str) -> Column:
+    parsed = F.try_to_timestamp(c, F.lit(fmt))
+    if fmt not in _MARKS:
+        return parsed
+    position, mark = _MARKS[fmt]
+    return F.when(F.substring(c, position, 1) == mark, parsed)
+
+
 def parse_incident_ts(c, formats: Sequence[str] = ALL_FORMATS) -> Column:
     """Timestamp by the first format that fits, else NULL."""
-    tries = [F.try_to_timestamp(_col(c), F.lit(f)) for f in formats]
+    tries = [_attempt(_col(c), f) for f in formats]
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 

@@ -10,6 +10,19 @@ from ..functions import is_missing
 from ..schema import CITY_BOX
 
 
+def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a value in every column; NaN counts as missing.
+
+    Plain null tests, unlike ``dropna``, reach the Parquet reader.
+    """
+    kinds = dict(df.dtypes)
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+        if kinds[c] in ("double", "float"):
+            df = df.filter(~F.isnan(c))
+    return df
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """One row per key: the first in ``order_by``, which should be a total order.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.casts import _col
 from ..schema import WEEKDAYS
+from .cleaning import drop_missing
 
 
 def _keys(key) -> list[str]:
@@ -19,7 +20,7 @@ def frequency(df: DataFrame, key, drop_null_keys: bool = False) -> DataFrame:
     """Rows per key; a NULL key is a group of its own unless dropped."""
     keys = _keys(key)
     if drop_null_keys:
-        df = df.dropna(subset=keys)
+        df = drop_missing(df, keys)
     return df.groupBy(*keys).agg(F.count("*").alias("count"))
 
 
@@ -77,7 +78,7 @@ def rate_by(
     rates. All of it comes from one aggregation: the k leaders are picked from the
     grouped counts, so the input is scanned once.
     """
-    grouped = df.dropna(subset=[key]).groupBy(key).agg(
+    grouped = drop_missing(df, [key]).groupBy(key).agg(
         F.count("*").alias("count"),
         (F.avg(flag.cast("double")) * 100).alias("rate_pct"),
     )

@@ -15,6 +15,7 @@ from ..schema import (
     ISO_FORMAT, LISTED_TYPES, LOCATION_RULES, PLAIN_FORMAT, PROPERTY_TYPES,
     SHORT_LOCATION_RULES, US_FORMAT, VIOLENT_TYPES,
 )
+from .cleaning import drop_missing
 from .explore import top_k
 from .shaping import pick_col
 
@@ -186,6 +187,13 @@ def _named(df: DataFrame, field: str) -> str:
     return pick_col(df, [field, field.replace("_", " ")])
 
 
+def _integer(df: DataFrame, field: str) -> Column:
+    """The field as an integer; one that is typed already stays a bare column,
+    so a null test on it can reach the reader."""
+    name = _named(df, field)
+    return F.col(name) if dict(df.dtypes)[name] == "int" else tolerant_int(name)
+
+
 def _table_a(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     kind, place = _named(df, "primary_type"), _named(df, "location_description")
     built = {
@@ -195,14 +203,13 @@ def _table_a(df: DataFrame, keep: Sequence[str]) -> DataFrame:
         "crime_group": crime_group(kind),
         "domestic_numeric": flag(_named(df, "domestic")),
         "location_group": location_group(place),
-        **{c: tolerant_int(_named(df, c)) for c in ("district", "beat", "community_area")},
+        **{c: _integer(df, c) for c in ("district", "beat", "community_area")},
         **geo_grid(_named(df, "latitude"), _named(df, "longitude")),
     }
     built.update(time_features(built["event_ts"]))
     # label and the text groups always have a value, so only these two can be missing
-    return df.select(*keep, *[built[c].alias(c) for c in COLUMNS_A]).filter(
-        F.col("event_ts").isNotNull() & F.col("district").isNotNull()
-    )
+    rows = df.select(*keep, *[built[c].alias(c) for c in COLUMNS_A])
+    return drop_missing(rows, ["event_ts", "district"])
 
 
 def _table_b(df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -218,9 +225,9 @@ def _table_b(df: DataFrame, keep: Sequence[str]) -> DataFrame:
         **geo_grid("latitude", "longitude", missing=None),
     }
     built.update(time_features(built["event_ts"]))
-    return df.select(*keep, *[built[c].alias(c) for c in COLUMNS_B]).dropna(
-        subset=["event_ts", "lat_grid", "lon_grid_abs", "primary_type_group"]
-    )
+    rows = df.select(*keep, *[built[c].alias(c) for c in COLUMNS_B])
+    return drop_missing(
+        rows, ["event_ts", "lat_grid", "lon_grid_abs", "primary_type_group"])
 
 
 def _table_c(df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -229,7 +236,7 @@ def _table_c(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     ts = F.coalesce("crime_timestamp", parsed) if "crime_timestamp" in df.columns else parsed
     domestic = tolerant_bool("domestic").cast("int")
     arrest = tolerant_bool("arrest").cast("int")
-    return df.withColumns({
+    rows = df.withColumns({
         "ts": ts,
         "domestic_flag": domestic,
         "arrest_flag": arrest,
@@ -242,7 +249,9 @@ def _table_c(df: DataFrame, keep: Sequence[str]) -> DataFrame:
         "loc_clean": clean_upper("location_description"),
         "location_group": location_group("location_description", SHORT_LOCATION_RULES),
         "crime_group": crime_group("primary_type"),
-    }).dropna(subset=["label", "hour", "day_of_week", "month", "lat_grid"])
+    })
+    # the label always has a value and the time parts are known when the time is
+    return drop_missing(rows, ["ts", "lat_grid"])
 
 
 _TABLES = {"A": _table_a, "B": _table_b, "C": _table_c}

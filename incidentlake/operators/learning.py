@@ -114,7 +114,7 @@ def _classifiers(weighted: bool, binary: bool, forest, gbt) -> dict:
         "RandomForestClassifier": RandomForestClassifier(
             numTrees=trees, maxDepth=depth, seed=SEED, **weight),
         # boosted trees know two classes, so more of them go one against the rest
-        "GBTClassifier": boosted if binary else OneVsRest(classifier=boosted),
+        "GBTClassifier": boosted if binary else OneVsRest(classifier=boosted, parallelism=3),
         "NaiveBayes": NaiveBayes(smoothing=1.0, modelType="multinomial"),
     }
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import fill_missing_numbers
-from ..operators.density import DENSITY_FEATURES, density_cube
+from ..operators.density import DENSITY_FEATURES, density_cube, heatmap
 from ..operators.features import CATEGORICAL_C, NUMERIC_C
 from ..operators.learning import (
     auc_roc, feature_importance, feature_stages, features_for, fit_stages, label_for,
@@ -50,6 +51,7 @@ class ExperimentConfig:
     keys: list[str] | None = None  # split key; default: the whole row
     train_cap: int | None = TRAIN_CAP  # None trains on everything
     keep_models: bool = False
+    parallelism: int = 4  # models in training at the same time
     seed: int = 42
 
     @property
@@ -88,8 +90,8 @@ class _Task:
 def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
     """Train and score every model; a failing one is logged and left out.
 
-    The vectors are built once and kept for all models, and each model costs one
-    scoring job over its persisted predictions.
+    The vectors are built once and kept for all models, a few of which train at the
+    same time, and each model is scored from its persisted predictions.
     """
     spark = task.train.sparkSession
     shared = fit_stages(task.train, task.stages)
@@ -98,38 +100,52 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
         return shared.transform(df).select("features", *task.columns).persist(
             StorageLevel.MEMORY_AND_DISK)
 
-    train, test = vectors(task.train), vectors(task.test)
-    rows, fitted, failures = [], {}, {}
+    train, test = _spread(vectors(task.train)), vectors(task.test)
+    estimators = config.models or task.models
+    found, fitted, failures = {}, {}, {}
+
+    def attempt(name):
+        model = estimators[name].fit(train)
+        preds = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return model, task.score(preds)
+        finally:
+            preds.unpersist()
+
+    def finished():
+        """Report rows so far, in the order the models are listed."""
+        return [found[n] for n in estimators if n in found]
+
     try:
         params = {
             "target": config.target, "feature_count": len(task.names),
             "train_rows": train.count(), "test_rows": test.count(), **task.params,
         }
-        for name, estimator in (config.models or task.models).items():
-            preds = None
-            try:
-                model = estimator.fit(train)
-                preds = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
-                scores = task.score(preds)
-            except Exception as error:  # noqa: BLE001 - one bad model must not end the run
-                failures[name] = str(error)
-                _log(config, name, {"model_name": name, **params}, error=error)
-                continue
-            finally:
-                if preds is not None:
-                    preds.unpersist()
-            rows.append([name, *[float(scores[c]) for c in task.report[1:]]])
-            fitted[name] = model
-            _log(config, name, {"model_name": name, **params}, scores)
-            if config.out:  # after every model, so a later crash loses nothing
-                write_report(_frame(spark, rows, task.report), config.path("model_metrics"))
-                if config.keep_models:
-                    save_model(PipelineModel([*shared.stages, model]),
-                               config.path(f"models/{name}"))
+        with ThreadPoolExecutor(config.parallelism) as pool:
+            started = {pool.submit(inheritable_thread_target(spark)(attempt), n): n
+                       for n in estimators}
+            for done in as_completed(started):
+                name = started[done]
+                try:
+                    model, scores = done.result()
+                except Exception as error:  # noqa: BLE001 - one bad model must not end the run
+                    failures[name] = str(error)
+                    _log(spark, config, name, {"model_name": name, **params}, error=error)
+                    continue
+                found[name] = [name, *[float(scores[c]) for c in task.report[1:]]]
+                fitted[name] = model
+                _log(spark, config, name, {"model_name": name, **params}, scores)
+                if config.out:  # after every model, so a later crash loses nothing
+                    write_report(_frame(spark, finished(), task.report),
+                                 config.path("model_metrics"))
+                    if config.keep_models:
+                        save_model(PipelineModel([*shared.stages, model]),
+                                   config.path(f"models/{name}"))
     finally:
         train.unpersist()
         test.unpersist()
 
+    rows = finished()
     metrics = _frame(spark, rows, task.report)
     if not rows:
         return ExperimentResult(metrics, None, None, None, None, failures)
@@ -145,16 +161,30 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
     return ExperimentResult(metrics, best, cells, importance, predictions, failures)
 
 
+def _spread(train: DataFrame) -> DataFrame:
+    """The persisted frame over at least as many partitions as there are cores.
+
+    Training passes over it many times, so a small input read as one or two splits
+    is worth spreading once; larger ones are left as they are.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    rows = train.count()
+    if train.rdd.getNumPartitions() >= cores or rows < 1000 * cores:
+        return train
+    wide = train.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    wide.count()
+    train.unpersist()
+    return wide
+
+
 def _frame(spark, rows, report) -> DataFrame:
     return spark.createDataFrame(
         rows, "model string, " + ", ".join(f"{c} double" for c in report[1:]))
 
 
-def _log(config, run, params, metrics=None, error=None) -> None:
+def _log(spark, config, run, params, metrics=None, error=None) -> None:
     if config.out:
-        from pyspark.sql import SparkSession
-        log_run(SparkSession.active(), config.path("runs"), config.name, run,
-                params, metrics, error)
+        log_run(spark, config.path("runs"), config.name, run, params, metrics, error)
 
 
 def _scores(one_row: DataFrame) -> dict:
@@ -205,7 +235,6 @@ def run_density(
         DENSITY_REPORT, "r2", False, {},
     ))
     if config.out:
-        from ..operators.density import heatmap
         write_report(heatmap(cube), config.path("heatmap_data"))
     return result
 

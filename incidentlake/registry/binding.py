@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import parse_incident_ts, tolerant_double, tolerant_int
+from ..functions import double_from_text, parse_incident_ts, tolerant_int
 from ..operators.shaping import to_envelope, to_event_record
 
 # Skewed by construction: the first names are by far the most frequent.
@@ -146,7 +146,7 @@ def with_incidents(sql: str) -> str:
 def typed_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents with numbers and ``date_ts`` typed, categories as they came."""
     numbers = {c: tolerant_int(F.trim(c)) for c in ("district", "beat", "ward", "community_area")}
-    places = {c: tolerant_double(c) for c in ("latitude", "longitude")}
+    places = {c: double_from_text(c) for c in ("latitude", "longitude")}
     return incidents(spark, sf_dir).withColumns({
         **numbers, **places, "date_ts": parse_incident_ts("date", ("yyyy-MM-dd'T'HH:mm:ss.SSS", "MM/dd/yyyy hh:mm:ss a")),
     })

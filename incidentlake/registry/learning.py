@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators.density import heatmap
 from ..operators.features import CATEGORICAL_A, feature_table
-from ..operators.learning import feature_stages, features_for, fit_stages, label_for
+from ..operators.learning import (
+    feature_stages, features_for, fit_stages, label_for, model_zoo,
+)
 from ..operators.metrics import confusion
 from ..plans.experiments import ExperimentConfig, run_binary, run_density, run_protocol
 from ..session import scratch_dir
@@ -123,9 +125,10 @@ def density_experiment(spark, sf_dir):
 
 
 def predicted_heatmap(spark, sf_dir):
-    """Mean predicted count per cell by the best regressor."""
+    """Mean predicted count per cell by boosted trees."""
+    boosted = {"GBTRegressor": model_zoo("density")["GBTRegressor"]}
     result = run_density(
-        typed_incidents(spark, sf_dir), ExperimentConfig("density"), "date_ts")
+        typed_incidents(spark, sf_dir), ExperimentConfig("density", models=boosted), "date_ts")
     return heatmap(result.predictions, "prediction")
 
 
