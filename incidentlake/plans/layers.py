@@ -58,8 +58,13 @@ def unique(df: DataFrame) -> DataFrame:
 
 
 def to_silver(bronze: DataFrame, blank_as_null: bool = False) -> DataFrame:
-    """Typed rows with id and type, one per id."""
-    return unique(complete(typed(bronze, blank_as_null)))
+    """Typed rows with id and type, one per id.
+
+    Trimming keeps a value a value, so missing ones are dropped on the raw columns,
+    where the test reaches the reader.
+    """
+    rows = typed(complete(bronze), blank_as_null)
+    return unique(complete(rows) if blank_as_null else rows)
 
 
 def to_gold(silver: DataFrame) -> DataFrame:
