@@ -14,10 +14,12 @@ WINDOW = ["hour_of_day", "day_of_week", "month_num"]
 DENSITY_FEATURES = [*CELL, *WINDOW, "is_weekend", "is_night"]
 
 
-def density_cube(df: DataFrame, ts: str = "crime_timestamp") -> DataFrame:
+def density_cube(
+    df: DataFrame, ts: str = "crime_timestamp", at_least: int = 1
+) -> DataFrame:
     """Incidents per cell, hour, weekday and month; rows without place or time drop out.
 
-    The weekend and night flags follow from hour and weekday, so they are added to
+    ``at_least`` leaves out windows with fewer incidents. The weekend and night flags follow from hour and weekday, so they are added to
     the groups instead of widening the grouping key.
     """
     keyed = df.filter(F.col("latitude").isNotNull() & F.col(ts).isNotNull()).select(
@@ -26,9 +28,11 @@ def density_cube(df: DataFrame, ts: str = "crime_timestamp") -> DataFrame:
         F.dayofweek(ts).alias("day_of_week"),
         F.month(ts).alias("month_num"),
     ).filter("lat_grid != 0.0")
+    counts = keyed.groupBy(*CELL, *WINDOW).agg(F.count("*").alias("crime_count"))
+    if at_least > 1:  # a group never has fewer than one row
+        counts = counts.filter(F.col("crime_count") >= at_least)
     return (
-        keyed.groupBy(*CELL, *WINDOW).agg(F.count("*").alias("crime_count"))
-        .withColumns({
+        counts.withColumns({
             "is_weekend": weekend_flag("day_of_week"),
             "is_night": night_flag("hour_of_day"),
         })

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import short_model_name
@@ -105,6 +106,11 @@ def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.withColumn("pct", 100.0 * F.col("count") / total)
 
 
+def positive_score(probability: str = "probability") -> Column:
+    """Probability of class 1 out of the probability vector."""
+    return vector_to_array(F.col(probability)).getItem(1)
+
+
 def roc_points(
     preds: DataFrame, score: Column | str = "score", label: str = "label",
     thresholds: int = 100, by: Sequence[str] = (),

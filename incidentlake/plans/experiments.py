@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -17,7 +18,9 @@ from ..operators.learning import (
     auc_roc, feature_importance, feature_stages, features_for, fit_stages, label_for,
     model_zoo, with_class_weights,
 )
-from ..operators.metrics import classification_metrics, confusion, regression_metrics
+from ..operators.metrics import (
+    classification_metrics, confusion, positive_score, regression_metrics, roc_points,
+)
 from ..operators.sampling import cap_rows, split
 from ..sources.runlog import log_run
 from ..sources.writers import save_model, write_report
@@ -70,6 +73,8 @@ class ExperimentResult:
     importance: DataFrame | None
     predictions: DataFrame | None  # of the best model, lazy
     failures: dict[str, str] = field(default_factory=dict)
+    models: dict[str, PipelineModel] = field(default_factory=dict)
+    test: DataFrame | None = None  # the rows the models were scored on
 
 
 @dataclass
@@ -151,14 +156,27 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
         return ExperimentResult(metrics, None, None, None, None, failures)
     at = task.report.index(task.best_by)
     best = max(rows, key=lambda r: r[at])[0]  # the first of equals, as listed
-    predictions = PipelineModel([*shared.stages, fitted[best]]).transform(task.test)
+    models = {n: PipelineModel([*shared.stages, fitted[n]]) for n in estimators if n in fitted}
+    predictions = models[best].transform(task.test)
     cells = confusion(predictions).orderBy("label", "prediction") if task.classes else None
     importance = feature_importance(spark, fitted[best], task.names)
     if config.out:
         if cells is not None:
             write_report(cells, config.path("confusion_matrix_best_model"))
         write_report(importance, config.path("feature_importance_best_model"))
-    return ExperimentResult(metrics, best, cells, importance, predictions, failures)
+    return ExperimentResult(
+        metrics, best, cells, importance, predictions, failures, models, task.test)
+
+
+def roc_curves(result: ExperimentResult, thresholds: int = 100) -> DataFrame:
+    """ROC points of every model that gives probabilities, in one aggregation."""
+    scored = []
+    for name, model in result.models.items():
+        preds = model.transform(result.test)
+        if "probability" in preds.columns:
+            scored.append(preds.select(
+                F.lit(name).alias("model"), "label", positive_score().alias("score")))
+    return roc_points(reduce(DataFrame.unionByName, scored), thresholds=thresholds, by=["model"])
 
 
 def _spread(train: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators.density import heatmap
 from ..operators.features import CATEGORICAL_A, feature_table
@@ -14,7 +14,9 @@ from ..operators.learning import (
     feature_stages, features_for, fit_stages, label_for, model_zoo,
 )
 from ..operators.metrics import confusion
-from ..plans.experiments import ExperimentConfig, run_binary, run_density, run_protocol
+from ..plans.experiments import (
+    ExperimentConfig, roc_curves, run_binary, run_density, run_protocol,
+)
 from ..session import scratch_dir
 from ..sources import read_runs, save_model
 from .binding import incidents, table, typed_incidents, with_incidents
@@ -120,6 +122,20 @@ def _experiment(target):
     return query
 
 
+def model_roc_curves(spark, sf_dir):
+    """ROC points of two trained models; both ends of every curve are checked in SQL."""
+    zoo = model_zoo("binary")
+    models = {n: zoo[n] for n in ("LogisticRegression", "NaiveBayes")}
+    result = run_binary(
+        _table_a(spark, sf_dir), ExperimentConfig("arrest", models=models, keys=["id"]))
+    points = roc_curves(result)
+    rising = Window.partitionBy("model").orderBy(F.desc("threshold_no"))
+    before = F.coalesce(F.lag("tpr").over(rising), F.lit(0.0))
+    return points.withColumn("step", F.col("tpr") - before).groupBy("model").agg(
+        F.count("*").alias("points"), F.max("tpr").alias("top"),
+        F.count_if(F.col("step") < 0).alias("falling"))
+
+
 def density_experiment(spark, sf_dir):
     return run_density(typed_incidents(spark, sf_dir), ExperimentConfig("density"), "date_ts").metrics
 
@@ -176,6 +192,9 @@ SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
     "experiment_reports": (experiment_reports, """
 SELECT 'exp01_arrest_classification' AS experiment, 'NaiveBayes' AS run, 6 AS metrics, 0 AS errors
 UNION ALL SELECT 'exp01_arrest_classification', 'Broken', 0, 1"""),
+    "model_roc_curves": (model_roc_curves, """
+SELECT 'LogisticRegression' AS model, 100 AS points, 1.0::DOUBLE AS top, 0 AS falling
+UNION ALL SELECT 'NaiveBayes', 100, 1.0::DOUBLE, 0"""),
     "experiment_arrest": (_experiment("arrest"), None),
     "experiment_domestic": (_experiment("domestic"), None),
     "experiment_crime_group": (_experiment("crime_group"), None),

@@ -107,6 +107,7 @@ def test_cube_and_heatmap(frame):
     assert sorted(tuple(r) for r in cube.collect()) == sorted([
         (41.88, 87.63, 23, 7, 1, 1, 1, 2), (41.88, 0.0, 23, 7, 1, 1, 1, 1),
         (41.88, 87.63, 6, 3, 2, 0, 0, 1)])
+    assert density.density_cube(df, at_least=2).collect() == cube.filter("crime_count >= 2").collect()
     cells = density.heatmap(cube)
     assert cells.agg(F.sum("time_windows")).first()[0] == cube.count()
     assert cells.filter("lon_grid_abs = 87.63").first()[:] == (41.88, 87.63, 2, 1.5)
