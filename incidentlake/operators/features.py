@@ -52,8 +52,15 @@ def with_time_features(df: DataFrame, ts, names: Sequence[str] = TIME_NAMES) ->
     return df.withColumns(time_features(ts, names))
 
 
-def crime_group(primary_type) -> Column:
-    kind = clean_upper(primary_type)
+# The group functions look at their text several times. A caller that has cleaned it in
+# an earlier projection passes ``cleaned=True``, so it is trimmed and upper-cased once.
+
+def _text(c, cleaned: bool) -> Column:
+    return _col(c) if cleaned else clean_upper(c)
+
+
+def crime_group(primary_type, cleaned: bool = False) -> Column:
+    kind = _text(primary_type, cleaned)
     return (
         F.when(kind.isin(VIOLENT_TYPES), "VIOLENT")
         .when(kind.isin(PROPERTY_TYPES), "PROPERTY")
@@ -77,8 +84,10 @@ def with_crime_group_lookup(df: DataFrame, primary_type: str, groups: DataFrame)
     )
 
 
-def type_group(primary_type, allowed: Sequence[str] = LISTED_TYPES) -> Column:
-    kind = clean_upper(primary_type)
+def type_group(
+    primary_type, allowed: Sequence[str] = LISTED_TYPES, cleaned: bool = False
+) -> Column:
+    kind = _text(primary_type, cleaned)
     return F.when(kind.isin(list(allowed)), kind).otherwise("OTHER")
 
 
@@ -99,8 +108,8 @@ def with_type_group_top_k(
     )
 
 
-def location_group(location, rules=LOCATION_RULES) -> Column:
-    text = clean_upper(location)
+def location_group(location, rules=LOCATION_RULES, cleaned: bool = False) -> Column:
+    text = _text(location, cleaned)
     # coalesce of single-rule cases: the first rule whose word occurs decides
     hits = [F.when(text.contains(word), F.lit(group)) for word, group in rules]
     return F.coalesce(*hits, F.lit("OTHER"))
@@ -195,14 +204,18 @@ def _integer(df: DataFrame, field: str) -> Column:
 
 
 def _table_a(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    kind, place = _named(df, "primary_type"), _named(df, "location_description")
+    df = df.withColumns({
+        "_kind": clean_upper(_named(df, "primary_type")),
+        "_place": clean_upper(_named(df, "location_description")),
+        "_ts": _source_ts(df, (ISO_FORMAT, US_FORMAT)),
+    })
     built = {
-        "event_ts": _source_ts(df, (ISO_FORMAT, US_FORMAT)),
+        "event_ts": F.col("_ts"),
         "label": binary_label(_named(df, "arrest")),
-        "primary_type_group": type_group(kind),
-        "crime_group": crime_group(kind),
+        "primary_type_group": type_group("_kind", cleaned=True),
+        "crime_group": crime_group("_kind", cleaned=True),
         "domestic_numeric": flag(_named(df, "domestic")),
-        "location_group": location_group(place),
+        "location_group": location_group("_place", cleaned=True),
         **{c: _integer(df, c) for c in ("district", "beat", "community_area")},
         **geo_grid(_named(df, "latitude"), _named(df, "longitude")),
     }
@@ -213,14 +226,17 @@ def _table_a(df: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 
 def _table_b(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    df = with_type_group_top_k(df, "primary_type", 10, normalise=False)
+    df = with_type_group_top_k(df, "primary_type", 10, normalise=False).withColumns({
+        "_place": clean_upper("location_description"),
+        "_ts": _source_ts(df, (ISO_FORMAT, US_FORMAT, PLAIN_FORMAT)),
+    })
     built = {
-        "event_ts": _source_ts(df, (ISO_FORMAT, US_FORMAT, PLAIN_FORMAT)),
+        "event_ts": F.col("_ts"),
         "label": binary_label("arrest"),
         "domestic_numeric": flag("domestic"),
         "geo_available": geo_available("latitude", "longitude"),
         "primary_type_group": F.col("primary_type_group"),
-        "location_group": location_group("location_description", SHORT_LOCATION_RULES),
+        "location_group": location_group("_place", SHORT_LOCATION_RULES, cleaned=True),
         "district_group": district_group("district"),
         **geo_grid("latitude", "longitude", missing=None),
     }
@@ -234,22 +250,22 @@ def _table_c(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     df = with_type_group_top_k(df, "primary_type", 10)
     parsed = parse_incident_ts("date", (ISO_FORMAT, US_FORMAT))
     ts = F.coalesce("crime_timestamp", parsed) if "crime_timestamp" in df.columns else parsed
-    domestic = tolerant_bool("domestic").cast("int")
-    arrest = tolerant_bool("arrest").cast("int")
     rows = df.withColumns({
         "ts": ts,
-        "domestic_flag": domestic,
-        "arrest_flag": arrest,
-        "label": protocol_label(domestic, arrest),
-        **time_features(ts),
+        "domestic_flag": tolerant_bool("domestic").cast("int"),
+        "arrest_flag": tolerant_bool("arrest").cast("int"),
+        "loc_clean": clean_upper("location_description"),
+        "_kind": clean_upper("primary_type"),
+    }).withColumns({
+        "label": protocol_label("domestic_flag", "arrest_flag"),
+        **time_features("ts"),
         **geo_grid("latitude", "longitude"),
         "community_area": numeric_or_zero("community_area"),
         "beat_num": numeric_or_zero("beat"),
         "district_num": numeric_or_zero("district"),
-        "loc_clean": clean_upper("location_description"),
-        "location_group": location_group("location_description", SHORT_LOCATION_RULES),
-        "crime_group": crime_group("primary_type"),
-    })
+        "location_group": location_group("loc_clean", SHORT_LOCATION_RULES, cleaned=True),
+        "crime_group": crime_group("_kind", cleaned=True),
+    }).drop("_kind")
     # the label always has a value and the time parts are known when the time is
     return drop_missing(rows, ["ts", "lat_grid"])
 

@@ -162,8 +162,10 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
     importance = feature_importance(spark, fitted[best], task.names)
     if config.out:
         if cells is not None:
-            write_report(cells, config.path("confusion_matrix_best_model"))
-        write_report(importance, config.path("feature_importance_best_model"))
+            write_report(cells, config.path("confusion_matrix_best_model"),
+                         order_by=("label", "prediction"))
+        write_report(importance, config.path("feature_importance_best_model"),
+                     order_by=(F.desc("importance"), "feature"))
     return ExperimentResult(
         metrics, best, cells, importance, predictions, failures, models, task.test)
 
@@ -253,7 +255,7 @@ def run_density(
         DENSITY_REPORT, "r2", False, {},
     ))
     if config.out:
-        write_report(heatmap(cube), config.path("heatmap_data"))
+        write_report(heatmap(cube), config.path("heatmap_data"), parts=None)
     return result
 
 

@@ -99,6 +99,6 @@ SELECT least(count(*), {MAP_POINTS}) AS points, least(count(*), {MAP_POINTS}) AS
 WHERE {_IN_BOX} AND primary_type IN (SELECT p FROM t)""")),
     "map_point_counts": (map_point_counts, with_incidents(f"""
 WITH {_TOP6}
-SELECT primary_type, count(*) AS count, count_if(arrest_loose) AS arrests FROM inc
+SELECT primary_type, count(*) AS count, count(*) FILTER (WHERE arrest_loose) AS arrests FROM inc
 WHERE {_IN_BOX} AND primary_type IN (SELECT p FROM t) GROUP BY 1""")),
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import is_true_bool, is_true_loose
 from ..operators.cleaning import in_bbox, missing_profile
 from ..operators.explore import (
-    busiest_quietest, correlation, distinct_values, filter_top_k, frequency, histogram,
+    QUANTILE_ACCURACY, busiest_quietest, correlation, distinct_values, filter_top_k, frequency, histogram,
     profile, rate_by, share, top_k, value_range, weekday_hour_matrix,
 )
 from ..operators.features import feature_table
@@ -114,11 +114,24 @@ def lineitem_profile(spark, sf_dir):
         F.round(c, 6).alias(c) for c in ("mean", "stddev", "min", "max")])
 
 
+QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+
+
 def lineitem_quartiles(spark, sf_dir):
-    # columns of few distinct values: there the sketch meets the exact quantile
-    return profile(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount", "l_tax"],
-                   ["count", "min", "25%", "50%", "75%", "max"]).toDF(
-        "column", "count", "min", "q1", "median", "q3", "max")
+    """Quartiles of the sketch have a rank within its promised error on every column."""
+    lines = table(spark, sf_dir, "lineitem").select(*_PROFILED)
+    found = profile(lines, _PROFILED, list(QUARTILES)).agg(F.map_from_entries(
+        F.collect_list(F.struct("column", F.struct(*QUARTILES))))).scalar()
+    slack = 1 / QUANTILE_ACCURACY
+    checks = []
+    for c in _PROFILED:
+        for name, q in QUARTILES.items():
+            value, rows = found[c][name], F.count(c)
+            near = (F.count_if(F.col(c) < value) <= (q + slack) * rows) & (
+                F.count_if(F.col(c) <= value) >= (q - slack) * rows)
+            checks.append(F.struct(F.lit(c).alias("column"), F.lit(name).alias("quantile"),
+                                   rows.alias("rows"), near.alias("near")))
+    return lines.agg(F.array(*checks).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
 _CORRELATED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -181,7 +194,7 @@ def weekday_hour_grid(spark, sf_dir):
 
 def _matrix_sql():
     cells = ", ".join(
-        f"count_if(date_ts IS NOT NULL AND hour(date_ts) = {h}) AS h{h:02d}" for h in range(24))
+        f"count(*) FILTER (WHERE date_ts IS NOT NULL AND hour(date_ts) = {h}) AS h{h:02d}" for h in range(24))
     return with_incidents(f"""
 WITH days AS (SELECT * FROM (VALUES (1, 'Monday'), (2, 'Tuesday'), (3, 'Wednesday'),
   (4, 'Thursday'), (5, 'Friday'), (6, 'Saturday'), (7, 'Sunday')) t(position, day))
@@ -233,7 +246,7 @@ WITH {top('primary_type', 'k')}, {top("strftime(date_ts, '%H:00')", 'h', k=2)},
 m AS (SELECT "column" AS c, null_pct FROM ({_missing_sql().split('AS date_ts FROM iso)', 1)[1]})
   ORDER BY null_count DESC, c LIMIT 1),
 t AS (SELECT count(*) AS n, min(year(date_ts)) AS y0, max(year(date_ts)) AS y1,
-  count_if(arrest_b) AS a, count_if(domestic_b) AS dv FROM inc)
+  count(*) FILTER (WHERE arrest_b) AS a, count(*) FILTER (WHERE domestic_b) AS dv FROM inc)
 SELECT 1 AS position, 'Record count' AS finding, n || ' rows' AS detail FROM t
 UNION ALL SELECT 2, 'Years in sample', y0 || '-' || y1 FROM t
 UNION ALL SELECT 3, 'Busiest calendar day', v || ' (' || n || ' incidents)' FROM d
@@ -294,10 +307,8 @@ UNION ALL SELECT 'o_orderdate', count(DISTINCT o_orderdate) FROM orders"""),
         f"round(stddev_samp({c}), 6) AS stddev, round(min({c}), 6) AS min, round(max({c}), 6) AS max "
         "FROM lineitem" for c in _PROFILED)),
     "lineitem_quartiles": (lineitem_quartiles, "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column, count({c})::DOUBLE AS count, min({c}) AS min, "
-        f"quantile_disc({c}, 0.25) AS q1, quantile_disc({c}, 0.5) AS median, "
-        f"quantile_disc({c}, 0.75) AS q3, max({c}) AS max FROM lineitem"
-        for c in ("l_quantity", "l_discount", "l_tax"))),
+        f"SELECT '{c}' AS column, '{q}' AS quantile, count({c}) AS rows, true AS near FROM lineitem"
+        for c in _PROFILED for q in QUARTILES)),
     "lineitem_correlation": (lineitem_correlation, _corr_sql({c: c for c in _CORRELATED}, "lineitem")),
     "incident_correlation": (incident_correlation, with_incidents(_corr_sql(
         {"latitude": "lat", "longitude": "lon", "beat": "beat_n", "ward": "ward_n"}, "inc"))),
@@ -313,10 +324,10 @@ SELECT (SELECT day FROM d ORDER BY n DESC, day LIMIT 1) AS busiest_day, max(n) A
   round(avg(n), 6) AS mean_per_day FROM d""")),
     "weekday_hour_matrix": (weekday_hour_grid, _matrix_sql()),
     "flag_shares": (shares, with_incidents("""
-SELECT 'arrest' AS flag, count(*) AS rows, count_if(arrest_b) AS matching,
-  round(100.0::DOUBLE * count_if(arrest_b) / count(*), 6) AS pct FROM inc
-UNION ALL SELECT 'domestic', count(*), count_if(domestic_b),
-  round(100.0::DOUBLE * count_if(domestic_b) / count(*), 6) FROM inc""")),
+SELECT 'arrest' AS flag, count(*) AS rows, count(*) FILTER (WHERE arrest_b) AS matching,
+  round(100.0::DOUBLE * count(*) FILTER (WHERE arrest_b) / count(*), 6) AS pct FROM inc
+UNION ALL SELECT 'domestic', count(*), count(*) FILTER (WHERE domestic_b),
+  round(100.0::DOUBLE * count(*) FILTER (WHERE domestic_b) / count(*), 6) FROM inc""")),
     "return_rate_by_status": (return_rate_by_status, """
 WITH g AS (SELECT l_linestatus, count(*) AS count,
   100 * avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS r FROM lineitem GROUP BY 1)

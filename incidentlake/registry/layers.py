@@ -77,7 +77,7 @@ def malformed_json(spark, sf_dir):
 
 MALFORMED_SQL = with_incidents(f"""
 WITH {MESSAGES}
-SELECT count(*) AS messages, count_if(CAST(id AS BIGINT) % 10 <> 3) AS with_id,
+SELECT count(*) AS messages, count(*) FILTER (WHERE CAST(id AS BIGINT) % 10 <> 3) AS with_id,
   count(*) AS with_text
 FROM sent""")
 
@@ -178,7 +178,7 @@ def silver_audit(spark, sf_dir):
 
 AUDIT_SQL = with_incidents(f"""
 WITH {MESSAGES}
-SELECT count(*) AS rows_before, count_if(id IS NOT NULL AND kind IS NOT NULL) AS rows_complete,
+SELECT count(*) AS rows_before, count(*) FILTER (WHERE id IS NOT NULL AND kind IS NOT NULL) AS rows_complete,
   count(DISTINCT CASE WHEN kind IS NOT NULL THEN id END) AS rows_unique
 FROM sent""")
 
@@ -196,9 +196,9 @@ def silver_blank_ids(spark, sf_dir):
 
 
 BLANK_SQL = with_incidents("""
-SELECT 'blank is a value' AS rule, count_if(CAST(id AS BIGINT) % 3 <> 0) + 1 AS rows FROM inc
+SELECT 'blank is a value' AS rule, count(*) FILTER (WHERE CAST(id AS BIGINT) % 3 <> 0) + 1 AS rows FROM inc
 UNION ALL
-SELECT 'blank is missing', count_if(CAST(id AS BIGINT) % 3 <> 0) FROM inc""")
+SELECT 'blank is missing', count(*) FILTER (WHERE CAST(id AS BIGINT) % 3 <> 0) FROM inc""")
 
 
 def _mart(name):

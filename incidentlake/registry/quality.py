@@ -31,14 +31,14 @@ def predictions(spark, sf_dir):
 _PREDICTIONS = f"""
 p AS (
   SELECT ([{', '.join(repr(m) for m in MODELS)}])[l_orderkey % 4 + 1] AS model,
-    CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS label,
-    CASE WHEN l_quantity < 10 + l_orderkey % 4 THEN 0 WHEN l_discount < 0.05::DOUBLE THEN 1 ELSE 2 END
-      AS prediction
+    CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS DOUBLE) AS label,
+    CAST(CASE WHEN l_quantity < 10 + l_orderkey % 4 THEN 0 WHEN l_discount < 0.05::DOUBLE THEN 1 ELSE 2 END
+      AS DOUBLE) AS prediction
   FROM lineitem),
-cls AS (SELECT range AS class FROM range(3)),
+cls AS (SELECT range::DOUBLE AS class FROM range(3)),
 pc AS (
-  SELECT m.model, class, count_if(label = class) AS actual, count_if(prediction = class) AS predicted,
-    count_if(label = class AND prediction = class) AS tp
+  SELECT m.model, class, count(*) FILTER (WHERE label = class) AS actual, count(*) FILTER (WHERE prediction = class) AS predicted,
+    count(*) FILTER (WHERE label = class AND prediction = class) AS tp
   FROM cls, p AS m WHERE true GROUP BY 1, 2),
 rates AS (
   SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision,
@@ -189,9 +189,9 @@ QUERIES = {
     "confusion": (confusion_counts, _sql(
         "SELECT model, label, prediction, count(*) AS count FROM p GROUP BY ALL")),
     "confusion_matrix": (dense_confusion, _sql("""
-SELECT m.model, range AS label, count_if(label = range AND prediction = 0) AS pred_0,
-  count_if(label = range AND prediction = 1) AS pred_1,
-  count_if(label = range AND prediction = 2) AS pred_2, 0 AS pred_3
+SELECT m.model, range::DOUBLE AS label, count(*) FILTER (WHERE label = range AND prediction = 0) AS pred_0,
+  count(*) FILTER (WHERE label = range AND prediction = 1) AS pred_1,
+  count(*) FILTER (WHERE label = range AND prediction = 2) AS pred_2, 0 AS pred_3
 FROM range(4), p AS m GROUP BY 1, 2""")),
     "class_quality": (class_quality, _sql("""
 SELECT model, class, actual, predicted, tp, round(precision, 6) AS precision,
@@ -226,14 +226,14 @@ WITH s AS (SELECT event_type AS model, CAST(json_extract_string(props, '$.k') AS
   value / 500 AS score FROM events),
 t AS (SELECT CAST(range AS INT) AS threshold_no,
   CASE WHEN range = 99 THEN 1.0::DOUBLE ELSE range * (1.0::DOUBLE / 99) END AS edge FROM range(100)),
-c AS (SELECT model, threshold_no, count_if(hit AND score >= edge) AS tp,
-  count_if(NOT hit AND score >= edge) AS fp, count_if(hit) AS p, count_if(NOT hit) AS n
+c AS (SELECT model, threshold_no, count(*) FILTER (WHERE hit AND score >= edge) AS tp,
+  count(*) FILTER (WHERE NOT hit AND score >= edge) AS fp, count(*) FILTER (WHERE hit) AS p, count(*) FILTER (WHERE NOT hit) AS n
   FROM s, t GROUP BY 1, 2)
 SELECT model, threshold_no, tp, fp, round(tp / p, 6) AS tpr, round(fp / n, 6) AS fpr FROM c"""),
     "auc_roc": (area_under_roc, """
 WITH s AS (SELECT CAST(json_extract_string(props, '$.k') AS INT) < 15 AS hit,
   floor(value / 500 * 100) AS score FROM events),
-g AS (SELECT score, count_if(hit) AS p, count_if(NOT hit) AS n FROM s GROUP BY 1),
+g AS (SELECT score, count(*) FILTER (WHERE hit) AS p, count(*) FILTER (WHERE NOT hit) AS n FROM s GROUP BY 1),
 w AS (SELECT p, n, sum(n) OVER (ORDER BY score) - n AS below FROM g)
 SELECT round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 6) AS auc FROM w"""),
     "class_distribution_binary": (arrest_distribution, with_incidents(f"WITH {_ARREST}\n{_DISTRIBUTION}")),

@@ -45,9 +45,21 @@ def write_table(
                        partition_by=partition_by)
 
 
-def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A report of few rows as one CSV with a header, in the frame's column order."""
-    df.coalesce(1).write.mode(mode).csv(path, header=True)
+def write_report(
+    df: DataFrame, path: str, order_by: tuple = (), parts: int | None = 1,
+    mode: str = "overwrite",
+) -> None:
+    """A report as CSV with a header, in the frame's column order.
+
+    A report has few rows and goes into one file. With ``order_by`` its rows are
+    computed in parallel and only then gathered and sorted. ``parts=None`` leaves
+    larger results in as many files as they have partitions.
+    """
+    if order_by:
+        df = df.repartition(1).sortWithinPartitions(*order_by)
+    elif parts is not None:
+        df = df.coalesce(parts)
+    df.write.mode(mode).csv(path, header=True)
 
 
 def publish_events(
