@@ -118,7 +118,10 @@ QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
 def lineitem_quartiles(spark, sf_dir):
-    """Quartiles of the sketch have a rank within its promised error on every column."""
+    """Quartiles of the sketch have a rank within its promised error on every column.
+
+    Spark promises floor((q - e) N) <= rank <= ceil((q + e) N).
+    """
     lines = table(spark, sf_dir, "lineitem").select(*_PROFILED)
     found = profile(lines, _PROFILED, list(QUARTILES)).agg(F.map_from_entries(
         F.collect_list(F.struct("column", F.struct(*QUARTILES))))).scalar()
@@ -127,8 +130,8 @@ def lineitem_quartiles(spark, sf_dir):
     for c in _PROFILED:
         for name, q in QUARTILES.items():
             value, rows = found[c][name], F.count(c)
-            near = (F.count_if(F.col(c) < value) <= (q + slack) * rows) & (
-                F.count_if(F.col(c) <= value) >= (q - slack) * rows)
+            near = (F.count_if(F.col(c) < value) <= F.ceil((q + slack) * rows)) & (
+                F.count_if(F.col(c) <= value) >= F.floor((q - slack) * rows))
             checks.append(F.struct(F.lit(c).alias("column"), F.lit(name).alias("quantile"),
                                    rows.alias("rows"), near.alias("near")))
     return lines.agg(F.array(*checks).alias("c")).select(F.explode("c").alias("c")).select("c.*")
