@@ -12,7 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import fill_missing_numbers
-from ..operators.density import DENSITY_FEATURES, density_cube, heatmap
+from ..operators.density import CELL, DENSITY_FEATURES, WINDOW, density_cube, heatmap
 from ..operators.features import CATEGORICAL_C, NUMERIC_C
 from ..operators.learning import (
     auc_roc, feature_importance, feature_stages, features_for, fit_stages, label_for,
@@ -243,20 +243,25 @@ def run_binary(features: DataFrame, config: ExperimentConfig) -> ExperimentResul
 def run_density(
     silver: DataFrame, config: ExperimentConfig, ts: str = "crime_timestamp"
 ) -> ExperimentResult:
-    """Five regressors on the count per cell and time window; best by R2."""
-    cube = density_cube(silver, ts)
-    train, test = split(cube, ["lat_grid", "lon_grid_abs", "hour_of_day", "day_of_week",
-                               "month_num"], seed=config.seed)
-    stages, names = feature_stages([], DENSITY_FEATURES)
-    result = _run(config, _Task(
-        train, test, stages, names, ["crime_count", *DENSITY_FEATURES[:2]],
-        model_zoo("density"),
-        lambda preds: _scores(regression_metrics(preds, "crime_count")),
-        DENSITY_REPORT, "r2", False, {},
-    ))
-    if config.out:
-        write_report(heatmap(cube), config.path("heatmap_data"), parts=None)
-    return result
+    """Five regressors on the count per cell and time window; best by R2.
+
+    The cube is far smaller than the incidents and feeds the training part, the test
+    part and the heatmap, so it is kept while they are built.
+    """
+    cube = density_cube(silver, ts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, test = split(cube, [*CELL, *WINDOW], seed=config.seed)
+        stages, names = feature_stages([], DENSITY_FEATURES)
+        result = _run(config, _Task(
+            train, test, stages, names, ["crime_count", *CELL], model_zoo("density"),
+            lambda preds: _scores(regression_metrics(preds, "crime_count")),
+            DENSITY_REPORT, "r2", False, {},
+        ))
+        if config.out:
+            write_report(heatmap(cube), config.path("heatmap_data"), parts=None)
+        return result
+    finally:
+        cube.unpersist()
 
 
 def run_protocol(features: DataFrame, config: ExperimentConfig) -> ExperimentResult:

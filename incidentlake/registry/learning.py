@@ -19,7 +19,7 @@ from ..plans.experiments import (
 )
 from ..session import scratch_dir
 from ..sources import read_runs, save_model
-from .binding import incidents, table, typed_incidents, with_incidents
+from .binding import incidents, table, typed_incidents
 from .features import FEATURES_A_SQL
 
 

@@ -7,6 +7,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
+from incidentlake.operators.density import density_cube, heatmap
 from incidentlake.operators.features import feature_table
 from incidentlake.operators.learning import (
     feature_importance, feature_stages, fit_stages, label_for, model_zoo,
@@ -15,6 +16,7 @@ from incidentlake.plans.experiments import (
     BINARY_REPORT, ExperimentConfig, run_binary, run_density, run_protocol,
 )
 from incidentlake.registry.binding import incidents, typed_incidents
+from incidentlake.schema import HEATMAP_SCHEMA
 from incidentlake.sources import read_report, read_runs
 
 
@@ -68,11 +70,15 @@ def test_all_models_failing(table_a):
     assert result.best is None and result.metrics.count() == 0
 
 
-def test_density_run(spark, sf_dir):
+def test_density_run(spark, sf_dir, tmp_path):
     models = {"Tree": DecisionTreeRegressor(maxDepth=2, labelCol="crime_count")}
-    result = run_density(
-        typed_incidents(spark, sf_dir), ExperimentConfig("density", models=models), "date_ts")
+    config = ExperimentConfig("density", out=str(tmp_path), models=models)
+    incidents_ = typed_incidents(spark, sf_dir)
+    result = run_density(incidents_, config, "date_ts")
     assert result.metrics.first()["rmse"] >= 0 and result.importance.count() == 7
+    cells = read_report(spark, config.path("heatmap_data"), HEATMAP_SCHEMA)
+    assert sorted(cells.collect()) == sorted(heatmap(density_cube(incidents_, "date_ts")).collect())
+    assert heatmap(result.predictions, "prediction").count() > 0
 
 
 def test_protocol_run(spark, sf_dir):
