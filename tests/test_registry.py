@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from incidentlake.registry import collect
 from tools.compare import connect, differences
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {name: query for name, (query, _) in collect().items()}
+SQL = {name: sql for name, (_, sql) in collect().items() if sql is not None}
 
 
 @pytest.fixture(scope="module")
