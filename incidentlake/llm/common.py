@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -50,3 +50,15 @@ def rename(df: DataFrame, **names: str) -> DataFrame:
     Other columns of the input are not touched, so their names cannot clash.
     """
     return df.select(*[df[source].alias(target) for target, source in names.items()])
+
+
+#: Rows of a single 64-bit key that are broadcast at most (a few dozen MB once hashed); beyond it the join is shuffled.
+BROADCAST_KEYS = 1_000_000
+
+
+def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose 64-bit ``key`` is in ``keys``. The keys are counted first and broadcast only if they are few."""
+    keys = cut(keys.select(key).distinct())
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return df.join(keys, key, "left_semi")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality, sentencepiece_codec
+from . import (
+    extraction, jaccard_join, licenses, line_dedup, quality, sentencepiece_codec, suffix_dedup, url_filter, warc,
+)
 from .common import table
 
 
@@ -24,7 +26,50 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"), labels)
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, places and labels of license wording in every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document without the bytes that are repeated anywhere."""
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document after line dedup: its lines, the removed ones and a digest of what is left."""
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, links and component of every document."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metadata and a conversion record of every page's response."""
+    return warc.summary(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
+
+
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_quality_rules": (op2_quality_rules, None),
+    "op3_url_filter": (op3_url_filter, None),
+    "op5_license_scan": (op5_license_scan, licenses.sql()),
+    "op6_html_extraction": (op6_html_extraction, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
+    "op8_line_dedup": (op8_line_dedup, None),
+    "op9_jaccard_join": (op9_jaccard_join, None),
+    "op10_warc_derivatives": (op10_warc_derivatives, None),
 }

@@ -25,7 +25,7 @@ from .common import ship
 
 SPACE = "▁"
 #: Parts kept by a worker; beyond it the cache starts anew. Results do not depend on it.
-CACHE_PARTS = 1_000_000
+CACHE_PARTS = 2_500_000
 _PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MARKS = ".,;:!?#*$%&|)\"'"
 _CODECS: dict[str, Codec] = {}
@@ -107,7 +107,9 @@ class Codec:
         else:
             found = self.run_decimal(part)
         self.decimal[part] = found
-        if (text := self.text_of(list(map(int, found.split())))) != part.replace(SPACE, " "):
+        ids = list(map(int, found.split()))
+        # without bytes the text is that of the pieces, and these spell the part
+        if not self.byte_of.keys().isdisjoint(ids) and (text := self.text_of(ids)) != part.replace(SPACE, " "):
             self.odd[part] = text
         return found
 
