@@ -9,9 +9,10 @@ the suffix at ``i`` are
    stretch of them: about one row for each (LENGTH - GRAM) / 2 bytes. Groups of one row hold nothing repeated.
 2. all bytes that the suffixes of a stretch read. Equal stretches settle as repeated.
 3. the LENGTH bytes of each suffix, only where digit 2 left a stretch alone in a group that digit 1 found shared. One stretch
-   stands for all that are equal in digit 2.
+   stands for all that are equal in digit 2. The bytes of a group's stretches meet in the task of their gram; a group of more than GROUP
+   stretches is dealt out suffix by suffix instead.
 
-Digits are 64-bit hashes, the last one 128 bits. Documents are rows: equal rows count as documents of their own. Null and empty
+Digits are hashes of 64 bits, in large groups 128. Documents are rows: equal rows count as documents of their own. Null and empty
 texts have no bytes; matches never cross rows; a text of any length is worked through in pieces of PIECE bytes, and a
 stretch cut at a piece's end is settled by digit 3. Other columns are ignored.
 """
@@ -22,13 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import cut, rename, ship
+from .common import cut, narrowed, rename, ship, without
 
 LENGTH, GRAM = 200, 64
 SPAN = LENGTH - GRAM + 1  # grams in LENGTH bytes
 PIECE = 1 << 20
+GROUP = 10_000  # stretches of a gram whose bytes meet in one task; the suffixes of larger groups are rows of their own
 _LOW = np.uint64((1 << 21) - 1)
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -124,37 +127,93 @@ def _first_digits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"gram": gram.view(np.int64), "whole": whole.view(np.int64), "row_key": rows[text[piece]], "place": place})
 
 
-def _last_digits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """128 bits and place of each suffix of the stretches in question."""
-    lanes = Rolling(0), Rolling(1)
+def _block(texts: list[bytes], lengths: np.ndarray) -> np.ndarray:
     width = LENGTH + SPAN
-    starts = np.arange(SPAN)
+    block = np.frombuffer(b"".join([t.ljust(width, b"\0") for t in texts]), np.uint8).reshape(-1, width)
+    if (lengths > width).any():
+        raise ValueError("a stretch is longer than its grams allow")
+    return block
+
+
+def _open_bytes(frames: Iterator[pd.DataFrame], column: str) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
+    """Row keys, places and bytes of the stretches named in ``column``."""
+    for frame in frames:
+        keys, data, places = [], [], []
+        for row_key, text, open_ in frame[["row_key", "text", column]].itertuples(index=False):
+            raw = (text or "").encode()
+            for place in open_:
+                first = place >> 16
+                keys.append(row_key)
+                places.append(place)
+                data.append(raw[first:first + (place >> 8 & 255) + LENGTH])
+        yield np.array(keys, np.int64), data, np.array(places, np.int64)
+
+
+def _contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for keys, data, places in _open_bytes(frames, "open"):
+        grams = [xxhash.xxh3_64_intdigest(d[o:o + GRAM]) - (1 << 63) for d, o in zip(data, (places & 255).tolist(), strict=True)]
+        yield pd.DataFrame({"gram": grams, "row_key": keys, "place": places, "data": data})
+
+
+def _resolved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Repeated suffixes of stretches that come sorted by gram; groups are kept whole across batches."""
+    rest: pd.DataFrame | None = None
     for frame in frames:
-        for row_key, text, open_ in frame[["row_key", "text", "open"]].itertuples(index=False):
-            data = np.frombuffer((text or "").encode() + bytes(width), np.uint8)
-            for some in np.array_split(np.asarray(open_, np.int64), len(open_) // 2000 + 1):
-                first, more = some >> 16, (some >> 8) & 255
-                block = data[first[:, None] + np.arange(width)]
-                keys = []
-                for roll in lanes:
-                    sums = roll.sums(block)
-                    keys.append(mixed((sums[:, LENGTH:LENGTH + SPAN] - sums[:, :SPAN]) * roll.inverse[:SPAN]))
-                inside = starts[None, :] <= more[:, None]
-                yield pd.DataFrame({
-                    "a": keys[0][inside].view(np.int64), "b": keys[1][inside].view(np.int64), "row_key": row_key,
-                    "start": (first[:, None] + starts)[inside]})
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        last = frame["gram"].iloc[-1] if len(frame) else None
+        rest = frame[frame["gram"] == last]
+        yield _repeated(frame[frame["gram"] != last])
+    if rest is not None:
+        yield _repeated(rest)
+
+
+def _repeated(frame: pd.DataFrame) -> pd.DataFrame:
+    """Places of the runs of suffixes that occur twice or more among stretches with equal grams."""
+    roll, out = Rolling(0), []
+    place = frame["place"].to_numpy(np.int64)
+    if len(frame):
+        more = place >> 8 & 255
+        block = _block(list(frame["data"]), more + LENGTH)
+        sums = roll.sums(block)
+        keys = mixed((sums[:, LENGTH:LENGTH + SPAN] - sums[:, :SPAN]) * roll.inverse[:SPAN])
+        keys = mixed(keys ^ frame["gram"].to_numpy(np.int64).view(np.uint64)[:, None] * np.uint64(_ODD[1]))
+        inside = np.arange(SPAN)[None, :] <= more[:, None]
+        values, index, count = np.unique(keys[inside], return_inverse=True, return_counts=True)
+        twice = np.zeros((len(frame), SPAN + 2), np.int8)
+        twice[:, 1:-1][inside] = (count > 1)[index]
+        row, start = np.nonzero(np.diff(twice, axis=1) == 1)
+        _, stop = np.nonzero(np.diff(twice, axis=1) == -1)
+        out = ((place[row] >> 16) + start) << 16 | (stop - start - 1) << 8
+        return pd.DataFrame({"row_key": frame["row_key"].to_numpy()[row], "place": out})
+    return pd.DataFrame({"row_key": np.zeros(0, np.int64), "place": np.zeros(0, np.int64)})
+
+
+def _last_digits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """128 bits and place of each suffix of the stretches of large groups."""
+    lanes = Rolling(0), Rolling(1)
+    for keys, data, places in _open_bytes(frames, "wide"):
+        for some in np.array_split(np.arange(len(keys)), len(keys) // 2000 + 1):
+            first, more = places[some] >> 16, places[some] >> 8 & 255
+            block = _block([data[k] for k in some], more + LENGTH)
+            inside = np.arange(SPAN)[None, :] <= more[:, None]
+            found = []
+            for roll in lanes:
+                sums = roll.sums(block)
+                found.append(mixed((sums[:, LENGTH:LENGTH + SPAN] - sums[:, :SPAN]) * roll.inverse[:SPAN])[inside].view(np.int64))
+            yield pd.DataFrame({
+                "a": found[0], "b": found[1], "row_key": np.broadcast_to(keys[some][:, None], inside.shape)[inside],
+                "place": (first[:, None] + np.arange(SPAN))[inside] << 16})
 
 
 def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = []
-        for text, settled, single in frame[["text", "settled", "single"]].itertuples(index=False):
+        for text, some in frame[["text", "places"]].itertuples(index=False):
             data = np.frombuffer((text or "").encode(), np.uint8)
-            places = np.asarray(settled if settled is not None else [], np.int64)
-            one = np.asarray(single if single is not None else [], np.int64)
+            places = np.asarray(some if some is not None else [], np.int64)
             edge = np.zeros(len(data) + 1, np.int64)
-            np.add.at(edge, np.concatenate([places >> 16, one]), 1)
-            np.add.at(edge, np.concatenate([(places >> 16) + (places >> 8 & 255), one]) + LENGTH, -1)
+            np.add.at(edge, places >> 16, 1)
+            np.add.at(edge, (places >> 16) + (places >> 8 & 255) + LENGTH, -1)
             gone = np.cumsum(edge[:-1]) > 0
             turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
             out.append((len(data), [{"start": int(s), "stop": int(e)} for s, e in turn.reshape(-1, 2)], data[~gone].tobytes()))
@@ -170,18 +229,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = first.withColumn("of_gram", F.count("*").over(same_gram)).filter("of_gram > 1") \
         .withColumn("of_whole", F.count("*").over(same_whole)) \
         .withColumn("nth", F.row_number().over(same_whole.orderBy("row_key", "place"))) \
-        .withColumn("unsettled", F.max(F.expr("of_whole = 1")).over(same_gram))
+        .withColumn("unsettled", F.max(F.expr("of_whole = 1")).over(same_gram)) \
+        .withColumn("n_open", F.count_if(F.expr("unsettled and nth = 1")).over(same_gram))
     marks = cut(shared.groupBy("row_key").agg(
         F.collect_set(F.expr("if(of_whole > 1, place, null)")).alias("settled"),
-        F.collect_set(F.expr("if(unsettled and nth = 1, place, null)")).alias("open")))
-    asked = rows.join(marks.filter("size(open) > 0").select("row_key", "open"), "row_key").select("row_key", "text", "open")
-    # equal rows give equal lists: one of them is enough here, their stretches are settled
-    last = asked.mapInPandas(_last_digits, "a bigint, b bigint, row_key bigint, start bigint")
-    single = last.withColumn("n", F.count("*").over(Window.partitionBy("a", "b"))).filter("n > 1") \
-        .groupBy("row_key").agg(F.collect_set("start").alias("single"))
-    joined = rows.join(marks.select("row_key", "settled"), "row_key", "left").join(single, "row_key", "left")
+        F.collect_set(F.expr(f"if(unsettled and nth = 1 and n_open <= {GROUP}, place, null)")).alias("open"),
+        F.collect_set(F.expr(f"if(unsettled and nth = 1 and n_open > {GROUP}, place, null)")).alias("wide")))
+
+    def asked(column: str) -> DataFrame:
+        mine = marks.filter(F.size(column) > 0).select("row_key", column)
+        return narrowed(rows.select("row_key", "text"), mine, "row_key").join(mine, "row_key").select("row_key", "text", column)
+
+    by_gram = asked("open").mapInPandas(_contexts, "gram bigint, row_key bigint, place bigint, data binary") \
+        .repartition("gram").sortWithinPartitions("gram")
+    found = by_gram.mapInPandas(_resolved, "row_key bigint, place bigint")
+    each = asked("wide").mapInPandas(_last_digits, "a bigint, b bigint, row_key bigint, place bigint")
+    several = each.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1")
+    found = found.union(each.join(several, ["a", "b"], "left_semi").select("row_key", "place"))
+    settled = marks.filter("size(settled) > 0").select("row_key", F.explode("settled").alias("place"))
+    places = cut(settled.union(found).groupBy("row_key").agg(F.collect_set("place").alias("places")))
+
+    touched = narrowed(rows, places, "row_key").join(places, "row_key").select("id", "text", "places")
+    others = without(rows, places, "row_key").select("id", "text", F.lit(None).cast("array<bigint>").alias("places"))
     id_type = rows.schema["id"].dataType.simpleString()
-    made = joined.select("id", "text", "settled", "single").mapInPandas(
+    made = touched.union(others).mapInPandas(
         _removed, f"id {id_type}, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
     return made.withColumnRenamed("id", id_col)
 
