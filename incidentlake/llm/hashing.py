@@ -8,6 +8,8 @@ import numpy as np
 
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
+#: Turns everything in ASCII but letters and digits into spaces.
+PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _POWERS: list[np.ndarray] = []
 
@@ -49,8 +51,11 @@ def word_hash(word: bytes) -> int:
     return int(mixed(np.array([(total + len(word)) % (1 << 64)], np.uint64))[0])
 
 
-def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """Of each text, the hashes of its words in order; A-Z count as a-z, words stand between white space."""
+def word_hashes(texts: list[str | None], table: bytes | None = None) -> Iterator[np.ndarray]:
+    """Of each text, the hashes of its words in order; A-Z count as a-z, words stand between white space.
+
+    ``table`` (as for ``bytes.translate``) may turn more bytes into spaces.
+    """
     waiting: list[bytes] = []
     size = 0
 
@@ -63,6 +68,8 @@ def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
 
     for text in texts:
         raw = (text or "").encode().lower()
+        if table:
+            raw = raw.translate(table)
         if size + len(raw) >= PIECE - len(waiting):
             yield from done()
             size = 0

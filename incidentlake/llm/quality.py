@@ -142,3 +142,37 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     rows = measures(docs.select(row, docs[stratum_col].alias("stratum"), docs[text_col].alias("text")))
     return rows.filter(verdict(found)).select("row.*")
+
+
+def sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
+    """The verdicts in DuckDB's SQL, from ``documents`` and ``labels``."""
+    level, rate = delta / ((len(STRATA) + 1) * len(RULES)), alpha / len(RULES)
+    bins = ", ".join(f"least({TOP}, ({steps} * {amount}) // greatest({base}, 1)) AS {rule}" for rule, (steps, amount, base) in RULES.items())
+    long = " UNION ALL ".join(f"SELECT stratum, good, '{rule}' AS rule, {rule} AS bin FROM holdout" for rule in RULES)
+    hit = " OR ".join(f"coalesce({rule} >= (SELECT min(bin) FROM best b WHERE b.stratum = m.stratum AND b.rule = '{rule}'), false)" for rule in RULES)
+    marks = lambda text, chars: f"length(regexp_replace({text}, '[^{chars}]', '', 'g'))"
+    return rf"""
+WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS text,
+    [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM documents),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS key
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM w)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k.k) AS n FROM twice, range({WINDOW}) AS k(k) GROUP BY 1),
+c AS (SELECT w.doc_id, CASE WHEN lang IN {STRATA} THEN lang ELSE 'other' END AS stratum, len(words)::BIGINT AS n_words,
+    length(array_to_string(words, ''))::BIGINT AS word_chars, {marks('text', '#*$%&|<>')}::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    len(lines)::BIGINT AS n_lines, {marks('text', 'A-Z')}::BIGINT AS n_capitals, {marks('text', '!')}::BIGINT AS n_shouts
+  FROM w LEFT JOIN covered USING (doc_id)),
+m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed, {bins} FROM c),
+holdout AS (SELECT m.*, quality = 1 AS good FROM m JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IS NOT NULL),
+counts AS (SELECT stratum, rule, bin, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad FROM ({long}) GROUP BY ALL),
+tests AS (SELECT stratum, rule, bin, sum(good) OVER down AS good_hit, sum(bad) OVER down AS bad_hit,
+    sum(good) OVER whole AS n_good, sum(bad) OVER whole AS n_bad FROM counts
+  WINDOW down AS (PARTITION BY stratum, rule ORDER BY bin DESC), whole AS (PARTITION BY stratum, rule)),
+p AS (SELECT *, CASE WHEN good_hit >= n_good * {rate} THEN 1.0 ELSE list_sum([
+    exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({rate}) + (n_good - i) * ln(1 - {rate}))
+    FOR i IN range(0, good_hit::BIGINT + 1)]) END AS p FROM tests WHERE bin >= 1 AND n_good > 0),
+best AS (SELECT stratum, rule, bin FROM p WHERE p <= {level} AND bad_hit * n_good > good_hit * n_bad
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY bad_hit * n_good - good_hit * n_bad DESC, bin DESC) = 1)
+SELECT doc_id, {', '.join(BASE)}, base_failed, NOT base_failed AND NOT ({hit}) AS kept FROM m"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    extraction, jaccard_join, licenses, line_dedup, quality, sentencepiece_codec, suffix_dedup, url_filter, warc,
+    decontamination, extraction, jaccard_join, licenses, line_dedup, quality, sentencepiece_codec, suffix_dedup, url_filter, warc,
 )
 from .common import table
 
@@ -31,6 +31,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the item and the place."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, places and labels of license wording in every document."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
@@ -54,7 +59,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size, links and component of every document."""
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("row_key", "component_key")
 
 
 def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +69,9 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
-    "op2_quality_rules": (op2_quality_rules, None),
+    "op2_quality_rules": (op2_quality_rules, quality.sql()),
     "op3_url_filter": (op3_url_filter, None),
+    "op4_decontamination": (op4_decontamination, None),
     "op5_license_scan": (op5_license_scan, licenses.sql()),
     "op6_html_extraction": (op6_html_extraction, None),
     "op7_suffix_dedup": (op7_suffix_dedup, None),

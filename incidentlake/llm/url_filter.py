@@ -88,7 +88,8 @@ def segment(name: str, edges: dict[tuple[int, int], float], unseen: float) -> li
 def _substrings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = [(name, s, e, name[s:e]) for name in frame["name"] for s in range(len(name)) for e in range(s + 2, min(len(name), s + LONGEST) + 1)]
-        yield pd.DataFrame(out, columns=["name", "start", "stop", "word"])
+        if out:
+            yield pd.DataFrame(out, columns=["name", "start", "stop", "word"])
 
 
 def segmented(names: DataFrame, words: DataFrame, total: float) -> DataFrame:

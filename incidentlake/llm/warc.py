@@ -173,7 +173,8 @@ def from_bytes(files: DataFrame, data: str = "data") -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for x in frame["data"]:
-                yield pd.DataFrame([[r[n] for n in NAMES] for r in parse_bytes(x or b"")], columns=NAMES, dtype=object)
+                if rows := [[r[n] for n in NAMES] for r in parse_bytes(x or b"")]:
+                    yield pd.DataFrame(rows, columns=NAMES, dtype=object)
 
     return files.select(F.col(data).alias("data")).mapInPandas(run, RECORD)
 
