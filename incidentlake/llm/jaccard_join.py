@@ -6,11 +6,13 @@ indexed: linked sets have at least NEEDED tokens in common there. Index lists ho
 link out are skipped. Set relations then save most of the work:
 
 * Round 1: each list names its smallest set as pivot, and a set is compared with the pivot it shares most lists with. That
-  is one comparison a set, and it settles groups of copies of any size.
-* Sets that are already connected need no further comparison, so only lists whose sets lie in several components are joined
-  with themselves. The pivot's answers also rule pairs out: distances obey the triangle inequality, so sets whose
-  distances to a common pivot differ by more than ``1 - t`` cannot be linked.
-* Round 2 compares the pairs that are left; components are those of both rounds' links.
+  is one comparison a set, and it settles most groups of copies, whatever their size.
+* Sets that are already connected need no further comparison, so only lists whose sets lie in several components go on.
+* Round 2: each such list names another pivot, and a set is compared with the one whose bitmap is nearest. Bitmaps hold
+  the parity of the tokens in BITS classes; they differ in at most as many places as the sets, so they also rule pairs out.
+* Round 3: lists that still hold several components are joined with themselves. What rounds 1 and 2 computed rules out more: distances obey
+  the triangle inequality, so sets whose distances to a common pivot differ by more than ``1 - t`` cannot be linked.
+  The pairs that are left are compared.
 
 Tokens and sets are 64-bit hashes. Texts are lower-cased (A-Z) and split at white space. A text with fewer words than a shingle
 is one shingle; null, empty and blank texts have none and are linked with nothing. Equal rows and equal texts are linked; a null id gives way to any
@@ -26,13 +28,14 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, narrowed, rename, ship
+from .bucket_counts import bucket_counts
+from .common import cut, narrowed, rename, ship, without
 from .components import components
 from .hashing import mixed, word_hashes
 
 NEEDED = 3
-SKETCH = 1 << 20
-_SLICES = 64
+SKETCH = 1 << 20  # buckets of the corpus counts
+BITS = 512
 
 
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
@@ -46,51 +49,25 @@ def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
         yield np.unique(out)
 
 
-def _sketched(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
-    """How many sets of a task have a token in each bucket, in slices."""
-    counts = np.zeros(SKETCH, np.int64)
-    for frame in frames:
-        for tokens in shingle_sets(list(frame["text"]), words):
-            counts += np.bincount((tokens & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) if len(tokens) > SKETCH // 8 else 0
-            if len(tokens) <= SKETCH // 8:
-                np.add.at(counts, (tokens & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-    if counts.any():
-        yield pd.DataFrame({"slice": np.arange(_SLICES), "counts": [_packed(x) for x in np.split(counts, _SLICES)]})
+def _buckets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+    for tokens in shingle_sets(texts, words):
+        yield (tokens & np.uint64(SKETCH - 1)).astype(np.int64)
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    kind = np.uint8 if counts.max() < 1 << 8 else np.uint16 if counts.max() < 1 << 16 else np.int64
-    return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 8: np.int64}[data[0]], offset=1).astype(np.int64)
-
-
-def _summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of equal slices, of any number of tasks, in the memory of one sketch."""
-    total: dict[int, np.ndarray] = {}
-    for frame in frames:
-        for k, data in frame.itertuples(index=False):
-            total[k] = total.get(k, 0) + _unpacked(data)
-    if total:
-        yield pd.DataFrame({"slice": list(total), "counts": [_packed(x) for x in total.values()]})
-
-
-def sketch(rows: DataFrame, words: int) -> np.ndarray:
-    """Corpus counts of SKETCH buckets: all documents, a size that does not depend on them."""
-    schema = "slice long, counts binary"
-    parts = rows.select("text").mapInPandas(lambda x: _sketched(x, words), schema)
-    half = parts.repartition(16).mapInPandas(_summed, schema)
-    found = {r["slice"]: r.counts for r in half.repartition(1).mapInPandas(_summed, schema).collect()}
-    empty = _packed(np.zeros(SKETCH // _SLICES, np.int64))
-    return np.concatenate([_unpacked(bytes(found.get(k, empty))) for k in range(_SLICES)])
+def _bitmap(tokens: np.ndarray) -> list[int]:
+    """Parities of the numbers of tokens in BITS classes, as 64-bit integers."""
+    odd = np.bincount((tokens >> np.uint64(40) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
 def _ceil(a: str, b: str) -> str:
     return f"(({a} + {b} - 1) div {b})"
 
 
+def _distance(a: str, b: str) -> str:
+    return "(" + " + ".join(f"bit_count({a}[{k}] ^ {b}[{k}])" for k in range(BITS // 64)) + ")"
+
+
 class Threshold:
     """``den * intersection >= num * union``, with what follows from it."""
 
@@ -110,6 +87,10 @@ class Threshold:
             f"{self.num} * greatest({n}, {m}) <= {self.den} * least({n}, {m})"
             f" and least({pos}, {at}) + least({n} - {pos}, {m} - {at}) >= {self.overlap(n, m)}")
 
+    def near(self, a: str, n: str, b: str, m: str) -> Column:
+        """Bitmaps differ in no more places than linked sets do."""
+        return F.expr(f"{_distance(a, b)} <= {n} + {m} - 2 * {self.overlap(n, m)}")
+
     def enough(self, common: str, n: str, m: str) -> Column:
         return F.expr(f"{common} >= least({NEEDED}, {self.overlap(n, m)})")
 
@@ -136,8 +117,18 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t
     return cut(both.select("a", "b", "ta", "tb").mapInPandas(compare, "a bigint, b bigint, common bigint, n bigint, m bigint, linked boolean"))
 
 
+def _mixed(entries: DataFrame, label: DataFrame) -> DataFrame:
+    """The entries of lists whose sets lie in several components, with ``label``."""
+    placed = entries.join(label, entries["node"] == label["v"], "left").drop("v").withColumn("label", F.coalesce("label", "node"))
+    several = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token")
+    return placed.join(several, "token", "left_semi")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """id, n_shingles, n_links (links of the document's set that were compared and hold) and component_id of every document."""
+    """id, n_shingles, n_links (links of the document's set that were compared and hold) and component_id of every document.
+
+    ``row_key`` and ``component_key`` name the row and the first row of its component where ids repeat or are null.
+    """
     spark = docs.sparkSession
     ship(spark)
     t = Threshold(num, den)
@@ -150,11 +141,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             out = frame[["id", "row_key"]].copy()
             out["n"] = [len(s) for s in sets]
             out["node"] = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
+            out["bits"] = [_bitmap(s) for s in sets]
             yield out
 
-    members = cut(rows.select("id", "row_key", "text").mapInPandas(sizes, f"id {id_type}, row_key bigint, n bigint, node bigint"))
-    nodes = cut(members.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key")))
-    held = spark.sparkContext.broadcast(sketch(rows, words))
+    members = cut(rows.select("id", "row_key", "text").mapInPandas(sizes, f"id {id_type}, row_key bigint, n bigint, node bigint, bits array<bigint>"))
+    nodes = cut(members.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key"), F.any_value("bits").alias("bits")))
+    held = spark.sparkContext.broadcast(bucket_counts(rows, SKETCH, lambda texts: _buckets(texts, words)))
 
     def index(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # copies of a set give one entry a task, or one more each time this is emptied
@@ -190,24 +182,49 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = answers.filter("linked").select("a", "b")
     label = components(links, "a", "b")
 
-    placed = shared.drop("p").join(label, shared["node"] == label["v"], "left").select("token", "node", "n", "pos", F.coalesce("label", "node").alias("label"))
-    mixed_lists = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token")
-    open_ = cut(placed.join(mixed_lists, "token", "left_semi"))
-    left = open_.selectExpr("token", "node as a", "n", "pos", "label as la")
-    right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb")
-    pairs = left.join(right, "token").filter("a < b and la <> lb").filter(t.possible("n", "pos", "m", "at")) \
+    entries = cut(_mixed(shared.drop("p"), label).drop("label").join(nodes.select("node", "bits"), "node"))
+    placed = _mixed(entries, label)
+    order = F.xxhash64("token", "node")
+    pivots = placed.groupBy("token").agg(F.min(F.struct(order, "node", "n", "pos", "bits", "label")).alias("p"))
+    second = placed.join(pivots, "token").filter("label <> p.label").filter(t.possible("n", "pos", "p.n", "p.pos")) \
+        .filter(t.near("bits", "n", "p.bits", "p.n")).groupBy("node").agg(
+            F.min(F.struct(F.expr(_distance("bits", "p.bits")).alias("far"), F.col("p.node").alias("pivot"))).alias("best"))
+    more = _verified(rows, nodes, second.selectExpr("best.pivot as a", "node as b"), words, t)
+    answers = answers.union(more)
+    links = links.union(more.filter("linked").select("a", "b"))
+    label = components(links, "a", "b")
+
+    open_ = cut(_mixed(entries, label))
+    left = open_.selectExpr("token", "node as a", "n", "pos", "label as la", "bits as xa")
+    right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb", "bits as xb")
+    pairs = left.join(right, (left["token"] == right["token"]) & F.expr("a < b and la <> lb") & t.possible("n", "pos", "m", "at") & t.near("xa", "n", "xb", "m")) \
         .groupBy("a", "b", "n", "m").agg(F.count("*").alias("common")).filter(t.enough("common", "n", "m")).select("a", "b")
+    done = answers.selectExpr("least(a, b) as a", "greatest(a, b) as b")
     known = answers.selectExpr("b as v", "a as pivot", "1 - common / (n + m - common) as far")
-    apart = f"coalesce(pa = pb and abs(fa - fb) > {1 - num / den + 1e-9}, false) or coalesce(pb = a, false) or coalesce(pa = b, false)"
-    left_pairs = pairs.join(known.selectExpr("v as a", "pivot as pa", "far as fa"), "a", "left") \
-        .join(known.selectExpr("v as b", "pivot as pb", "far as fb"), "b", "left").filter(f"not ({apart})").select("a", "b")
+    apart = f"pa = pb and abs(fa - fb) > {1 - num / den + 1e-9}"
+    ruled_out = pairs.join(known.selectExpr("v as a", "pivot as pa", "far as fa"), "a") \
+        .join(known.selectExpr("v as b", "pivot as pb", "far as fb"), "b").filter(apart).select("a", "b")
+    left_pairs = pairs.join(done, ["a", "b"], "left_anti").join(ruled_out, ["a", "b"], "left_anti")
     more = _verified(rows, nodes, left_pairs, words, t).filter("linked").select("a", "b")
     links = links.union(more)
     label = cut(components(links, "a", "b"))
 
     degree = links.selectExpr("a as v").union(links.selectExpr("b as v")).groupBy("v").agg(F.count("*").alias("n_links"))
     placed = members.join(label, members["node"] == label["v"], "left").drop("v").join(degree, members["node"] == degree["v"], "left").select(
-        "id", "n", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
-    names = placed.filter("label is not null").groupBy("label").agg(F.min("id").alias("component_id"))
+        "id", "row_key", "n", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
+    # the smallest id names the component; nulls only if there is no other
+    names = placed.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "row_key")).alias("first"))
     return placed.join(names, "label", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "n_links", F.coalesce("component_id", "id").alias("component_id"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "n_links", F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("component_id"),
+        "row_key", F.coalesce("first.row_key", "row_key").alias("component_key"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Of each component the row with the smallest id, unchanged; of equal rows one. Rows without words stay."""
+    linked = jaccard_components(docs, id_col, text_col, words, num, den)
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.xxhash64(docs[id_col], docs[text_col]).alias("row_key"))
+    left = without(keyed, linked.filter("row_key <> component_key").select("row_key"), "row_key")
+    # equal rows of one key: only those keys that occur more than once are gathered
+    twice = linked.filter("n_shingles > 0").groupBy("row_key").agg(F.count("*").alias("n")).filter("n > 1").select("row_key")
+    single, several = without(left, twice, "row_key"), narrowed(left, twice, "row_key")
+    return single.unionByName(several.dropDuplicates(["row_key"])).select("row.*")
