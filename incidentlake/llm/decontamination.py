@@ -8,7 +8,7 @@ and of the benchmark; the search covers every window of every document.
 A window is a candidate for an item if its cosine with one of the item's windows reaches COSINE. Item windows start at every
 word and document windows at every STRIDE-th, so a copied passage always holds a pair of windows that are equal. Windows that have
 less than SHARE of their squared weights in words of the benchmark are not compared: their cosines with any item
-are small. For each candidate place the longest common subsequence of words with the item must reach LCS of its length, and the answer
+are small. Of a candidate's squared weights OVERLAP must lie in words of the item's window. For each place that is left the longest common subsequence of words with the item must reach LCS of its length, and the answer
 (the item's last sentence, or its last quarter if it is one sentence) must reach ANSWER of its own.
 
 The benchmark is a stated query set: it is taken in blocks of ITEMS items, each of which is sent to the tasks.
@@ -34,7 +34,7 @@ BUCKETS = 1 << 15
 RANK, EXTRA = 48, 12
 FIT_DOCS, FIT_TASKS = 4000, 8
 WINDOW, STRIDE = 12, 4
-COSINE, SHARE, LCS, ANSWER = 0.7, 0.5, 0.7, 0.6
+COSINE, SHARE, OVERLAP, LCS, ANSWER = 0.9, 0.75, 0.65, 0.7, 0.6
 ITEMS = 2000
 
 
@@ -74,7 +74,7 @@ def gram_product(texts: list[str | None], idf: np.ndarray, thin: np.ndarray) ->
 
 
 def latent_space(sample: DataFrame, items: list[str | None], idf: np.ndarray) -> np.ndarray:
-    """Right singular vectors (BUCKETS x RANK) of the sample's and the items' passages."""
+    """Scaled right singular vectors (BUCKETS x RANK) of the sample's and the items' passages."""
     spark = sample.sparkSession
 
     def product(thin: np.ndarray) -> np.ndarray:
@@ -89,7 +89,9 @@ def latent_space(sample: DataFrame, items: list[str | None], idf: np.ndarray) ->
 
     basis, _ = np.linalg.qr(product(np.random.default_rng(3).standard_normal((BUCKETS, RANK + EXTRA))))
     values, vectors = np.linalg.eigh(basis.T @ product(basis))
-    return basis @ vectors[:, np.argsort(-values)[:RANK]]
+    order = np.argsort(-values)[:RANK]
+    # directions that many passages share count for less: each is scaled to unit variance
+    return basis @ vectors[:, order] / np.sqrt(np.maximum(values[order], 1e-9))
 
 
 def answer_of(item: str) -> str:
@@ -135,6 +137,7 @@ class Searcher:
         for b in buckets:
             inside[b] = True
         self.inside = np.where(inside, self.weights, 0)
+        self.padded = np.append(self.weights, np.float32(0))
         self.space = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]))]).astype(np.float32)
         shapes: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for k, b in enumerate(buckets):
@@ -146,7 +149,7 @@ class Searcher:
         for (width, stride), found in shapes.items():
             item, start = np.array(found).T
             tokens = np.array([buckets[k][s:s + width] for k, s in found])
-            self.shapes[width, stride] = item, start, self.unit(tokens).T.copy()
+            self.shapes[width, stride] = item, start, tokens, self.unit(tokens).T.copy()
 
     def unit(self, tokens: np.ndarray) -> np.ndarray:
         x = self.space[tokens].sum(axis=1)
@@ -162,7 +165,7 @@ class Searcher:
         inside = np.concatenate([[0], np.cumsum(self.inside[tokens[:len(flat)]], dtype=np.float64)])
         whole = np.concatenate([[0], np.cumsum(self.weights[tokens[:len(flat)]], dtype=np.float64)])
         best: dict[tuple[int, int], tuple] = {}
-        for (width, stride), (item, offset, matrix) in self.shapes.items():
+        for (width, stride), (item, offset, theirs, matrix) in self.shapes.items():
             starts = [window_starts(n, width, stride) + base[k] for k, n in enumerate(sizes)]
             owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
             start = np.concatenate([*starts, np.zeros(0, np.int64)])
@@ -173,15 +176,22 @@ class Searcher:
             for some in range(0, len(start), 1024):
                 s, e = start[some:some + 1024], stop[some:some + 1024]
                 at = s[:, None] + np.arange(width)
-                cosines = self.unit(np.where(at < e[:, None], tokens[at], BUCKETS)) @ matrix
-                for row, column in np.argwhere(cosines >= COSINE):
-                    k, j = int(owner[some + row]), int(item[column])
-                    place = int(s[row] - base[k] - offset[column])
-                    if (k, j, place // 8) not in tried:
-                        tried.add((k, j, place // 8))
-                        found = self.check(words[k], j, place)
-                        if found and found[2] > best.get((k, j), (0, 0, 0, 0, 0))[2]:
-                            best[k, j] = (*found[:2], found[2], found[3], float(cosines[row, column]))
+                mine = np.where(at < e[:, None], tokens[at], BUCKETS)
+                cosines = self.unit(mine) @ matrix
+                rows, columns = np.nonzero(cosines >= COSINE)
+                for part in range(0, len(rows), 100_000):
+                    r, c = rows[part:part + 100_000], columns[part:part + 100_000]
+                    weight = self.padded[mine[r]]
+                    common = (mine[r][:, :, None] == theirs[c][:, None, :]).any(axis=2)
+                    close = (weight * common).sum(axis=1) >= OVERLAP * weight.sum(axis=1)
+                    for row, column in zip(r[close].tolist(), c[close].tolist(), strict=True):
+                        k, j = int(owner[some + row]), int(item[column])
+                        place = int(s[row] - base[k] - offset[column])
+                        if (k, j, place // 8) not in tried:
+                            tried.add((k, j, place // 8))
+                            found = self.check(words[k], j, place)
+                            if found and found[2] > best.get((k, j), (0, 0, 0, 0, 0))[2]:
+                                best[k, j] = (*found[:2], found[2], found[3], float(cosines[row, column]))
         return [(k, self.ids[j], f[0], f[1], f[4], f[2], f[3]) for (k, j), f in best.items()]
 
     def check(self, words: np.ndarray, j: int, place: int) -> tuple | None:
