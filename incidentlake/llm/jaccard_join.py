@@ -35,7 +35,7 @@ from .hashing import mixed, word_hashes
 
 NEEDED = 3
 SKETCH = 1 << 20  # buckets of the corpus counts
-BITS = 512
+BITS = 256
 
 
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
@@ -87,6 +87,10 @@ class Threshold:
             f"{self.num} * greatest({n}, {m}) <= {self.den} * least({n}, {m})"
             f" and least({pos}, {at}) + least({n} - {pos}, {m} - {at}) >= {self.overlap(n, m)}")
 
+    def hopeless(self, count: str, low: str, high: str) -> str:
+        """A list of two sets whose sizes rule a link out."""
+        return f"({count} = 2 and {self.num} * {high} > {self.den} * {low})"
+
     def near(self, a: str, n: str, b: str, m: str) -> Column:
         """Bitmaps differ in no more places than linked sets do."""
         return F.expr(f"{_distance(a, b)} <= {n} + {m} - 2 * {self.overlap(n, m)}")
@@ -117,10 +121,12 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t
     return cut(both.select("a", "b", "ta", "tb").mapInPandas(compare, "a bigint, b bigint, common bigint, n bigint, m bigint, linked boolean"))
 
 
-def _mixed(entries: DataFrame, label: DataFrame) -> DataFrame:
-    """The entries of lists whose sets lie in several components, with ``label``."""
+def _mixed(entries: DataFrame, label: DataFrame, t: Threshold) -> DataFrame:
+    """The entries of lists whose sets lie in several components and may be linked, with ``label``."""
     placed = entries.join(label, entries["node"] == label["v"], "left").drop("v").withColumn("label", F.coalesce("label", "node"))
-    several = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token")
+    several = placed.groupBy("token").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
+    ).filter(f"x <> y and not {t.hopeless('size', 'low', 'high')}").select("token")
     return placed.join(several, "token", "left_semi")
 
 
@@ -171,7 +177,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pd.DataFrame({"token": np.concatenate(token), "node": np.concatenate(node), "n": np.concatenate(n), "pos": np.concatenate(pos)})
 
     entries = rows.select("text").mapInPandas(index, "token bigint, node bigint, n int, pos int")
-    lists = entries.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("p"), F.max("node").alias("last")).filter("p.node <> last")
+    lists = entries.groupBy("token").agg(
+        F.min(F.struct("node", "n", "pos")).alias("p"), F.max("node").alias("last"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
+    ).filter(f"p.node <> last and not {t.hopeless('size', 'low', 'high')}")
     shared = cut(entries.join(lists.select("token", "p"), "token").groupBy("token", "node", "n", "pos", "p").agg(F.lit(1).alias("one")).drop("one"))
 
     votes = shared.filter("node <> p.node").filter(t.possible("n", "pos", "p.n", "p.pos")) \
@@ -182,8 +190,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = answers.filter("linked").select("a", "b")
     label = components(links, "a", "b")
 
-    entries = cut(_mixed(shared.drop("p"), label).drop("label").join(nodes.select("node", "bits"), "node"))
-    placed = _mixed(entries, label)
+    entries = cut(_mixed(shared.drop("p"), label, t).drop("label").join(nodes.select("node", "bits"), "node"))
+    placed = _mixed(entries, label, t)
     order = F.xxhash64("token", "node")
     pivots = placed.groupBy("token").agg(F.min(F.struct(order, "node", "n", "pos", "bits", "label")).alias("p"))
     second = placed.join(pivots, "token").filter("label <> p.label").filter(t.possible("n", "pos", "p.n", "p.pos")) \
@@ -194,7 +202,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = links.union(more.filter("linked").select("a", "b"))
     label = components(links, "a", "b")
 
-    open_ = cut(_mixed(entries, label))
+    open_ = cut(_mixed(entries, label, t))
     left = open_.selectExpr("token", "node as a", "n", "pos", "label as la", "bits as xa")
     right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb", "bits as xb")
     pairs = left.join(right, (left["token"] == right["token"]) & F.expr("a < b and la <> lb") & t.possible("n", "pos", "m", "at") & t.near("xa", "n", "xb", "m")) \
