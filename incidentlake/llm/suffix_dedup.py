@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import cut, narrowed, rename, ship, without
 
@@ -225,16 +225,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(docs.sparkSession)
     rows = rename(docs, id=id_col, text=text_col).withColumn("row_key", F.xxhash64("id", "text"))
     first = rows.select("row_key", "text").mapInPandas(_first_digits, "gram bigint, whole bigint, row_key bigint, place bigint")
-    same_gram, same_whole = Window.partitionBy("gram"), Window.partitionBy("gram", "whole")
-    shared = first.withColumn("of_gram", F.count("*").over(same_gram)).filter("of_gram > 1") \
-        .withColumn("of_whole", F.count("*").over(same_whole)) \
-        .withColumn("nth", F.row_number().over(same_whole.orderBy("row_key", "place"))) \
-        .withColumn("unsettled", F.max(F.expr("of_whole = 1")).over(same_gram)) \
-        .withColumn("n_open", F.count_if(F.expr("unsettled and nth = 1")).over(same_gram))
-    marks = cut(shared.groupBy("row_key").agg(
-        F.collect_set(F.expr("if(of_whole > 1, place, null)")).alias("settled"),
-        F.collect_set(F.expr(f"if(unsettled and nth = 1 and n_open <= {GROUP}, place, null)")).alias("open"),
-        F.collect_set(F.expr(f"if(unsettled and nth = 1 and n_open > {GROUP}, place, null)")).alias("wide")))
+    # counts first, then joins on them: no window over a gram that a third of all rows may share
+    grams = first.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    shared = cut(first.join(grams, "gram", "left_semi"))
+    by_whole = cut(shared.groupBy("gram", "whole").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "place")).alias("first")))
+    settled = shared.join(by_whole.filter("n > 1"), ["gram", "whole"], "left_semi").select("row_key", F.lit("settled").alias("kind"), "place")
+    unsettled = by_whole.groupBy("gram").agg(F.count("*").alias("kinds"), F.count_if(F.expr("n = 1")).alias("alone")).filter("alone > 0")
+    open_ = by_whole.join(unsettled, "gram").select(
+        "first.row_key", F.when(F.col("kinds") <= GROUP, "open").otherwise("wide").alias("kind"), "first.place")
+    kinds = ("settled", "open", "wide")
+    marks = cut(settled.union(open_).groupBy("row_key").agg(*[
+        F.collect_set(F.when(F.col("kind") == k, F.col("place"))).alias(k) for k in kinds]))
 
     def asked(column: str) -> DataFrame:
         mine = marks.filter(F.size(column) > 0).select("row_key", column)
