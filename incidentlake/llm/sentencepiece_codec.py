@@ -99,18 +99,19 @@ class Codec:
             found = self.runs[run] = " ".join(map(str, ids))
         return found
 
-    def part_decimal(self, part: str) -> str:
-        """Ids of a part between spaces. Its last marks are a run of their own if no piece crosses there."""
+    def part_decimal(self, key: str) -> str:
+        """Ids of a part, which is named without its first mark. Its last marks are a run of their own if no piece crosses there."""
+        part = SPACE + key
         core = part.rstrip(_MARKS)
-        if core and core != part and part[len(core) - 1:len(core) + 1] not in self.neighbours:
+        if core != part and part[len(core) - 1:len(core) + 1] not in self.neighbours:
             found = self.run_decimal(core) + " " + self.run_decimal(part[len(core):])
         else:
             found = self.run_decimal(part)
-        self.decimal[part] = found
+        self.decimal[key] = found
         ids = list(map(int, found.split()))
         # without bytes the text is that of the pieces, and these spell the part
         if not self.byte_of.keys().isdisjoint(ids) and (text := self.text_of(ids)) != part.replace(SPACE, " "):
-            self.odd[part] = text
+            self.odd[key] = text
         return found
 
     def text_of(self, ids: list[int]) -> str:
@@ -133,12 +134,17 @@ class Codec:
         return self.text_of(ids).removeprefix(" ")
 
     def parts(self, text: str | None) -> list[str]:
-        return _PARTS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        """The parts between spaces, each without its first mark."""
+        if not text:
+            return []
+        if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+            return [p[1:] for p in _PARTS.findall(SPACE + text.replace(" ", SPACE))]
+        return text.split(" ")
 
     def compare(self, fresh: list[str]) -> None:
         """The library must agree on every part that was encoded anew (a lone mark has no pairs)."""
-        fresh = [p for p in fresh if len(p) > 1]
-        theirs = self.library.encode([p[1:] for p in fresh], num_threads=1)
+        fresh = list(filter(None, fresh))
+        theirs = self.library.encode(fresh, num_threads=1)
         for part, ids in zip(fresh, theirs, strict=True):
             if self.decimal[part] != " ".join(map(str, ids)):
                 raise ValueError(f"the library encodes {part!r} differently")
@@ -183,11 +189,11 @@ def encode_batch(c: Codec, texts: list[str | None], outputs: list[str], begin: l
                     fresh.append(part)
                 elif found[k] is None:
                     found[k] = known
-        decimal = " ".join(filter(None, (edges[0], *found, edges[1])))
+        decimal = " ".join(edges[:1] * bool(begin) + found + edges[1:] * bool(end))
         if c.odd and not c.odd.keys().isdisjoint(parts):
-            decoded = "".join([c.odd.get(p) or p.replace(SPACE, " ") for p in parts]).removeprefix(" ")
-        else:
-            decoded = "".join(parts).replace(SPACE, " ").removeprefix(" ")
+            decoded = "".join([c.odd.get(p) or " " + p.replace(SPACE, " ") for p in parts]).removeprefix(" ")
+        else:  # all parts decode to themselves
+            decoded = (text or "").replace(SPACE, " ")
         for out, column in zip(outputs, columns, strict=True):
             if out == "ids":
                 column.append(list(map(int, decimal.split())))
