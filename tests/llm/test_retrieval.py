@@ -238,3 +238,8 @@ def test_pipeline(spark, sf_dir):
             assert {r.doc_id: r.n_tokens for r in after} == {i: len(sp.encode(t)) + 1 for i, t in texts.items()}
     whole = corpus_pipeline.run(spark, sf_dir)
     assert sorted(whole.collect()) == sorted(docs.collect())
+
+
+def test_quality_against_sql(spark, sf_dir, duck):
+    found, _ = differences(registry.op2_quality_rules(spark, sf_dir), duck, registry.QUERIES["op2_quality_rules"][1])
+    assert not found
