@@ -11,7 +11,8 @@ def _col(c) -> Column:
 
 # A failing try_cast builds and drops an exception for every bad row, which costs far
 # more than the cast. So text that cannot be a number is recognised before the cast.
-_WHOLE_PART = r"^ *[+-]?(\d+\.?\d*|\.\d+) *$"
+# A cast trims all white space and control characters, so the shape allows them.
+_WHOLE_PART = r"\A[\x00-\x20]*[+-]?(\d+\.?\d*|\.\d+)[\x00-\x20]*\z"
 
 
 def tolerant_int(c) -> Column:

@@ -147,7 +147,8 @@ def histogram(
 ) -> DataFrame:
     """Equal-width histogram with empty bins shown; the top edge is in the last bin.
 
-    The range comes from a one-row subquery unless it is given.
+    The range comes from a one-row subquery unless it is given; a value outside a given
+    range is an error, so the counts always add up to the known values.
     """
     x = _col(c).cast("double")
     values = df.select(*by, x.alias("_x")).filter("_x is not null and not isnan(_x)")
@@ -156,7 +157,8 @@ def histogram(
         lo, hi = span["lo"], span["hi"]
     else:
         lo, hi = F.lit(float(value_range[0])), F.lit(float(value_range[1]))
-        values = values.filter(F.col("_x").between(lo, hi))
+        outside = F.raise_error(F.lit(f"a value is outside the range {value_range}"))
+        values = values.withColumn("_x", F.when(F.col("_x").between(lo, hi), F.col("_x")).otherwise(outside))
     # a single-valued column gets a range of width one around the value
     flat = lo == hi
     first = F.when(flat, lo - 0.5).otherwise(lo)
@@ -209,16 +211,15 @@ def order_by_day(df: DataFrame, day: str = "day", measure: str = "count") -> Dat
 
 
 def weekday_hour_matrix(df: DataFrame, ts: str) -> DataFrame:
-    """Weekday by hour counts, days Monday first, one column per hour."""
+    """Weekday by hour counts, days Monday first, one column per hour, in one aggregation."""
     dated = df.filter(F.col(ts).isNotNull()).select(
         F.dayofweek(ts).alias("day_of_week"), F.hour(ts).alias("hour")
     )
-    # at most 7 x 24 rows reach the pivot
-    cells = frequency(dated, ["day_of_week", "hour"])
-    wide = cells.groupBy("day_of_week").pivot("hour", list(range(24))).sum("count")
-    named = wide.select("day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in range(24)])
+    wide = dated.groupBy("day_of_week").agg(
+        *[F.count_if(F.col("hour") == h).alias(f"h{h:02d}") for h in range(24)])
+    # seven rows at most
     return (
-        weekday_table(df.sparkSession).join(F.broadcast(named), "day_of_week", "left")
+        weekday_table(df.sparkSession).join(F.broadcast(wide), "day_of_week", "left")
         .drop("day_of_week").fillna(0).orderBy("position")
     )
 

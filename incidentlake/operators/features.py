@@ -110,9 +110,10 @@ def with_type_group_top_k(
 
 def location_group(location, rules=LOCATION_RULES, cleaned: bool = False) -> Column:
     text = _text(location, cleaned)
-    # coalesce of single-rule cases: the first rule whose word occurs decides
-    hits = [F.when(text.contains(word), F.lit(group)) for word, group in rules]
-    return F.coalesce(*hits, F.lit("OTHER"))
+    found = F.lit("OTHER")
+    for word, group in reversed(rules):  # one CASE: the first rule whose word occurs decides
+        found = F.when(text.contains(word), group).otherwise(found)
+    return found
 
 
 def geo_grid(latitude, longitude, digits: int = 2, missing: float | None = 0.0) -> dict[str, Column]:
@@ -156,6 +157,7 @@ def protocol_label(domestic_flag, arrest_flag) -> Column:
 
 # --- feature tables --------------------------------------------------------------------
 
+# Feature columns of the tables, in vector order
 NUMERIC_A = [
     "hour", "day_of_week", "month", "is_weekend", "is_night", "domestic_numeric",
     "district", "beat", "community_area", "lat_grid", "lon_grid_abs",

@@ -18,7 +18,10 @@ def confusion(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def confusion_matrix(cells: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
-    """Dense k x k matrix from confusion rows, one row per true class, zeros included."""
+    """Dense k x k matrix from confusion rows, one row per true class, zeros included.
+
+    A label or prediction that is not one of ``0 .. k-1`` is an error: no row is left out.
+    """
     def at(i, j):
         here = (F.col("label") == float(i)) & (F.col("prediction") == float(j))
         return F.coalesce(F.sum(F.when(here, F.col("count"))), F.lit(0))
@@ -27,8 +30,12 @@ def confusion_matrix(cells: DataFrame, k: int, by: Sequence[str] = ()) -> DataFr
         F.struct(F.lit(float(i)).alias("label"), *[at(i, j).alias(f"pred_{j}") for j in range(k)])
         for i in range(k)
     ])
+    classes = [float(i) for i in range(k)]
+    known = F.col("label").isin(classes) & F.col("prediction").isin(classes)
+    beyond = F.count_if(~F.coalesce(known, F.lit(False)))
+    checked = F.when(beyond > 0, F.raise_error(F.lit(f"a label or prediction is not one of {k} classes"))).otherwise(rows)
     return (
-        cells.groupBy(*by).agg(rows.alias("r"))
+        cells.groupBy(*by).agg(checked.alias("r"))
         .select(*by, F.explode("r").alias("r")).select(*by, "r.*")
     )
 
@@ -167,7 +174,7 @@ def residual_histogram(preds: DataFrame, bins: int = 60, by: Sequence[str] = ())
     return histogram(preds, F.col("label") - F.col("prediction"), bins, by=by)
 
 
-def actual_vs_predicted(preds: DataFrame, key: str, n: int = 2000) -> DataFrame:
+def actual_vs_predicted(preds: DataFrame, key: str, n: int) -> DataFrame:
     """n real (label, prediction) points for a scatter chart."""
     return sample_exact(preds.select(key, "label", "prediction"), key, n)
 

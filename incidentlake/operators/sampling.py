@@ -6,14 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir
-
 _PARTS = 10_000
 
 
+def _key_digest(keys: Sequence[str], seed: int) -> Column:
+    """MD5 of the key values as text, which other engines compute alike."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+
+
 def hash_part(keys: Sequence[str], seed: int, parts: int = _PARTS) -> Column:
     """A bucket in ``[0, parts)`` that depends on the key values and the seed only."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(parts))
+    number = F.conv(F.substring(_key_digest(keys, seed), 1, 12), 16, 10).cast("bigint")
+    return F.pmod(number, F.lit(parts))
 
 
 def split(
@@ -37,13 +42,13 @@ def cap_rows(df: DataFrame, keys: Sequence[str], target: int, rows: int, seed: i
     return df.filter(hash_part(keys, seed + 1, resolution) < int(resolution * target / rows))
 
 
-def sample_fraction(df: DataFrame, n: int, rows: int, seed: int = 42) -> DataFrame:
-    """Bernoulli sample of about n rows for a chart."""
-    return df.sample(False, min(1.0, n / rows) if rows else 1.0, seed)
+def sample_fraction(df: DataFrame, keys: Sequence[str], n: int, rows: int, seed: int = 42) -> DataFrame:
+    """About n of ``rows`` rows for a chart, chosen by key hash as ``cap_rows`` does."""
+    return cap_rows(df, keys, n, rows, seed)
 
 
 def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: those with the smallest key hashes.
+    """Exactly ``min(n, rows)`` rows: those with the smallest key digests.
 
     A count per hash bucket finds the bucket where the n-th row lies, so only
     about n rows, not all of them, enter the ranking.
@@ -55,52 +60,79 @@ def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     running = F.sum("c").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
     cut = per_bucket.withColumn("before", F.coalesce(running, F.lit(0))) \
         .filter(F.col("before") < n).agg(F.max("b")).scalar()
-    order = F.xxhash64(F.col(key), F.lit(seed))
     return (
-        df.filter(bucket <= cut).withColumn("_h", order)
-        .orderBy("_h", key).limit(n).drop("_h")
+        df.filter(bucket <= cut).withColumn("_b", bucket)
+        .withColumn("_h", _key_digest([key], seed)).orderBy("_b", "_h", key).limit(n).drop("_b", "_h")
     )
 
 
-# Up to this many rows a page is cheaper as a bounded heap per task.
-HEAP_PAGE = 100_000
+# Ranges that a column's values are counted in.
+_RANGES = 2048
 
 
 def newest_records(
     df: DataFrame, order_by: str, tie: str, limit: int, offset: int = 0,
-    columns: Sequence[str] | None = None, heap_page: int = HEAP_PAGE,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows ``offset .. offset+limit`` of the frame ordered newest first, ties by ``tie``.
 
-    Deep pages use a range partitioning on the order columns, whose row numbers
-    follow from the sizes of the partitions, so no task sees more than its range.
+    Rows are counted in ranges of the order column, and once more in ranges of the tie
+    column among the values that are left. Only the ranges that hold the page are sorted.
     """
     chosen = df.select(*(columns or df.columns))
-    needed = df.select(*dict.fromkeys([*chosen.columns, order_by, tie]))
-    order = [F.desc_nulls_last(order_by), F.asc(tie)]
-    if offset + limit <= heap_page:
-        page = needed.orderBy(*order).offset(offset).limit(limit)
-        return page.select(*chosen.columns)
-    ranked = _global_row_number(needed, order)
-    page = ranked.filter((F.col("_row") >= offset) & (F.col("_row") < offset + limit))
-    return page.orderBy("_row").select(*chosen.columns)
-
-
-def _global_row_number(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Zero-based ``_row`` in the given total order."""
-    ensure_checkpoint_dir(df.sparkSession)
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id()).withColumn("_pos", within)
-        .checkpoint()  # freezes the layout the row numbers depend on
-    )
-    # one row per partition
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
-    return placed.join(F.broadcast(starts), "_part").select(
-        *df.columns, (F.col("_start") + F.col("_pos")).alias("_row")
-    )
+    rows = df.select(*dict.fromkeys([*chosen.columns, order_by, tie]))
+    before = 0
+    # the finer second pass over the order column helps where a few values are far away
+    for name, down in ((order_by, True), (order_by, True), (tie, False)):
+        rows, skipped = _narrowed(rows, name, down, offset - before, limit, single=name != order_by and order_by)
+        before += skipped
+    page = rows.orderBy(F.desc_nulls_last(order_by), F.asc(tie)).offset(offset - before).limit(limit)
+    return page.select(*chosen.columns)
+
+
+def _rank_value(df: DataFrame, name: str) -> Column:
+    """A number that follows the order of a column: equal for equal values, never falling."""
+    kind = df.schema[name].dataType.simpleString()
+    c = F.col(name)
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if kind in ("string", "binary"):
+        return F.conv(F.hex(F.rpad(F.substring(c.cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
+    return c.cast("double")
+
+
+def _narrowed(
+    df: DataFrame, name: str, down: bool, offset: int, limit: int, single: str | bool = False
+) -> tuple[DataFrame, int]:
+    """The rows in the ranges of a column that hold a page, and how many rows come before them.
+
+    With ``single`` the rows are left as they are unless that column has a single value.
+    At most ``_RANGES + 1`` counts are collected; unknown values are a range of their own, last when
+    the order is descending and first when it is ascending.
+    """
+    x = _rank_value(df, name)
+    edge = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), *([
+        F.min(single).alias("a"), F.max(single).alias("b"),
+        F.count_if(F.col(single).isNull()).alias("unknown")] if single else [])).first()
+    if edge.lo is None or edge.lo == edge.hi or single and (
+            edge.a != edge.b or edge.unknown and edge.a is not None):
+        return df, 0
+    step = (edge.hi - edge.lo) / _RANGES
+    place = F.least(F.floor((x - edge.lo) / step), F.lit(_RANGES - 1))
+    unknown = F.lit(_RANGES if down else -1)
+    number = F.when(x.isNull(), unknown).otherwise(_RANGES - 1 - place if down else place)
+    counts = sorted(df.groupBy(number.alias("n")).count().collect())
+    seen, first, last, skipped = 0, None, None, 0
+    for n, count in counts:
+        if first is None and seen + count > offset:
+            first, skipped = n, seen
+        seen += count
+        if first is not None:
+            last = n
+            if seen >= offset + limit:
+                break
+    if first is None:  # the page begins behind the last row
+        return df.filter(number > counts[-1][0]), 0
+    return df.filter(number.between(first, last)), skipped

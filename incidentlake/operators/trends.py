@@ -51,10 +51,18 @@ def top_locations(df: DataFrame, k: int = 15) -> DataFrame:
     return top_k(df, "location_description", k, drop_null_keys=True)
 
 
-def map_points(
-    df: DataFrame, key: str = "crime_id", box=CITY_BOX, k: int = 6, n: int = 30_000
-) -> DataFrame:
-    """Sample of n located rows of the k most frequent types (of all rows)."""
-    inside = in_bbox(df, "latitude", "longitude", box)
-    shown = filter_top_k(inside, "primary_type", k, among=df)
-    return sample_exact(shown.select(key, "latitude", "longitude", "primary_type"), key, n)
+def _located(df: DataFrame, box, k: int) -> DataFrame:
+    """Located rows of the k most frequent types (of all rows)."""
+    return filter_top_k(in_bbox(df, "latitude", "longitude", box), "primary_type", k, among=df)
+
+
+def map_points(df: DataFrame, n: int, key: str = "crime_id", box=CITY_BOX, k: int = 6) -> DataFrame:
+    """Sample of n located rows of the leading types, for a map that cannot draw them all."""
+    return sample_exact(_located(df, box, k).select(key, "latitude", "longitude", "primary_type"), key, n)
+
+
+def map_cells(df: DataFrame, box=CITY_BOX, k: int = 6, digits: int = 2) -> DataFrame:
+    """All located rows of the leading types, counted by grid cell and type."""
+    return _located(df, box, k).groupBy(
+        F.round("latitude", digits).alias("lat_grid"), F.round("longitude", digits).alias("lon_grid"), "primary_type",
+    ).agg(F.count("*").alias("count"))

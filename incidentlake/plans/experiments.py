@@ -32,14 +32,16 @@ BINARY_REPORT = ["model", "accuracy", "f1", "precision", "recall", "auc_roc", "r
 PROTOCOL_REPORT = ["model", "accuracy", "f1", "precision", "recall",
                    "recall_class0", "recall_class1", "recall_class2", "recall_class3"]
 DENSITY_REPORT = ["model", "rmse", "mae", "r2"]
+# what the metrics read of a model's predictions
+_SCORED = ["label", "crime_count", "prediction", "rawPrediction"]
 
-# Experiment names by target
+# Experiment names by target, the first three without the name of the source's city
 EXPERIMENTS = {
     "arrest": "exp01_arrest_classification",
     "crime_group": "exp02_crime_group",
     "domestic": "exp03_domestic_prediction",
-    "density": "exp02_density_regression",
-    "protocol": "exp03_protocol_classification",
+    "density": "exp02_crime_density_regression",
+    "protocol": "exp03_dispatch_protocol_classification",
 }
 
 
@@ -54,6 +56,7 @@ class ExperimentConfig:
     keys: list[str] | None = None  # split key; default: the whole row
     train_cap: int | None = TRAIN_CAP  # None trains on everything
     keep_models: bool = False
+    partitions: int = 32  # of the training rows, dealt out by the split key at every size
     parallelism: int = 4  # models in training at the same time
     seed: int = 42
 
@@ -90,6 +93,7 @@ class _Task:
     best_by: str
     classes: bool
     params: dict
+    keys: list[str]
 
 
 def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
@@ -105,13 +109,17 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
         return shared.transform(df).select("features", *task.columns).persist(
             StorageLevel.MEMORY_AND_DISK)
 
-    train, test = _spread(vectors(task.train)), vectors(task.test)
+    # tree ensembles draw by partition and place, so both follow from the keys alone
+    laid_out = task.train.repartition(config.partitions, *task.keys).sortWithinPartitions(*task.keys)
+    train, test = vectors(laid_out), vectors(task.test)
     estimators = config.models or task.models
     found, fitted, failures = {}, {}, {}
 
     def attempt(name):
         model = estimators[name].fit(train)
-        preds = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+        preds = model.transform(test)
+        preds = preds.select(*[c for c in _SCORED if c in preds.columns]).persist(
+            StorageLevel.MEMORY_AND_DISK)
         try:
             return model, task.score(preds)
         finally:
@@ -126,6 +134,9 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
             "target": config.target, "feature_count": len(task.names),
             "train_rows": train.count(), "test_rows": test.count(), **task.params,
         }
+        if "classWeight" in task.columns:  # one row per class
+            weights = train.groupBy("label").agg(F.max("classWeight")).collect()
+            params |= {f"class_weight_{label:g}": w for label, w in sorted(weights)}
         with ThreadPoolExecutor(config.parallelism) as pool:
             started = {pool.submit(inheritable_thread_target(spark)(attempt), n): n
                        for n in estimators}
@@ -140,9 +151,9 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
                 found[name] = [name, *[float(scores[c]) for c in task.report[1:]]]
                 fitted[name] = model
                 _log(spark, config, name, {"model_name": name, **params}, scores)
-                if config.out:  # after every model, so a later crash loses nothing
-                    write_report(_frame(spark, finished(), task.report),
-                                 config.path("model_metrics"))
+                if config.out:  # appended after every model, so a later crash loses nothing
+                    write_report(_frame(spark, [found[name]], task.report), config.path("model_metrics"),
+                                 mode="append" if len(found) > 1 else "overwrite")
                     if config.keep_models:
                         save_model(PipelineModel([*shared.stages, model]),
                                    config.path(f"models/{name}"))
@@ -181,22 +192,6 @@ def roc_curves(result: ExperimentResult, thresholds: int = 100) -> DataFrame:
     return roc_points(reduce(DataFrame.unionByName, scored), thresholds=thresholds, by=["model"])
 
 
-def _spread(train: DataFrame) -> DataFrame:
-    """The persisted frame over at least as many partitions as there are cores.
-
-    Training passes over it many times, so a small input read as one or two splits
-    is worth spreading once; larger ones are left as they are.
-    """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    rows = train.count()
-    if train.rdd.getNumPartitions() >= cores or rows < 1000 * cores:
-        return train
-    wide = train.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-    wide.count()
-    train.unpersist()
-    return wide
-
-
 def _frame(spark, rows, report) -> DataFrame:
     return spark.createDataFrame(
         rows, "model string, " + ", ".join(f"{c} double" for c in report[1:]))
@@ -236,7 +231,7 @@ def run_binary(features: DataFrame, config: ExperimentConfig) -> ExperimentResul
     return _run(config, _Task(
         train, test, stages, names, ["label", "classWeight"] if binary else ["label"],
         model_zoo("binary" if binary else "multiclass"), score, BINARY_REPORT,
-        "auc_roc" if binary else "f1", True, {"class_balanced": binary},
+        "auc_roc" if binary else "f1", True, {"class_balanced": binary}, keys,
     ))
 
 
@@ -255,7 +250,7 @@ def run_density(
         result = _run(config, _Task(
             train, test, stages, names, ["crime_count", *CELL], model_zoo("density"),
             lambda preds: _scores(regression_metrics(preds, "crime_count")),
-            DENSITY_REPORT, "r2", False, {},
+            DENSITY_REPORT, "r2", False, {"target": "crime_count"}, [*CELL, *WINDOW],
         ))
         if config.out:
             write_report(heatmap(cube), config.path("heatmap_data"), parts=None)
@@ -279,5 +274,5 @@ def run_protocol(features: DataFrame, config: ExperimentConfig) -> ExperimentRes
         train, test, stages, names, ["label", "classWeight"],
         model_zoo("protocol", len(names)),
         lambda preds: _scores(classification_metrics(confusion(preds), k=4)),
-        PROTOCOL_REPORT, "f1", True, {"num_classes": 4, "class_balanced": True},
+        PROTOCOL_REPORT, "f1", True, {"num_classes": 4, "class_balanced": True}, keys,
     ))

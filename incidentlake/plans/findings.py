@@ -26,11 +26,19 @@ def _leaders(df: DataFrame, ts: str) -> DataFrame:
     """
     dims = {
         "kind": F.col("primary_type"),
-        "hour": F.concat(F.lpad(F.hour(ts).cast("string"), 2, "0"), F.lit(":00")),
-        "day": F.to_date(ts).cast("string"),
-        "district": F.col("district").cast("string"),
+        "hour": F.hour(ts),
+        "day": F.to_date(ts),
+        "district": F.col("district"),
         "place": F.col("location_description"),
     }
+    # rows are grouped on raw values; only the groups are written out
+    shown = {
+        "hour": F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00")),
+        "day": F.col("day").cast("string"), "district": F.col("district").cast("string"),
+    }
+    # ties go to the smaller value: by number where there is one, else by text
+    numbers = {"hour": F.col("hour").cast("double"), "day": F.unix_date("day").cast("double"),
+               "district": F.col("district").try_cast("double")}
     keys = [c.alias(n) for n, c in dims.items()]
     counts = (
         df.select(*keys).groupingSets([[F.col(n)] for n in dims], *[F.col(n) for n in dims])
@@ -39,19 +47,22 @@ def _leaders(df: DataFrame, ts: str) -> DataFrame:
     # grouping_id has a 0 bit for the one column that is grouped
     full = 2 ** len(dims) - 1
     name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    number = F.lit(None).cast("double")
     for i, d in enumerate(dims):
         mine = F.col("gid") == full - 2 ** (len(dims) - 1 - i)
         name = F.when(mine, F.lit(d)).otherwise(name)
-        value = F.when(mine, F.col(d)).otherwise(value)
-    named = counts.select(name.alias("dim"), value.alias("value"), "n")
+        value = F.when(mine, shown.get(d, F.col(d))).otherwise(value)
+        if d in numbers:
+            number = F.when(mine, numbers[d]).otherwise(number)
+    named = counts.select(name.alias("dim"), value.alias("value"), number.alias("number"), "n")
     # days are ranked from both ends, so each day also enters with its count negated
     both = F.array(F.struct("dim", F.col("n").alias("score")),
                    F.struct(F.lit("day_least").alias("dim"), (-F.col("n")).alias("score")))
     one = F.array(F.struct("dim", F.col("n").alias("score")))
     scored = named.filter("value is not null").select(
-        "value", "n", F.explode(F.when(F.col("dim") == "day", both).otherwise(one)).alias("s")
-    ).select("value", "n", "s.*")
-    best_first = Window.partitionBy("dim").orderBy(F.desc("score"), "value")
+        "value", "number", "n", F.explode(F.when(F.col("dim") == "day", both).otherwise(one)).alias("s")
+    ).select("value", "number", "n", "s.*")
+    best_first = Window.partitionBy("dim").orderBy(F.desc("score"), "number", "value")
     kept = scored.withColumn("rank", F.row_number().over(best_first)).filter("rank <= 3")
 
     def pick(d):

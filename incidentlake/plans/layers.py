@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import (
     clean, clean_upper, double_from_text, is_true_token, not_blank, parse_incident_ts,
@@ -91,18 +91,18 @@ def refine_to_silver(
 ) -> dict[str, int]:
     """Build and write silver; returns the row counts of its three steps.
 
-    The counts come from two columns of bronze and from the written table's
-    metadata, so the wide rows are read and shuffled once.
+    The counts are observed while the table is written, so they describe the very rows
+    it was made of, even if bronze grows meanwhile.
     """
-    bronze = read_table(spark, bronze_path, fmt)
-    written = write_table(to_silver(bronze), silver_path, fmt)
+    before, after = Observation(), Observation()
     has_all = F.lit(True)
     for name in SILVER_REQUIRED:
         has_all = has_all & F.col(name).isNotNull()
-    counts = bronze.agg(
-        F.count("*").alias("rows_before"), F.count_if(has_all).alias("rows_complete")
-    ).first().asDict()
-    return {**counts, "rows_unique": read_table(spark, written, fmt).count()}
+    bronze = read_table(spark, bronze_path, fmt).observe(
+        before, F.count(F.lit(1)).alias("rows_before"), F.count_if(has_all).alias("rows_complete"))
+    silver = to_silver(bronze).observe(after, F.count(F.lit(1)).alias("rows_unique"))
+    write_table(silver, silver_path, fmt)
+    return {**before.get, **after.get}
 
 
 def refine_to_gold(

@@ -8,10 +8,11 @@ from ..functions import is_true_loose
 from ..operators.cleaning import in_bbox
 from ..operators.explore import filter_top_k
 from ..operators.trends import (
-    arrest_rate_by_type, flag_split, map_points, top_locations, trend,
+    arrest_rate_by_type, flag_split, map_cells, map_points, top_locations, trend,
 )
 from ..schema import CITY_BOX
 from .binding import typed_incidents, with_incidents
+from .tables import hash_part_sql
 
 
 # fewer than match at any of the scales, so sampling is really exercised
@@ -46,14 +47,13 @@ def locations(spark, sf_dir):
 
 
 def map_point_sample(spark, sf_dir):
-    """Facts about the sampled points: their number is exact, all are located leaders."""
-    df = typed_incidents(spark, sf_dir)
-    points = map_points(df, key="id", n=MAP_POINTS)
-    return points.agg(
-        F.count("*").alias("points"), F.count_distinct("id").alias("ids"),
-        F.count_distinct("primary_type").alias("types"),
-        F.count_if(~(F.col("latitude").between(*CITY_BOX[:2])
-                     & F.col("longitude").between(*CITY_BOX[2:]))).alias("outside"))
+    """The sampled points themselves."""
+    return map_points(typed_incidents(spark, sf_dir), MAP_POINTS, key="id")
+
+
+def map_grid(spark, sf_dir):
+    """All located rows of the leading types, counted by cell."""
+    return map_cells(typed_incidents(spark, sf_dir))
 
 
 def map_point_counts(spark, sf_dir):
@@ -94,9 +94,13 @@ SELECT location_description, count(*) AS count FROM inc WHERE location_descripti
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""")),
     "map_points": (map_point_sample, with_incidents(f"""
 WITH {_TOP6}
-SELECT least(count(*), {MAP_POINTS}) AS points, least(count(*), {MAP_POINTS}) AS ids,
-  count(DISTINCT primary_type) AS types, 0 AS outside FROM inc
-WHERE {_IN_BOX} AND primary_type IN (SELECT p FROM t)""")),
+SELECT id, lat AS latitude, lon AS longitude, primary_type FROM inc
+WHERE {_IN_BOX} AND primary_type IN (SELECT p FROM t)
+ORDER BY {hash_part_sql("id", 42, 2**16)}, md5('42|' || id), id LIMIT {MAP_POINTS}""")),
+    "map_cells": (map_grid, with_incidents(f"""
+WITH {_TOP6}
+SELECT round(lat, 2) AS lat_grid, round(lon, 2) AS lon_grid, primary_type, count(*) AS count FROM inc
+WHERE {_IN_BOX} AND primary_type IN (SELECT p FROM t) GROUP BY 1, 2, 3""")),
     "map_point_counts": (map_point_counts, with_incidents(f"""
 WITH {_TOP6}
 SELECT primary_type, count(*) AS count, count(*) FILTER (WHERE arrest_loose) AS arrests FROM inc

@@ -14,6 +14,11 @@ def cube(spark, sf_dir):
     return density_cube(typed_incidents(spark, sf_dir), "date_ts")
 
 
+def busy_windows(spark, sf_dir):
+    """Windows with two incidents or more."""
+    return density_cube(typed_incidents(spark, sf_dir), "date_ts", at_least=2)
+
+
 def cube_profile(spark, sf_dir):
     return profile(cube(spark, sf_dir), ["crime_count"]).select("column", "count", *[
         F.round(c, 6).alias(c) for c in ("mean", "stddev", "min", "max")])
@@ -62,6 +67,8 @@ boxed AS (
 
 QUERIES = {
     "density_cube": (cube, with_incidents(f"WITH {_CUBE}\nSELECT * FROM cube")),
+    "density_cube_at_least": (busy_windows, with_incidents(
+        f"WITH {_CUBE}\nSELECT * FROM cube WHERE crime_count >= 2")),
     "density_profile": (cube_profile, with_incidents(f"""
 WITH {_CUBE}
 SELECT 'crime_count' AS column, count(*)::DOUBLE AS count, round(avg(crime_count), 6) AS mean,

@@ -237,14 +237,14 @@ def findings(spark, sf_dir):
 
 def _findings_sql():
     def top(dim, alias, extra="", k=1, order="n DESC"):
-        return (f"{alias} AS (SELECT v, n, row_number() OVER (ORDER BY {order}, v) AS r FROM "
+        return (f"{alias} AS (SELECT CAST(v AS VARCHAR) AS v, n, row_number() OVER (ORDER BY {order}, v) AS r FROM "
                 f"(SELECT {dim} AS v, count(*) AS n FROM inc WHERE {dim} IS NOT NULL {extra} GROUP BY 1) "
                 f"QUALIFY r <= {k})")
 
     day = "strftime(date_ts, '%Y-%m-%d')"
     return with_incidents(f"""
 WITH {top('primary_type', 'k')}, {top("strftime(date_ts, '%H:00')", 'h', k=2)}, {top(day, 'd')},
-{top(day, 'q', order='n')}, {top('CAST(district_n AS VARCHAR)', 's', k=3)},
+{top(day, 'q', order='n')}, {top('district_n', 's', k=3)},
 {top('location_description', 'l')},
 m AS (SELECT "column" AS c, null_pct FROM ({_missing_sql().split('AS date_ts FROM iso)', 1)[1]})
   ORDER BY null_count DESC, c LIMIT 1),

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Window, functions as F
 
-from ..operators.density import heatmap
+from ..operators.density import density_cube, heatmap
 from ..operators.features import CATEGORICAL_A, feature_table
 from ..operators.learning import (
     feature_stages, features_for, fit_stages, label_for, model_zoo,
@@ -18,8 +18,10 @@ from ..plans.experiments import (
     ExperimentConfig, roc_curves, run_binary, run_density, run_protocol,
 )
 from ..session import scratch_dir
-from ..sources import read_runs, save_model
-from .binding import incidents, table, typed_incidents
+from ..schema import HEATMAP_SCHEMA
+from ..sources import read_report, read_runs, save_model
+from .binding import incidents, table, typed_incidents, with_incidents
+from .density import _CUBE
 from .features import FEATURES_A_SQL
 
 
@@ -123,11 +125,8 @@ def _experiment(target):
 
 
 def model_roc_curves(spark, sf_dir):
-    """ROC points of two trained models; both ends of every curve are checked in SQL."""
-    zoo = model_zoo("binary")
-    models = {n: zoo[n] for n in ("LogisticRegression", "NaiveBayes")}
-    result = run_binary(
-        _table_a(spark, sf_dir), ExperimentConfig("arrest", models=models, keys=["id"]))
+    """ROC points of all five models; both ends of every curve are checked in SQL."""
+    result = run_binary(_table_a(spark, sf_dir), ExperimentConfig("arrest", keys=["id"]))
     points = roc_curves(result)
     rising = Window.partitionBy("model").orderBy(F.desc("threshold_no"))
     before = F.coalesce(F.lag("tpr").over(rising), F.lit(0.0))
@@ -141,11 +140,31 @@ def density_experiment(spark, sf_dir):
 
 
 def predicted_heatmap(spark, sf_dir):
-    """Mean predicted count per cell by boosted trees."""
+    """Cells of the heatmap of predicted counts: every window of the cube is predicted."""
     boosted = {"GBTRegressor": model_zoo("density")["GBTRegressor"]}
-    result = run_density(
-        typed_incidents(spark, sf_dir), ExperimentConfig("density", models=boosted), "date_ts")
-    return heatmap(result.predictions, "prediction")
+    incidents_ = typed_incidents(spark, sf_dir)
+    result = run_density(incidents_, ExperimentConfig("density", models=boosted), "date_ts")
+    predicted = result.models[result.best].transform(density_cube(incidents_, "date_ts"))
+    found = heatmap(predicted, "prediction")
+    return found.select("lat_grid", "lon_grid_abs", "time_windows")
+
+
+def importance_of_a_tree(spark, sf_dir):
+    """Features of the best model, whose importances add up to one."""
+    models = {"DecisionTreeClassifier": model_zoo("binary")["DecisionTreeClassifier"]}
+    result = run_binary(_table_a(spark, sf_dir), ExperimentConfig("arrest", models=models, keys=["id"]))
+    total = F.round(F.sum("importance").over(Window.partitionBy()), 6)
+    return result.importance.select("feature", total.alias("total"))
+
+
+def heatmap_report(spark, sf_dir):
+    """The heatmap file that the density experiment leaves behind."""
+    out = scratch_dir(spark, "density")
+    models = {"LinearRegression": model_zoo("density")["LinearRegression"]}
+    config = ExperimentConfig("density", out=out, models=models)
+    run_density(typed_incidents(spark, sf_dir), config, "date_ts")
+    cells = read_report(spark, config.path("heatmap_data"), HEATMAP_SCHEMA)
+    return cells.withColumn("avg_crimes", F.round("avg_crimes", 6))
 
 
 def protocol_experiment(spark, sf_dir):
@@ -193,12 +212,18 @@ SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
 SELECT 'exp01_arrest_classification' AS experiment, 'NaiveBayes' AS run, 6 AS metrics, 0 AS errors
 UNION ALL SELECT 'exp01_arrest_classification', 'Broken', 0, 1"""),
     "model_roc_curves": (model_roc_curves, """
-SELECT 'LogisticRegression' AS model, 100 AS points, 1.0::DOUBLE AS top, 0 AS falling
-UNION ALL SELECT 'NaiveBayes', 100, 1.0::DOUBLE, 0"""),
+SELECT unnest(['LogisticRegression', 'DecisionTreeClassifier', 'RandomForestClassifier', 'GBTClassifier',
+  'NaiveBayes']) AS model, 100 AS points, 1.0::DOUBLE AS top, 0 AS falling"""),
+    "feature_importance": (importance_of_a_tree, f"""
+SELECT unnest({[*_NUMERIC, *[f"{c}_idx" for c in CATEGORICAL_A]]}) AS feature, 1.0::DOUBLE AS total"""),
+    "heatmap_report": (heatmap_report, with_incidents(f"""
+WITH {_CUBE}
+SELECT lat_grid, lon_grid_abs, time_windows, round(avg_crimes, 6) AS avg_crimes FROM cells""")),
     "experiment_arrest": (_experiment("arrest"), None),
     "experiment_domestic": (_experiment("domestic"), None),
     "experiment_crime_group": (_experiment("crime_group"), None),
     "experiment_density": (density_experiment, None),
-    "predicted_heatmap": (predicted_heatmap, None),
+    "predicted_heatmap": (predicted_heatmap, with_incidents(
+        f"WITH {_CUBE}\nSELECT lat_grid, lon_grid_abs, time_windows FROM cells")),
     "experiment_protocol": (protocol_experiment, None),
 }

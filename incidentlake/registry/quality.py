@@ -124,12 +124,10 @@ def residual_bins(spark, sf_dir):
 
 
 def scatter_points(spark, sf_dir):
-    """Facts about the scatter sample: exact size, real pairs only."""
+    """The points of a scatter chart."""
     rows = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "o_totalprice AS label", "o_totalprice * 2 AS prediction")
-    return actual_vs_predicted(rows, "o_orderkey", 2000).agg(
-        F.count("*").alias("points"), F.count_distinct("o_orderkey").alias("keys"),
-        F.count_if(F.col("prediction") != F.col("label") * 2).alias("wrong"))
+    return actual_vs_predicted(rows, "o_orderkey", 2000)
 
 
 def _scored(spark, sf_dir):
@@ -219,8 +217,10 @@ c AS (SELECT least(CAST(floor((x - lo) / w) AS BIGINT), 59) AS bin, count(*) AS
 SELECT CAST(range AS INT) AS bin, round(lo + range * w, 6) AS lower,
   round(lo + (range + 1) * w, 6) AS upper, COALESCE(n, 0) AS count
 FROM range(60) CROSS JOIN r LEFT JOIN c ON c.bin = range"""),
-    "actual_vs_predicted": (scatter_points, """
-SELECT least(count(*), 2000) AS points, least(count(*), 2000) AS keys, 0 AS wrong FROM orders"""),
+    "actual_vs_predicted": (scatter_points, f"""
+SELECT o_orderkey, o_totalprice AS label, o_totalprice * 2 AS prediction FROM orders
+ORDER BY (('0x' || substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 12))::BIGINT % {2**16}),
+  md5('42|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 2000"""),
     "roc_points": (roc, """
 WITH s AS (SELECT event_type AS model, CAST(json_extract_string(props, '$.k') AS INT) < 15 AS hit,
   value / 500 AS score FROM events),

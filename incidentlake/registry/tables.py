@@ -48,61 +48,53 @@ _FLAG_ORDER = ("l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey,
 _LINES_SHOWN = ", ".join(LINE_COLUMNS[:-1]) + ", strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate"
 
 
-def _page(heap_page):
+def _page(share):
+    """A page that begins behind a share of all orders."""
     def query(spark, sf_dir):
+        orders = table(spark, sf_dir, "orders")
         page = newest_records(
-            table(spark, sf_dir, "orders"), "o_orderdate", "o_orderkey", 5000, 2500,
-            ["o_orderkey", "o_orderdate", "o_totalprice"], heap_page=heap_page)
+            orders, "o_orderdate", "o_orderkey", 500, int(orders.count() * share),
+            ["o_orderkey", "o_orderdate", "o_totalprice"])
         return page.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     return query
 
 
-_PAGE_SQL = """
+def _page_sql(share):
+    return f"""
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice FROM orders
-ORDER BY orders.o_orderdate DESC, o_orderkey LIMIT 5000 OFFSET 2500"""
+QUALIFY row_number() OVER (ORDER BY orders.o_orderdate DESC, o_orderkey) - 1 - CAST(floor(
+  {share}::DOUBLE * count(*) OVER ()) AS BIGINT) BETWEEN 0 AND 499"""
+
+
+def hash_part_sql(key: str, seed: int, parts: int) -> str:
+    """The key's bucket as the sampling operators compute it."""
+    return f"(('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 12))::BIGINT % {parts})"
 
 
 def key_split(spark, sf_dir):
-    """The split is complete, disjoint, near its ratio and blind to the layout."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    train, test = split(orders, ["o_orderkey"])
-    moved, _ = split(orders.repartition(7), ["o_orderkey"])
-    sides = train.select("o_orderkey", F.lit(1).alias("train"), F.lit(0).alias("test"), F.lit(0).alias("moved")) \
-        .unionByName(test.select("o_orderkey", F.lit(0).alias("train"), F.lit(1).alias("test"), F.lit(0).alias("moved"))) \
-        .unionByName(moved.select("o_orderkey", F.lit(0).alias("train"), F.lit(0).alias("test"), F.lit(1).alias("moved")))
-    per_key = sides.groupBy("o_orderkey").agg(*[F.sum(c).alias(c) for c in ("train", "test", "moved")])
-    return per_key.agg(
-        F.count("*").alias("keys"),
-        F.count_if((F.col("train") > 0) & (F.col("test") > 0)).alias("on_both_sides"),
-        F.count_if((F.col("train") > 0) != (F.col("moved") > 0)).alias("moved_with_layout"),
-        F.avg((F.col("train") > 0).cast("double")).between(0.75, 0.85).alias("ratio_ok"))
+    """The side of every key."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    train, test = split(orders.repartition(7), ["o_orderkey"])
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
 def capped_rows(spark, sf_dir):
-    """Everything when it fits, else about the target."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    """The rows that are left when half of them may stay."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     n = orders.count()
-    fits = cap_rows(orders, ["o_orderkey"], n, n).agg(F.count("*").alias("all_rows"))
-    half = cap_rows(orders, ["o_orderkey"], n // 2, n).agg(F.count("*").alias("half_rows"))
-    return fits.withColumn("half_rows", half.scalar()).select(
-        "all_rows", (F.col("half_rows") / F.col("all_rows")).between(0.45, 0.55).alias("half_ok"))
+    return cap_rows(orders, ["o_orderkey"], n // 2, n)
 
 
 def exact_sample(spark, sf_dir):
-    """Exact size, no repeats, the same rows for any layout."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    a = sample_exact(orders, "o_orderkey", 700)
-    b = sample_exact(orders.repartition(5), "o_orderkey", 700)
-    both = a.join(b, "o_orderkey", "left_semi").agg(F.count("*")).scalar()
-    return a.agg(F.count("*").alias("rows"), F.count_distinct("o_orderkey").alias("keys")) \
-        .withColumn("same", both)
+    """The 700 orders with the smallest digests."""
+    return sample_exact(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 700)
 
 
 def chart_sample(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    """About a third of the orders."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     n = orders.count()
-    found = sample_fraction(orders, n // 3, n).agg(F.count("*").alias("rows"))
-    return found.select((F.col("rows") / n).between(0.28, 0.39).alias("size_ok"))
+    return sample_fraction(orders, ["o_orderkey"], n // 3, n)
 
 
 def _csv(spark, sf_dir, pretty=False):
@@ -179,9 +171,11 @@ def run_log(spark, sf_dir):
 
 
 def order_weekdays(spark, sf_dir):
-    """Orders placed on working days only, shown for the whole week."""
-    days = table(spark, sf_dir, "orders").filter(F.dayofweek("o_orderdate").between(2, 6)).groupBy(
-        F.date_format("o_orderdate", "EEEE").alias("day")).agg(F.count("*").alias("count"))
+    """Large orders of the last days in the table, shown for the whole week; some days have none."""
+    orders = table(spark, sf_dir, "orders")
+    latest = orders.agg(F.max("o_orderdate")).scalar()
+    recent = orders.filter(F.datediff(latest, "o_orderdate") < 4)
+    days = recent.groupBy(F.date_format("o_orderdate", "EEEE").alias("day")).agg(F.count("*").alias("count"))
     return order_by_day(days)
 
 
@@ -194,15 +188,23 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.
 SELECT {_LINES_SHOWN} FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY {_FLAG_ORDER.replace(
     'l_shipdate', 'lineitem.l_shipdate')}) = 1"""),
-    "newest_page": (_page(100_000), _PAGE_SQL),
-    "newest_page_deep": (_page(0), _PAGE_SQL),
-    "split_by_key": (key_split, """
-SELECT count(DISTINCT o_orderkey) AS keys, 0 AS on_both_sides, 0 AS moved_with_layout,
-  true AS ratio_ok FROM orders"""),
-    "cap_rows": (capped_rows, "SELECT count(*) AS all_rows, true AS half_ok FROM orders"),
-    "sample_exact": (exact_sample, """
-SELECT least(count(*), 700) AS rows, least(count(*), 700) AS keys, least(count(*), 700) AS same FROM orders"""),
-    "sample_fraction": (chart_sample, "SELECT count(*) > 0 AS size_ok FROM orders"),
+    "newest_page": (_page(0.0), _page_sql(0.0)),
+    "newest_page_middle": (_page(0.4), _page_sql(0.4)),
+    "newest_page_deep": (_page(0.99), _page_sql(0.99)),
+    "split_by_key": (key_split, f"""
+SELECT o_orderkey, o_totalprice, CASE WHEN {hash_part_sql("o_orderkey", 42, 10_000)} < 8000
+  THEN 'train' ELSE 'test' END AS side FROM orders"""),
+    "cap_rows": (capped_rows, f"""
+WITH n AS (SELECT count(*) AS n FROM orders)
+SELECT o_orderkey, o_totalprice FROM orders, n
+WHERE {hash_part_sql("o_orderkey", 43, 2**31)} < CAST(floor({2**31}::DOUBLE * (n // 2) / n) AS BIGINT)"""),
+    "sample_exact": (exact_sample, f"""
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY {hash_part_sql("o_orderkey", 42, 2**16)},
+  md5('42|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 700"""),
+    "sample_fraction": (chart_sample, f"""
+WITH n AS (SELECT count(*) AS n FROM orders)
+SELECT o_orderkey, o_totalprice FROM orders, n
+WHERE {hash_part_sql("o_orderkey", 43, 2**31)} < CAST(floor({2**31}::DOUBLE * (n // 3) / n) AS BIGINT)"""),
     "csv_source": (csv_source, with_incidents("""
 SELECT id, primary_type, CASE WHEN district <> '' THEN district END AS district, latitude,
   strftime(date_ts, '%Y-%m-%d %H:%M:%S.%f') AS date_ts FROM inc""")),
@@ -220,10 +222,11 @@ SELECT id AS kafka_key, id AS crime_id, primary_type, primary_type AS event_type
     "run_log": (run_log, f"""WITH {_PREDICTIONS}
 SELECT 'flags' AS experiment, model AS run, 'param' AS kind, 'target' AS key, 'l_returnflag' AS value FROM mx
 UNION ALL SELECT 'flags', model, 'metric', 'accuracy', CAST(round(accuracy, 6) AS VARCHAR) FROM mx
-UNION ALL SELECT 'flags', 'Broken', 'param', 'error', '500'"""),
+UNION ALL SELECT 'flags', 'Broken', 'param', 'error', '700'"""),
     "weekday_reindex": (order_weekdays, """
 WITH days AS (SELECT * FROM (VALUES (1, 'Monday'), (2, 'Tuesday'), (3, 'Wednesday'),
   (4, 'Thursday'), (5, 'Friday'), (6, 'Saturday'), (7, 'Sunday')) t(position, day))
-SELECT position, day, count(o_orderkey) AS count FROM days
-LEFT JOIN orders ON dayname(o_orderdate) = day AND position <= 5 GROUP BY ALL"""),
+SELECT position, day, count(o_orderkey) AS count FROM days LEFT JOIN
+  (SELECT * FROM orders WHERE date_diff('day', CAST(o_orderdate AS DATE), (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)) < 4) AS o
+  ON dayname(o_orderdate) = day GROUP BY ALL"""),
 }

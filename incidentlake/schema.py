@@ -79,10 +79,6 @@ MONTHS = [
     "Jul", "Aug", "Sep", "Oct", "Nov", "Dec",
 ]
 
-PROTOCOL_CLASSES = {
-    0: "NonDom+NoArrest", 1: "NonDom+Arrest", 2: "Dom+NoArrest", 3: "Dom+Arrest",
-}
-
 # --- Schemas ----------------------------------------------------------------------
 
 
@@ -90,7 +86,6 @@ def _strings(names):
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-RAW_SCHEMA = _strings(RAW_FIELDS)
 EVENT_SCHEMA = _strings(EVENT_FIELDS)
 
 ENVELOPE_SCHEMA = T.StructType([

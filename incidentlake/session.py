@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,29 +22,34 @@ def get_session(app: str = "incidentlake", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder named by ``spark.checkpoint.dir``.
+#: Where a local session without the setting (tests) keeps scratch data.
+LOCAL_SCRATCH = "/tmp/checkpoints"
+
 
-    Every executor must see that folder. A local session without the setting
-    (tests) gets a temporary folder; a cluster without it is an error.
-    """
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a cluster without the setting is an error."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="incidentlake-")
-        sc.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        root = LOCAL_SCRATCH
+    return root.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder, removed with all its siblings when the session ends."""
+    home = f"{_scratch_root(spark)}/scratch-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(home)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping a folder that is already set."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        scratch_dir(spark, "init")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(_scratch_root(spark))

@@ -6,18 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import RUN_LOG_SCHEMA
 
-ERROR_LENGTH = 500
-
 
 def log_run(
     spark: SparkSession, path: str, experiment: str, run: str,
     params: dict | None = None, metrics: dict | None = None, error: object = None,
 ) -> None:
-    """Append one run; an error text is cut to its first 500 characters."""
+    """Append one run; an error text is kept whole."""
     entries = [("param", k, v) for k, v in (params or {}).items()]
     entries += [("metric", k, v) for k, v in (metrics or {}).items()]
     if error is not None:
-        entries.append(("param", "error", str(error)[:ERROR_LENGTH]))
+        entries.append(("param", "error", str(error)))
     rows = [(experiment, run, kind, k, str(v)) for kind, k, v in entries]
     (
         spark.createDataFrame(rows, RUN_LOG_SCHEMA)

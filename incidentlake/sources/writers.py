@@ -58,17 +58,15 @@ def write_report(
     if order_by:
         df = df.repartition(1).sortWithinPartitions(*order_by)
     elif parts is not None:
-        df = df.coalesce(parts)
+        df = df.repartition(parts)  # a shuffle, so that what is before it keeps its tasks
     df.write.mode(mode).csv(path, header=True)
 
 
 def publish_events(
-    raw: DataFrame, sink: str, target: str, limit: int | None = None, mode: str = "append",
+    raw: DataFrame, sink: str, target: str, mode: str = "append",
     timestamp: str | None = None, **options: str,
 ) -> None:
     """Raw rows as keyed JSON messages to a Kafka topic or to envelope files."""
-    if limit is not None:
-        raw = raw.limit(limit)
     keep = [timestamp] if timestamp else []
     messages = to_envelope(to_event_record(raw, keep), F.col(timestamp) if timestamp else None)
     if sink == "kafka":

@@ -13,10 +13,11 @@ def read_events(spark: SparkSession, source: str = "files", **options: str) -> D
 
     ``files`` needs ``path``, a folder of envelope Parquet files. ``kafka`` takes the
     connector's options (``subscribe``, ``kafka.bootstrap.servers``) and starts at
-    the earliest offset unless told otherwise.
+    the earliest offset unless told otherwise. Both bound a batch, so a backlog is worked
+    off in steps: ``maxOffsetsPerTrigger`` and ``maxFilesPerTrigger`` set other sizes.
     """
     if source == "kafka":
-        settings = {"startingOffsets": "earliest", **options}
+        settings = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "100000000", **options}
         stream = spark.readStream.format("kafka").options(**settings).load()
         return stream.select("key", "value", "timestamp")
     if source == "files":

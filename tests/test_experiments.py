@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, LogisticRegression, NaiveBayes,
+    DecisionTreeClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
@@ -108,3 +108,11 @@ def test_model_sets():
     assert model_zoo("protocol", 13)["MultilayerPerceptron"].getLayers() == [13, 32, 4]
     with pytest.raises(ValueError):
         model_zoo("nothing")
+
+
+def test_layout_does_not_change_models(table_a):
+    models = {"Forest": RandomForestClassifier(numTrees=5, maxDepth=4, seed=1, weightCol="classWeight")}
+    found = [
+        run_binary(table_a.repartition(n), ExperimentConfig("arrest", models=models, keys=["id"], partitions=6)).metrics.first()
+        for n in (3, 11)]
+    assert found[0] == found[1]

@@ -130,16 +130,18 @@ def test_deep_pages_by_brute_force(spark, offset, limit):
     df = spark.createDataFrame(rows, "id int, at int").repartition(6)
     ordered = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
     wanted = [r[0] for r in ordered[offset:offset + limit]]
-    for heap_page in (0, 10_000):
-        page = sampling.newest_records(df, "at", "id", limit, offset, heap_page=heap_page)
-        assert [r["id"] for r in page.collect()] == wanted
+    page = sampling.newest_records(df, "at", "id", limit, offset)
+    assert [r["id"] for r in page.collect()] == wanted
+    as_text = df.selectExpr("id", "lpad(cast(at as string), 3, '0') AS at")
+    assert [r["id"] for r in sampling.newest_records(as_text, "at", "id", limit, offset).collect()] == wanted
 
 
 def test_pages_show_chosen_columns(spark):
     df = spark.range(30).selectExpr("id", "id % 7 AS at", "id * 2 AS twice")
-    for heap_page in (0, 100):
-        page = sampling.newest_records(df, "at", "id", 3, columns=["twice"], heap_page=heap_page)
-        assert page.columns == ["twice"] and [r[0] for r in page.collect()] == [12, 26, 40]
+    page = sampling.newest_records(df, "at", "id", 3, columns=["twice"])
+    assert page.columns == ["twice"] and [r[0] for r in page.collect()] == [12, 26, 40]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
 
 
 def test_split_ignores_the_layout(spark):
@@ -165,3 +167,18 @@ def test_cap(spark):
     df = spark.range(10_000)
     assert sampling.cap_rows(df, ["id"], 10_000, 10_000).count() == 10_000
     assert 2300 < sampling.cap_rows(df, ["id"], 2500, 10_000).count() < 2700
+
+
+def test_histogram_range_loses_nothing(frame):
+    df = frame([(float(x),) for x in (1, 2, 3, 9)], "x double")
+    assert sum(r["count"] for r in explore.histogram(df, "x", 4, value_range=(0, 10)).collect()) == 4
+    with pytest.raises(Exception, match="outside the range"):
+        explore.histogram(df, "x", 4, value_range=(0, 5)).collect()
+
+
+def test_districts_tie_by_number(frame):
+    rows = [(d, dt.datetime(2020, 1, 1 + k, 5)) for k in range(2) for d in (11, 10, 9, 2)]
+    df = frame([(d, t, "T", "P", None, None) for d, t in rows],
+               "district int, date_ts timestamp, primary_type string, location_description string, arrest string, domestic string")
+    found = {r["finding"]: r["detail"] for r in eda_summary(df).collect()}
+    assert found["Highest-crime districts"] == "2, 9, 10"

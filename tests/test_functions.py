@@ -103,3 +103,15 @@ def test_names_of_days_and_months(frame):
 def test_load_time_has_an_offset(spark):
     stamp = spark.range(1).select(fn.iso_now()).first()[0]
     assert dt.datetime.fromisoformat(stamp).utcoffset() == dt.timedelta(0)
+
+
+@pytest.mark.parametrize("blank", ["", " ", "\t", "\n", "\r", "\x0b", "\x0c", " \t\n"])
+def test_tolerant_int_trims_what_a_cast_trims(frame, blank):
+    df = frame([(f"{blank}12{blank}",), (f"12{blank}",), (f"{blank}-3.0",)], "x string")
+    found = [tuple(r) for r in df.select(fn.tolerant_int("x"), F.col("x").try_cast("double").cast("int")).collect()]
+    assert found == [(12, 12), (12, 12), (-3, -3)]
+
+
+def test_tolerant_int_keeps_junk_out(frame):
+    df = frame([("1 2",), ("12x",), ("",), ("\t",), ("1\n2",), ("99999999999",)], "x string")
+    assert [r[0] for r in df.select(fn.tolerant_int("x")).collect()] == [None] * 6

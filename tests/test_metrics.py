@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.sql import functions as F
 
 from incidentlake.operators import metrics as m
-from incidentlake.operators.learning import balanced_weight, with_class_weights
+from incidentlake.operators.learning import auc_roc, balanced_weight, with_class_weights
 from incidentlake.schema import CONFUSION_SCHEMA
 
 # Published confusion counts (label, prediction, count)
@@ -121,3 +121,23 @@ def test_long_forms(frame):
 def test_best_model_prefers_values_over_missing(frame):
     df = frame([("a", None), ("c", 0.5), ("b", 0.5)], "model string, f1 double")
     assert m.best_model(df, "f1").first()["model"] == "b"
+
+
+def test_matrix_accounts_for_every_row(frame):
+    cells = frame([(0.0, 0.0, 3), (3.0, 1.0, 5)], CONFUSION_SCHEMA)
+    with pytest.raises(Exception, match="not one of 3 classes"):
+        m.confusion_matrix(cells, 3).collect()
+    rows = m.confusion_matrix(cells, 4).collect()
+    assert sum(sum(r[1:]) for r in rows) == 8
+
+
+def test_exact_auc(spark):
+    rng = np.random.default_rng(4)
+    scores = np.concatenate([rng.normal(size=3000), np.repeat([0.25, -40.0, 40.0], 50)])
+    labels = (rng.random(len(scores)) < 0.3).astype(float)
+    rows = list(zip(scores.tolist(), labels.tolist()))
+    df = spark.createDataFrame(rows, "rawPrediction double, label double").repartition(5)
+    pos, neg = scores[labels == 1], scores[labels == 0]
+    won = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
+    assert auc_roc(df) == pytest.approx(won / (len(pos) * len(neg)), abs=1e-12)
+    assert auc_roc(df.filter("label = 1")) == 0.0 and auc_roc(df.drop("rawPrediction")) == 0.0

@@ -24,7 +24,7 @@ def test_against_sql(spark, duck, sf_dir, name):
 def test_only_trained_models_go_without_sql():
     assert set(QUERIES) - set(SQL) == {
         "experiment_arrest", "experiment_domestic", "experiment_crime_group",
-        "experiment_density", "experiment_protocol", "predicted_heatmap"}
+        "experiment_density", "experiment_protocol"}
 
 
 def test_flagship(spark, sf_dir):
