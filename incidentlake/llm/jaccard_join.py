@@ -177,10 +177,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pd.DataFrame({"token": np.concatenate(token), "node": np.concatenate(node), "n": np.concatenate(n), "pos": np.concatenate(pos)})
 
     entries = rows.select("text").mapInPandas(index, "token bigint, node bigint, n int, pos int")
-    lists = entries.groupBy("token").agg(
+    lists = cut(entries.groupBy("token").agg(
         F.min(F.struct("node", "n", "pos")).alias("p"), F.max("node").alias("last"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
-    ).filter(f"p.node <> last and not {t.hopeless('size', 'low', 'high')}")
-    shared = cut(entries.join(lists.select("token", "p"), "token").groupBy("token", "node", "n", "pos", "p").agg(F.lit(1).alias("one")).drop("one"))
+    ).filter(f"p.node <> last and not {t.hopeless('size', 'low', 'high')}").select("token", "p"))
+    shared = cut(narrowed(entries, lists, "token").join(lists, "token").groupBy("token", "node", "n", "pos", "p").agg(F.lit(1).alias("one")).drop("one"))
 
     votes = shared.filter("node <> p.node").filter(t.possible("n", "pos", "p.n", "p.pos")) \
         .groupBy("node", "n", F.expr("p.node as pivot"), F.expr("p.n as m")).agg(F.count("*").alias("common")) \
