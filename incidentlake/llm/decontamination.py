@@ -77,15 +77,24 @@ def latent_space(sample: DataFrame, items: list[str | None], idf: np.ndarray) ->
     """Scaled right singular vectors (BUCKETS x RANK) of the sample's and the items' passages."""
     spark = sample.sparkSession
 
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((BUCKETS, RANK + EXTRA), np.float32)
+        for frame in frames:
+            for part in frame["part"]:
+                total += np.frombuffer(part, np.float32).reshape(total.shape)
+        yield pd.DataFrame({"part": [total.tobytes()]})
+
     def product(thin: np.ndarray) -> np.ndarray:
-        held = spark.sparkContext.broadcast((idf, thin))
+        held = spark.sparkContext.broadcast((idf, thin.astype(np.float32)))
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = sum((gram_product(list(f["text"]), *held.value) for f in frames), np.zeros(thin.shape))
             yield pd.DataFrame({"part": [total.astype(np.float32).tobytes()]})
 
-        parts = sample.mapInPandas(run, "part binary").collect()  # FIT_TASKS arrays of a fixed size
-        return sum((np.frombuffer(p.part, np.float32).reshape(thin.shape).astype(float) for p in parts), gram_product(items, idf, thin))
+        # FIT_TASKS arrays of a fixed size are summed in one task, so the driver sees a single one
+        part = sample.mapInPandas(run, "part binary").repartition(1).mapInPandas(summed, "part binary").first().part
+        held.unpersist()
+        return np.frombuffer(part, np.float32).reshape(thin.shape) + gram_product(items, idf, thin)
 
     basis, _ = np.linalg.qr(product(np.random.default_rng(3).standard_normal((BUCKETS, RANK + EXTRA))))
     values, vectors = np.linalg.eigh(basis.T @ product(basis))

@@ -152,7 +152,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     members = cut(rows.select("id", "row_key", "text").mapInPandas(sizes, f"id {id_type}, row_key bigint, n bigint, node bigint, bits array<bigint>"))
     nodes = cut(members.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key"), F.any_value("bits").alias("bits")))
-    held = spark.sparkContext.broadcast(bucket_counts(rows, SKETCH, lambda texts: _buckets(texts, words)))
+    counts = bucket_counts(rows, SKETCH, lambda texts: _buckets(texts, words))
+    held = spark.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32))  # 4 MB
 
     def index(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # copies of a set give one entry a task, or one more each time this is emptied
