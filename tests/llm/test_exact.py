@@ -165,6 +165,41 @@ def test_line_dedup(texts, small_docs):
     assert sorted(r.n_removed for r in twice) == [0, 6, 6]  # the null id comes first, equal rows are alike
 
 
+def runs_removed(rows, min_words=50):
+    """Every stretch of lines with enough words, of any length, that has stood before, in the order of (id, row, line), is deleted."""
+    first, stretches = {}, []
+    for r, (i, text) in sorted(enumerate(rows), key=lambda x: (x[1][0], x[0])):
+        lines = [(k, x.strip()) for k, x in enumerate(text.split("\n") if text else []) if x.strip()]
+        for s in range(len(lines)):
+            total, run = 0, hashlib.sha256()
+            for k, x in lines[s:]:
+                total += len(x.split())
+                run.update(f"{x}\n".encode())
+                if total >= min_words:
+                    stretches.append((run.digest(), r, lines[s][0], k))
+                    first.setdefault(run.digest(), (r, lines[s][0]))
+    gone = defaultdict(set)
+    for w, r, s, e in stretches:
+        if first[w] != (r, s):
+            gone[r] |= set(range(s, e + 1))
+    return ["\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[r]) if t else t for r, (_, t) in enumerate(rows)]
+
+
+def test_line_dedup_whole_runs(texts, small_docs):
+    def line(name, n):
+        return " ".join(f"{name}{j}" for j in range(n))
+    run = [line("a", 60), line("b", 45)]
+    short = [line("c", 60), *[line(f"d{k}", 5) for k in range(15)], "", line("e", 1)]
+    rows = sorted(small_docs)[:150] + [(1001, "\n".join(["head", *run, "tail"])), (1002, "\n".join(["start", *run, "stop"])),
+        (1003, "\n".join(["x", run[0]])), (1004, "\n".join(["y", run[1]])), (1005, "\n".join(short)), (1006, "\n".join(["z", *short, "last"])),
+        (1007, "\n".join(short[:9] + ["other"])), (1008, "\n".join(["own words"] + short[4:] + ["more"])), (1009, "\n".join([line("f", 5)] * 40))]
+    found = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(texts([(i, t, "en") for i, t in rows])).collect()}
+    assert found[1002] == ("start\nstop", 2)
+    assert found[1004] == (f"y\n{run[1]}", 0)  # 45 words alone are no run
+    assert found[1006] == ("z\nlast", 18)
+    assert {i: t for i, (t, _) in found.items()} == dict(zip([i for i, _ in rows], runs_removed(rows), strict=True))
+
+
 def shingled(text, k):
     words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
     return {tuple(words[i:i + k]) for i in range(max(len(words) - k + 1, 1))} if words else set()
