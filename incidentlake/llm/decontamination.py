@@ -6,11 +6,15 @@ once for the Rayleigh-Ritz step. It is fitted on the windows of FIT_DOCS documen
 and of the benchmark; the search covers every window of every document.
 
 A window is a candidate for an item if its cosine with one of the item's windows reaches COSINE. Item windows start at every
-word and document windows at every STRIDE-th, so a copied passage always holds a pair of windows that are equal. Windows that have
-less than SHARE of their squared weights in words of the benchmark are not compared: their cosines with any item
-are small. Of a candidate's squared weights OVERLAP must lie in words of the item's window. For each place that is left the longest common subsequence of words with the item must reach LCS of its length, and the answer
+word and document windows at every STRIDE-th, so a copied passage always holds a pair of windows that are equal. For each candidate's place
+the longest common subsequence of words with the item must reach LCS of its length, and the answer
 (the item's last sentence, or its last quarter if it is one sentence) must reach ANSWER of its own.
 
+A bound that LCS implies comes first: a subsequence holds no more words than the item has words that occur anywhere in the text.
+Texts are taken in chunks that hold every region of the exact check whole, and the words of an item that occur in a chunk are
+counted for all chunks and items by products of blocks. Only windows of a chunk with LCS of the item's words or more are
+compared with the item, so the bound loses no place that the exact check would accept.
+
 The benchmark is a stated query set: it is taken in blocks of ITEMS items, each of which is sent to the tasks.
 
 Defined cases: null and empty texts and items match nothing; words are compared without case (A-Z) and punctuation; equal
@@ -34,7 +38,8 @@ BUCKETS = 1 << 15
 RANK, EXTRA = 48, 12
 FIT_DOCS, FIT_TASKS = 4000, 8
 WINDOW, STRIDE = 12, 4
-COSINE, SHARE, OVERLAP, LCS, ANSWER = 0.9, 0.75, 0.65, 0.7, 0.6
+COSINE, LCS, ANSWER = 0.7, 0.7, 0.6
+CHUNK = 64  # words between the starts of chunks
 ITEMS = 2000
 
 
@@ -141,24 +146,22 @@ class Searcher:
         self.masks = [masks_of(w) for w in self.words]
         self.answer_masks = [masks_of(w) for w in self.answers]
         buckets = list(buckets_of(texts))
-        self.weights = (idf ** 2).astype(np.float32)
-        inside = np.zeros(BUCKETS, bool)
-        for b in buckets:
-            inside[b] = True
-        self.inside = np.where(inside, self.weights, 0)
-        self.padded = np.append(self.weights, np.float32(0))
-        self.space = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]))]).astype(np.float32)
-        shapes: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        sizes = np.array([len(b) for b in buckets], np.int64)
+        self.reach = int((sizes + 2 * (sizes // 4 + 2)).max(initial=1))  # no region of the exact check is longer
+        self.needed = np.where(sizes > 0, np.ceil(LCS * sizes - 1e-9), np.inf).astype(np.float32)
+        known = np.unique(np.concatenate([*buckets, np.zeros(0, np.int64)]))
+        self.column = np.full(BUCKETS, len(known))
+        self.column[known] = np.arange(len(known))
+        self.counts = np.zeros((len(known), len(items)), np.float32)
         for k, b in enumerate(buckets):
+            np.add.at(self.counts[:, k], self.column[b], 1)
+        self.space = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]))]).astype(np.float32)
+        self.shapes = []
+        for b in buckets:
             n = len(b)
             width = WINDOW if n >= WINDOW + STRIDE - 1 else max(1, (n + 1) // 2)
-            if n:
-                shapes.setdefault((width, min(STRIDE, n - width + 1)), []).extend((k, s) for s in range(n - width + 1))
-        self.shapes = {}
-        for (width, stride), found in shapes.items():
-            item, start = np.array(found).T
-            tokens = np.array([buckets[k][s:s + width] for k, s in found])
-            self.shapes[width, stride] = item, start, tokens, self.unit(tokens).T.copy()
+            tokens = np.array([b[s:s + width] for s in range(n - width + 1)]) if n else np.zeros((0, 1), np.int64)
+            self.shapes.append((width, min(STRIDE, n - width + 1), self.unit(tokens).T.copy()))
 
     def unit(self, tokens: np.ndarray) -> np.ndarray:
         x = self.space[tokens].sum(axis=1)
@@ -167,42 +170,55 @@ class Searcher:
     def search(self, texts: list[str | None]) -> list[tuple]:
         """(text, item id, first word, words, cosine, common share, answer share) of what is found; the best place of each pair."""
         words = list(word_hashes(texts, PLAIN))
-        sizes = np.array([len(w) for w in words], np.int64)
-        flat = np.concatenate([*words, np.zeros(0, np.uint64)])
-        tokens = np.append((flat & np.uint64(BUCKETS - 1)).astype(np.int64), [BUCKETS] * WINDOW)
-        base = np.concatenate([[0], np.cumsum(sizes)])
-        inside = np.concatenate([[0], np.cumsum(self.inside[tokens[:len(flat)]], dtype=np.float64)])
-        whole = np.concatenate([[0], np.cumsum(self.weights[tokens[:len(flat)]], dtype=np.float64)])
         best: dict[tuple[int, int], tuple] = {}
-        for (width, stride), (item, offset, theirs, matrix) in self.shapes.items():
-            starts = [window_starts(n, width, stride) + base[k] for k, n in enumerate(sizes)]
-            owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
-            start = np.concatenate([*starts, np.zeros(0, np.int64)])
-            stop = np.minimum(start + width, base[owner + 1])
-            near = (inside[stop] - inside[start]) >= SHARE * (whole[stop] - whole[start])
-            start, stop, owner = start[near], stop[near], owner[near]
-            tried: set[tuple[int, int, int]] = set()
+        for (k, j), chunks in self.possible(words).items():
+            width, stride, matrix = self.shapes[j]
+            tokens = np.append((words[k] & np.uint64(BUCKETS - 1)).astype(np.int64), [BUCKETS] * width)
+            start = window_starts(len(words[k]), width, stride)
+            inside = np.zeros(len(start), bool)
+            for first in chunks:
+                inside |= (start >= first) & (start < first + CHUNK + self.reach)
+            start = start[inside]
+            tried: set[int] = set()
             for some in range(0, len(start), 1024):
-                s, e = start[some:some + 1024], stop[some:some + 1024]
-                at = s[:, None] + np.arange(width)
-                mine = np.where(at < e[:, None], tokens[at], BUCKETS)
-                cosines = self.unit(mine) @ matrix
-                rows, columns = np.nonzero(cosines >= COSINE)
-                for part in range(0, len(rows), 100_000):
-                    r, c = rows[part:part + 100_000], columns[part:part + 100_000]
-                    weight = self.padded[mine[r]]
-                    common = (mine[r][:, :, None] == theirs[c][:, None, :]).any(axis=2)
-                    close = (weight * common).sum(axis=1) >= OVERLAP * weight.sum(axis=1)
-                    for row, column in zip(r[close].tolist(), c[close].tolist(), strict=True):
-                        k, j = int(owner[some + row]), int(item[column])
-                        place = int(s[row] - base[k] - offset[column])
-                        if (k, j, place // 8) not in tried:
-                            tried.add((k, j, place // 8))
-                            found = self.check(words[k], j, place)
-                            if found and found[2] > best.get((k, j), (0, 0, 0, 0, 0))[2]:
-                                best[k, j] = (*found[:2], found[2], found[3], float(cosines[row, column]))
+                s = start[some:some + 1024]
+                cosines = self.unit(tokens[s[:, None] + np.arange(width)]) @ matrix
+                rows, offsets = np.nonzero(cosines >= COSINE)
+                for row, offset in zip(rows.tolist(), offsets.tolist(), strict=True):
+                    place = int(s[row]) - offset
+                    if place // 8 not in tried:
+                        tried.add(place // 8)
+                        found = self.check(words[k], j, place)
+                        if found and found[2] > best.get((k, j), (0, 0, 0, 0, 0))[2]:
+                            best[k, j] = (*found[:2], found[2], found[3], float(cosines[row, offset]))
         return [(k, self.ids[j], f[0], f[1], f[4], f[2], f[3]) for (k, j), f in best.items()]
 
+    def possible(self, words: list[np.ndarray]) -> dict[tuple[int, int], list[int]]:
+        """First words of the chunks of each text that hold LCS of an item's words or more, by (text, item)."""
+        owner, first, cells = [], [], []
+        out: dict[tuple[int, int], list[int]] = {}
+
+        def close() -> None:
+            present = np.zeros((len(cells), len(self.counts) + 1), np.float32)
+            for row, c in enumerate(cells):
+                present[row, c] = 1
+            rows, found = np.nonzero(present[:, :-1] @ self.counts >= self.needed)
+            for row, j in zip(rows.tolist(), found.tolist(), strict=True):
+                out.setdefault((owner[row], j), []).append(first[row])
+            for x in owner, first, cells:
+                x.clear()
+
+        for k, hashes in enumerate(words):
+            columns = self.column[(hashes & np.uint64(BUCKETS - 1)).astype(np.int64)]
+            for start in range(0, max(len(hashes) - self.reach, min(len(hashes), 1)), CHUNK):
+                owner.append(k)
+                first.append(start)
+                cells.append(columns[start:start + CHUNK + self.reach])
+                if len(cells) == 1024:
+                    close()
+        close()
+        return out
+
     def check(self, words: np.ndarray, j: int, place: int) -> tuple | None:
         n = len(self.words[j])
         slack = n // 4 + 2

@@ -190,6 +190,33 @@ def test_paraphrases(spark, sf_dir, texts):
     assert decontamination.leaks(texts([]), table(spark, sf_dir, "benchmark")).count() == 0
 
 
+def test_recall_against_every_place(spark, sf_dir, texts):
+    """Passages with a fifth of the words replaced: what the exact check accepts at any place is found."""
+    import random
+
+    import numpy as np
+    from incidentlake.llm.hashing import PLAIN, word_hashes
+    rng = random.Random(7)
+    items = [(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()]
+    fill = [w for r in table(spark, sf_dir, "documents").limit(50).collect() for w in r.text.split()]
+    rows = []
+    for copy in range(5):
+        for i, t in items:
+            w = t.split()
+            for at in rng.sample(range(len(w)), len(w) // 5):
+                w[at] = f"new{rng.randrange(10**6)}"
+            rows.append((10_000 + 1000 * copy + i, " ".join(rng.choices(fill, k=75 + copy) + w + rng.choices(fill, k=60))))
+    every = decontamination.Searcher(items, np.ones(decontamination.BUCKETS), np.ones((decontamination.BUCKETS, 1)))
+    wanted = set()
+    for (d, _), words in zip(rows, word_hashes([t for _, t in rows], PLAIN), strict=True):
+        j = next(k for k, (i, _) in enumerate(items) if i == d % 1000)
+        if any(every.check(words, j, place) for place in range(len(words))):
+            wanted.add((d, d % 1000))
+    found = {(r.doc_id, r.item_id) for r in decontamination.leaks(texts([(*r, "en") for r in rows]), table(spark, sf_dir, "benchmark")).collect()}
+    print("recall", len(wanted & found), "of", len(wanted))
+    assert len(wanted) > 3 * len(items) and len(wanted & found) >= 0.98 * len(wanted)
+
+
 def test_keep_one(texts):
     base = [f"w{k}" for k in range(60)]
     rows = [(5, " ".join(base), "a"), (3, " ".join(base[:-1] + ["x"]), "b"), (9, " ".join(base), "c"), (9, " ".join(base), "c"), (None, " ".join(base), "d"), (7, "other text", "e"), (8, "", "f"), (8, "", "f"), (6, None, "g")]
