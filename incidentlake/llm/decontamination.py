@@ -2,8 +2,7 @@
 
 Passages are windows of words, as TF-IDF vectors over BUCKETS hashed words; document frequencies come from all documents. A
 randomised SVD finds their latent space: sketches of ``A' A`` times a thin matrix are summed over tasks, once for the range and
-once for the Rayleigh-Ritz step. It is fitted on the windows of FIT_DOCS documents (those with the smallest hashes)
-and of the benchmark; the search covers every window of every document.
+once for the Rayleigh-Ritz step. It is fitted on the windows of all documents and of the whole benchmark.
 
 A window is a candidate for an item if its cosine with one of the item's windows reaches COSINE. Item windows start at every
 word and document windows at every STRIDE-th, so a copied passage always holds a pair of windows that are equal. For each candidate's place
@@ -15,7 +14,8 @@ Texts are taken in chunks that hold every region of the exact check whole, and t
 counted for all chunks and items by products of blocks. Only windows of a chunk with LCS of the item's words or more are
 compared with the item, so the bound loses no place that the exact check would accept.
 
-The benchmark is a stated query set: it is taken in blocks of ITEMS items, each of which is sent to the tasks.
+The benchmark is a stated query set: it is searched in blocks of ITEMS items, each of which is sent to the tasks. All blocks share one
+latent space, so what is found for an item does not depend on its block.
 
 Defined cases: null and empty texts and items match nothing; words are compared without case (A-Z) and punctuation; equal
 rows and equal items give a row each; texts are whole at any length; other columns are ignored.
@@ -31,12 +31,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .bucket_counts import bucket_counts
-from .common import cut, rename, ship, without
+from .common import rename, ship, without
 from .hashing import PLAIN, word_hashes
 
 BUCKETS = 1 << 15
 RANK, EXTRA = 48, 12
-FIT_DOCS, FIT_TASKS = 4000, 8
+FIT_WORDS = 1 << 13  # words whose windows are summed at a time
 WINDOW, STRIDE = 12, 4
 COSINE, LCS, ANSWER = 0.7, 0.7, 0.6
 CHUNK = 64  # words between the starts of chunks
@@ -60,48 +60,90 @@ def window_starts(n: int, width: int, stride: int) -> np.ndarray:
     return np.append(np.arange(0, n - width, stride), n - width)
 
 
-def gram_product(texts: list[str | None], idf: np.ndarray, thin: np.ndarray) -> np.ndarray:
-    """``A' A thin`` of the passages of some texts."""
-    total = np.zeros(thin.shape)
-    weighted = idf[:, None] * thin
-    for t in buckets_of(texts):
-        n = len(t)
-        starts = window_starts(n, WINDOW, STRIDE)
-        stops = np.minimum(starts + WINDOW, n)
-        sums = np.zeros((n + 1, thin.shape[1]))
-        np.cumsum(weighted[t], axis=0, out=sums[1:])
-        passages = sums[stops] - sums[starts]
-        back = np.zeros((n + 1, thin.shape[1]))
-        np.add.at(back, starts, passages)
-        np.add.at(back, stops, -passages)
-        np.add.at(total, t, np.cumsum(back[:-1], axis=0) * idf[t][:, None])
-    return total
-
-
-def latent_space(sample: DataFrame, items: list[str | None], idf: np.ndarray) -> np.ndarray:
-    """Scaled right singular vectors (BUCKETS x RANK) of the sample's and the items' passages."""
-    spark = sample.sparkSession
+def _parts(buckets: np.ndarray) -> Iterator[np.ndarray]:
+    """Parts of a long text whose windows are together the windows of the text, each once."""
+    starts = window_starts(len(buckets), WINDOW, STRIDE)
+    some = FIT_WORDS // STRIDE
+    for k in range(0, len(starts) - 1, some):
+        yield buckets[starts[k]:starts[min(k + some, len(starts) - 1) - 1] + WINDOW]
+    yield buckets[starts[-1]:]
+
+
+def _group_sums(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of groups of rows that stand together; ``at`` is the place of each row in its group. Neighbours are added in rounds."""
+    while at.any():
+        odd = np.flatnonzero(at & 1)
+        rows[odd - 1] += rows[odd]
+        even = np.flatnonzero(at & 1 == 0)
+        rows, at = rows.take(even, axis=0), at[even] >> 1
+    return rows
+
+
+def gram_product(texts: list[str | None], weighted: np.ndarray, total: np.ndarray) -> None:
+    """Add ``A' A thin`` of the passages of some texts, less the factor idf of each row, to ``total``; ``weighted`` is idf times thin."""
+    waiting: list[np.ndarray] = []
+    held = 0
+
+    def add() -> None:
+        t = np.concatenate(waiting)
+        sizes = [len(x) for x in waiting]
+        base = np.concatenate([[0], np.cumsum(sizes)])
+        starts = np.concatenate([window_starts(n, WINDOW, STRIDE) + base[k] for k, n in enumerate(sizes)])
+        stops = np.minimum(starts + WINDOW, np.repeat(base[1:], [len(window_starts(n, WINDOW, STRIDE)) for n in sizes]))
+        rank = weighted.shape[1]
+        passages = np.zeros((len(starts), rank), np.float32)
+        back = np.zeros((len(t), rank), np.float32)
+        steps = [(np.flatnonzero(starts + k < stops), k) for k in range(WINDOW)]
+        for inside, k in steps:
+            passages[inside] += weighted.take(t[starts[inside] + k], axis=0)
+        for inside, k in steps:
+            back[starts[inside] + k] += passages[inside]  # no two windows start at the same word
+        order = np.argsort(t, kind="stable")
+        names, first, counts = np.unique(t[order], return_index=True, return_counts=True)
+        total[names] += _group_sums(back.take(order, axis=0), np.arange(len(t)) - np.repeat(first, counts))
+        waiting.clear()
+
+    for x in buckets_of(texts):
+        n = len(x)
+        for part in _parts(x) if n > FIT_WORDS else [x] if n else []:
+            waiting.append(part)
+            held += len(part)
+            if held >= FIT_WORDS:
+                add()
+                held = 0
+    if waiting:
+        add()
+
+
+def latent_space(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """Scaled right singular vectors (BUCKETS x RANK) of the passages of all texts."""
+    spark = texts.sparkSession
+    shape = BUCKETS, RANK + EXTRA
 
     def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((BUCKETS, RANK + EXTRA), np.float32)
+        total = np.zeros(shape)
         for frame in frames:
             for part in frame["part"]:
-                total += np.frombuffer(part, np.float32).reshape(total.shape)
-        yield pd.DataFrame({"part": [total.tobytes()]})
+                total += np.frombuffer(part, np.float32).reshape(shape)
+        yield pd.DataFrame({"part": [total.astype(np.float32).tobytes()]})
 
     def product(thin: np.ndarray) -> np.ndarray:
-        held = spark.sparkContext.broadcast((idf, thin.astype(np.float32)))
+        held = spark.sparkContext.broadcast((idf[:, None] * thin).astype(np.float32))
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = sum((gram_product(list(f["text"]), *held.value) for f in frames), np.zeros(thin.shape))
-            yield pd.DataFrame({"part": [total.astype(np.float32).tobytes()]})
-
-        # FIT_TASKS arrays of a fixed size are summed in one task, so the driver sees a single one
-        part = sample.mapInPandas(run, "part binary").repartition(1).mapInPandas(summed, "part binary").first().part
+            total = np.zeros(shape)
+            for frame in frames:
+                gram_product(list(frame["text"]), held.value, total)
+            if total.any():
+                yield pd.DataFrame({"part": [total.astype(np.float32).tobytes()]})
+
+        # arrays of a fixed size, one a task, are summed in two rounds, so the driver sees a single one
+        half = texts.mapInPandas(run, "part binary").repartition(16).mapInPandas(summed, "part binary")
+        part = half.repartition(1).mapInPandas(summed, "part binary").first().part
         held.unpersist()
-        return np.frombuffer(part, np.float32).reshape(thin.shape) + gram_product(items, idf, thin)
+        return idf[:, None] * np.frombuffer(part, np.float32).reshape(shape)
 
-    basis, _ = np.linalg.qr(product(np.random.default_rng(3).standard_normal((BUCKETS, RANK + EXTRA))))
+    basis, _ = np.linalg.qr(product(np.random.default_rng(3).standard_normal(shape)))
     values, vectors = np.linalg.eigh(basis.T @ product(basis))
     order = np.argsort(-values)[:RANK]
     # directions that many passages share count for less: each is scaled to unit variance
@@ -242,13 +284,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     schema = f"id {id_type}, row_key bigint, item {item_type}, first_word bigint, n_words bigint, cosine double, lcs double, answer double"
     df = bucket_counts(rows, BUCKETS, _distinct_buckets)
     idf = np.log((rows.count() + 1) / (df + 1))
-    sample = cut(rows.select("text", "row_key").orderBy("row_key").limit(FIT_DOCS).select("text").repartition(FIT_TASKS))
     blocks = -(-items.count() // ITEMS)
+    space = latent_space(rows.select("text").union(items.select("text")), idf).astype(np.float32) if blocks else None
     found = spark.createDataFrame([], schema)
     for block in range(blocks):
         mine = [(r["item"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()]
         if mine:
-            held = spark.sparkContext.broadcast((mine, idf, latent_space(sample, [t for _, t in mine], idf).astype(np.float32)))
+            held = spark.sparkContext.broadcast((mine, idf, space))
             found = found.union(rows.mapInPandas(_search(held), schema))
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 

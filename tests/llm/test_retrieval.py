@@ -217,6 +217,31 @@ def test_recall_against_every_place(spark, sf_dir, texts):
     assert len(wanted) > 3 * len(items) and len(wanted & found) >= 0.98 * len(wanted)
 
 
+def test_one_latent_space(spark, sf_dir, texts, small_docs, monkeypatch):
+    """The space is that of all documents, and blocks of items do not change what is found."""
+    import numpy as np
+    d = decontamination
+    rng = np.random.default_rng(1)
+    idf, thin = rng.random(d.BUCKETS), rng.standard_normal((d.BUCKETS, 8))
+    some = [t for _, t in small_docs[:20]] + [None, "", "one", *[" ".join(f"q{k % 999}" for k in range(n)) for n in (8193, 8204, 20_003)]]
+    wanted, total = np.zeros(thin.shape), np.zeros(thin.shape)
+    for t in d.buckets_of(some):
+        for s in d.window_starts(len(t), d.WINDOW, d.STRIDE):
+            w = t[s:s + d.WINDOW]
+            np.add.at(wanted, w, idf[w][:, None] * (idf[w][:, None] * thin[w]).sum(axis=0))
+    d.gram_product(some, (idf[:, None] * thin).astype(np.float32), total)
+    assert np.abs(idf[:, None] * total - wanted).max() < 1e-4 * np.abs(wanted).max()
+    items = table(spark, sf_dir, "benchmark")
+    docs = texts([(r.item_id, f"before it {r.text} after it", "en") for r in items.collect()] + [(1000 + i, t, "en") for i, t in small_docs])
+
+    def found():
+        return {(r.doc_id, r.item_id, r.first_word): r.cosine for r in d.leaks(docs, items).collect()}
+    whole = found()
+    monkeypatch.setattr(d, "ITEMS", 15)
+    blocks = found()
+    assert len(whole) >= items.count() and blocks == pytest.approx(whole, abs=1e-3)
+
+
 def test_keep_one(texts):
     base = [f"w{k}" for k in range(60)]
     rows = [(5, " ".join(base), "a"), (3, " ".join(base[:-1] + ["x"]), "b"), (9, " ".join(base), "c"), (9, " ".join(base), "c"), (None, " ".join(base), "d"), (7, "other text", "e"), (8, "", "f"), (8, "", "f"), (6, None, "g")]
