@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    decontamination, extraction, jaccard_join, licenses, line_dedup, quality, sentencepiece_codec, suffix_dedup, url_filter, warc,
+    conversation_repair, decontamination, extraction, filter_audit, jaccard_join, licenses, line_dedup, quality, sentencepiece_codec,
+    suffix_dedup, token_counts, url_filter, warc,
 )
 from .common import table
 
@@ -67,6 +68,26 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.summary(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every part, in every order."""
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id as id", "quality = 1 as good", "toxic = 1 as toxic")
+    return filter_audit.audit(table(spark, sf_dir, "documents"), labels)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text's digest of every conversation, after a fixed damage."""
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"), conversation_repair.damage_key())
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
+
+
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_quality_rules": (op2_quality_rules, quality.sql()),
@@ -78,4 +99,7 @@ QUERIES = {
     "op8_line_dedup": (op8_line_dedup, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_warc_derivatives": (op10_warc_derivatives, None),
+    "op11_filter_audit": (op11_filter_audit, filter_audit.sql()),
+    "op12_conversation_repair": (op12_conversation_repair, None),
+    "op13_token_counts": (op13_token_counts, None),
 }
