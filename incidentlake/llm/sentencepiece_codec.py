@@ -3,12 +3,14 @@
 Encoding keeps an agenda of adjacent symbol pairs ordered by score (ties: the leftmost) and
 merges the best pair until none is left. A text falls apart where no vocabulary entry holds
 the two neighbouring characters side by side: no merge can cross such a place, so the parts
-are encoded apart and repeated parts come from a bounded cache. Every part that is encoded
-anew is compared with the sentencepiece library in the same Arrow batch; a difference is an
-error, not a row that goes on.
+are encoded apart and repeated parts come from a bounded cache. Decoding joins the pieces of the ids;
+runs of byte pieces become characters. Every part that is encoded anew, and one whole text of each Arrow batch, is
+compared with the sentencepiece library in both directions; a difference is an error, not a row that goes on.
+A vocabulary with a space mark behind another character in a piece is refused, since merges could cross spaces there.
 
 Null and empty texts have no pieces (only the end id, if wanted). Texts of any length are
-taken whole. Repeated rows and ties in ``doc_id`` give one row each.
+taken whole. Repeated rows and ties in ``doc_id`` give one row each; an empty table gives no rows. Only the keys and the text are
+read, so other columns cannot clash with the outputs unless a key has an output's name, which is an error.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from pyspark.sql import DataFrame
 from .common import ship
 
 SPACE = "▁"
-#: Parts kept by a worker; beyond it the cache starts anew. Results do not depend on it.
-CACHE_PARTS = 2_500_000
+#: Parts kept by a worker (about 250 bytes each, and none longer than KEPT_CHARS); beyond it the cache starts anew. Results do not depend on it.
+CACHE_PARTS, KEPT_CHARS = 800_000, 100
 _PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MARKS = ".,;:!?#*$%&|)\"'"
 _CODECS: dict[str, Codec] = {}
@@ -61,9 +63,12 @@ class Codec:
         order = {v: k for k, v in enumerate(sorted({-lib.get_score(i) for i in plain}))}
         self.rank = {self.pieces[i]: order[-lib.get_score(i)] for i in plain}
         self.neighbours = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+        if any(pair[1] == SPACE != pair[0] for pair in self.neighbours):
+            raise ValueError("pieces that go on behind a space are not supported")
+        self.piece_of = {str(i): "" if i in self.silent else self.pieces[i] for i in range(n)}  # by decimal id
+        self.byte_decimals = set(map(str, self.byte_of))
         self.decimal: dict[str, str] = {}  # ids of a part, as decimals
         self.runs: dict[str, str] = {}  # the same of what parts fall into
-        self.odd: dict[str, str] = {}  # decoded texts of parts that do not decode to themselves
 
     def merged(self, part: str) -> list[str]:
         """Pieces of a part: the best-scored adjacent pair is merged first, then the next."""
@@ -96,7 +101,9 @@ class Codec:
                     ids.append(i)
                 else:
                     ids += [self.id_of_byte[b] for b in piece.encode()]
-            found = self.runs[run] = " ".join(map(str, ids))
+            found = " ".join(map(str, ids))
+            if len(run) <= KEPT_CHARS:
+                self.runs[run] = found
         return found
 
     def part_decimal(self, key: str) -> str:
@@ -107,11 +114,6 @@ class Codec:
             found = self.run_decimal(core) + " " + self.run_decimal(part[len(core):])
         else:
             found = self.run_decimal(part)
-        self.decimal[key] = found
-        ids = list(map(int, found.split()))
-        # without bytes the text is that of the pieces, and these spell the part
-        if not self.byte_of.keys().isdisjoint(ids) and (text := self.text_of(ids)) != part.replace(SPACE, " "):
-            self.odd[key] = text
         return found
 
     def text_of(self, ids: list[int]) -> str:
@@ -133,6 +135,13 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return self.text_of(ids).removeprefix(" ")
 
+    def decoded(self, decimal: str) -> str:
+        """Text of ids that are given as decimals."""
+        ids = decimal.split()
+        if not self.byte_decimals.isdisjoint(ids):
+            return self.decode(list(map(int, ids)))
+        return "".join(map(self.piece_of.__getitem__, ids)).replace(SPACE, " ").removeprefix(" ")
+
     def parts(self, text: str | None) -> list[str]:
         """The parts between spaces, each without its first mark."""
         if not text:
@@ -141,17 +150,18 @@ class Codec:
             return [p[1:] for p in _PARTS.findall(SPACE + text.replace(" ", SPACE))]
         return text.split(" ")
 
-    def compare(self, fresh: list[str]) -> None:
-        """The library must agree on every part that was encoded anew (a lone mark has no pairs)."""
-        fresh = list(filter(None, fresh))
-        theirs = self.library.encode(fresh, num_threads=1)
-        for part, ids in zip(fresh, theirs, strict=True):
-            if self.decimal[part] != " ".join(map(str, ids)):
-                raise ValueError(f"the library encodes {part!r} differently")
+    def compare(self, fresh: dict[str, str]) -> None:
+        """The library must agree on the ids of texts, and on what these decode to."""
+        texts = list(filter(None, fresh))  # a lone mark has no pairs
+        theirs = self.library.encode(texts, num_threads=1)
+        back = self.library.decode(theirs, num_threads=1)
+        for text, ids, decoded in zip(texts, theirs, back, strict=True):
+            if fresh[text] != " ".join(map(str, ids)) or self.decoded(fresh[text]) != decoded:
+                raise ValueError(f"the library encodes or decodes {text[:200]!r} differently")
 
     def forget(self) -> None:
         if len(self.decimal) + len(self.runs) > CACHE_PARTS:
-            for held in (self.decimal, self.runs, self.odd):
+            for held in (self.decimal, self.runs):
                 held.clear()
 
 
@@ -177,23 +187,25 @@ def _sha(text: str) -> str:
 def encode_batch(c: Codec, texts: list[str | None], outputs: list[str], begin: list[int], end: list[int]) -> list[pa.Array]:
     c.forget()
     columns: list[list] = [[] for _ in outputs]
-    fresh: list[str] = []
+    fresh: dict[str, str] = {}
     edges = [" ".join(map(str, x)) for x in (begin, end)]
+    whole = None
     for text in texts:
         parts = c.parts(text)
         found = list(map(c.decimal.get, parts))
         if None in found:
             for k, part in enumerate(parts):
-                if found[k] is None and (known := c.decimal.get(part)) is None:
-                    found[k] = c.part_decimal(part)
-                    fresh.append(part)
-                elif found[k] is None:
+                if found[k] is None and (known := c.decimal.get(part) or fresh.get(part)) is None:
+                    known = fresh[part] = c.part_decimal(part)
+                    if len(part) <= KEPT_CHARS:
+                        c.decimal[part] = known
+                if found[k] is None:
                     found[k] = known
-        decimal = " ".join(edges[:1] * bool(begin) + found + edges[1:] * bool(end))
-        if c.odd and not c.odd.keys().isdisjoint(parts):
-            decoded = "".join([c.odd.get(p) or " " + p.replace(SPACE, " ") for p in parts]).removeprefix(" ")
-        else:  # all parts decode to themselves
-            decoded = (text or "").replace(SPACE, " ")
+        inner = " ".join(found)
+        if text and whole is None:
+            whole = text, inner
+        decimal = " ".join(edges[:1] * bool(begin) + [inner] * bool(found) + edges[1:] * bool(end))
+        decoded = c.decoded(inner) if "decoded" in outputs or "decoded_sha256" in outputs else ""
         for out, column in zip(outputs, columns, strict=True):
             if out == "ids":
                 column.append(list(map(int, decimal.split())))
@@ -204,6 +216,8 @@ def encode_batch(c: Codec, texts: list[str | None], outputs: list[str], begin: l
             else:
                 column.append(_sha(decimal if out == "ids_sha256" else decoded))
     c.compare(fresh)
+    if whole:
+        c.compare(dict([whole]))
     return [pa.array(v, ARROW[o]) for o, v in zip(outputs, columns, strict=True)]
 
 

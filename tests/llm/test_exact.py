@@ -45,6 +45,20 @@ def test_sentencepiece(spark, sf_dir, small_docs, texts):
     assert sentencepiece_codec.encode(texts([]), model()).count() == 0
 
 
+def test_sentencepiece_checks(monkeypatch):
+    """Decoded texts come from ids, caches do not change results, and a differing library is an error."""
+    c = sentencepiece_codec.Codec(model())
+    monkeypatch.setattr(sentencepiece_codec, "CACHE_PARTS", 3)
+    many = [f"part{k} é{k}. 日{k} ▁x  y{k}" for k in range(50)]
+    for batch in (many[:20], many[20:], ["a", None, ""]):
+        ids, decoded = sentencepiece_codec.encode_batch(c, batch, ["ids", "decoded"], [], [2])
+        for text, i, d in zip(batch, ids.to_pylist(), decoded.to_pylist(), strict=True):
+            assert i == c.library.encode(text or "") + [2] and d == c.library.decode(i)
+    c.piece_of[str(c.library.piece_to_id("▁and"))] = "▁or"
+    with pytest.raises(ValueError):
+        sentencepiece_codec.encode_batch(c, ["this and that"], ["n_tokens"], [], [])
+
+
 def base_counts(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
@@ -127,28 +141,6 @@ def test_suffix_pieces(monkeypatch):
     assert sorted(seen) == [(0, i) for i in range(4801)] + [(2, i) for i in range(901)]
 
 
-def lines_removed(rows, min_words=50):
-    """Every window that stands before, in the order of (id, row, line), is deleted."""
-    windows = []
-    for r, (i, text) in enumerate(rows):
-        lines = [(k, x.strip()) for k, x in enumerate(text.split("\n") if text else []) if x.strip()]
-        for s in range(len(lines)):
-            total = 0
-            for e in range(s, len(lines)):
-                total += len(lines[e][1].split())
-                if total >= min_words:
-                    windows.append((tuple(x for _, x in lines[s:e + 1]), i, r, lines[s][0], lines[e][0]))
-                    break
-    first = {}
-    for w, i, r, s, _ in sorted(windows, key=lambda x: (x[1], x[2], x[3])):
-        first.setdefault(w, (r, s))
-    gone = defaultdict(set)
-    for w, _, r, s, e in windows:
-        if first[w] != (r, s):
-            gone[r] |= set(range(s, e + 1))
-    return ["\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[r]) if t else t for r, (_, t) in enumerate(rows)]
-
-
 def test_line_dedup(texts, small_docs):
     passage = "\n".join(" ".join(f"p{k}w{j}" for j in range(20)) for k in range(6))
     long_line = " ".join(f"l{j}" for j in range(60))
@@ -159,8 +151,12 @@ def test_line_dedup(texts, small_docs):
     df = texts([(i, t, "en") for i, t in rows])
     done = line_dedup.dedup_lines(df)
     assert done.columns == [*df.columns, "n_lines", "n_removed"]
-    assert {r.doc_id: r.text for r in done.collect()} == dict(zip([i for i, _ in rows], lines_removed(rows), strict=True))
+    assert {r.doc_id: r.text for r in done.collect()} == dict(zip([i for i, _ in rows], runs_removed(rows), strict=True))
     assert {r.doc_id: r.text for r in done.filter("doc_id > 1000").collect()}[1004] == "another start"
+    assert line_dedup.dedup_lines(texts([])).count() == 0
+    huge = "\n".join(f"{k} " + " ".join(f"h{k}x{j}" for j in range(9)) for k in range(30_000))  # over a megabyte
+    both = line_dedup.dedup_lines(texts([(1, huge, "en"), (2, "own line\n" + huge + "\nlast", "en")])).collect()
+    assert {r.doc_id: (r.n_removed, r.text) for r in both} == {1: (0, huge), 2: (30_000, "own line\nlast")}
     twice = line_dedup.dedup_lines(texts([(1, passage, "en"), (1, passage, "en"), (None, passage, "en")])).collect()
     assert sorted(r.n_removed for r in twice) == [0, 6, 6]  # the null id comes first, equal rows are alike
 

@@ -254,7 +254,7 @@ def test_keep_one(texts):
 def test_pipeline(spark, sf_dir):
     """Each stage against brute force on its own input, and the whole run."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    from test_exact import jaccard_brute, lines_removed, model
+    from test_exact import jaccard_brute, runs_removed, model
     import sentencepiece
     docs = table(spark, sf_dir, "documents")
     columns = docs.columns
@@ -274,7 +274,7 @@ def test_pipeline(spark, sf_dir):
             assert set(after) <= set(before)
         elif name == "line_dedup":
             rows = sorted((r.doc_id, r.text) for r in before)
-            wanted = {i: t for (i, was), t in zip(rows, lines_removed(rows), strict=True) if t == was or t.strip()}
+            wanted = {i: t for (i, was), t in zip(rows, runs_removed(rows), strict=True) if t == was or t.strip()}
             assert {r.doc_id: r.text for r in after} == wanted and all(r.n_chars == len(r.text) for r in after)
         elif name == "jaccard_join":
             brute = jaccard_brute([(r.doc_id, r.text) for r in before], 5, 80, 100)
