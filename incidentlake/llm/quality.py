@@ -11,13 +11,15 @@ the loosest if several are equal. A stratum without enough labels rejects nothin
 
 Null texts have no words; null or unlisted strata count as ``other``; null ids, labels that
 are null or name no document, repeated rows and ties need no special care: the verdict is a
-function of a row's text and stratum, and a label that is given twice counts twice.
+function of a row's text and stratum, and a label that is given twice counts twice. An empty table gives no rows; columns that the
+operator does not name are not read, so their names cannot clash; texts are whole at any length.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import scratch_dir
 from .common import cut, rename
 
 #: Strata of their own; all other values are pooled, so the table of cutoffs stays small.
@@ -136,12 +138,17 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs`` that are kept, unchanged. A row's verdict is taken in place, without a join."""
-    measured = cut(prepared(docs, id_col, text_col, stratum_col).drop("text"))
-    found = cutoffs(measured, labels, alpha, delta)
+    """The rows of ``docs`` that are kept, unchanged.
+
+    Texts are measured once: rows go to a scratch table together with their counts, the cutoffs are found from its narrow columns,
+    and the verdict is a filter while it is read again.
+    """
+    spark = docs.sparkSession
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    rows = measures(docs.select(row, docs[stratum_col].alias("stratum"), docs[text_col].alias("text")))
-    return rows.filter(verdict(found)).select("row.*")
+    path = scratch_dir(spark, "measured")
+    measures(docs.select(row, docs[id_col].alias("id"), docs[stratum_col].alias("stratum"), docs[text_col].alias("text"))).drop("text").write.parquet(path)
+    measured = spark.read.parquet(path)
+    return measured.filter(verdict(cutoffs(measured, labels, alpha, delta))).select("row.*")
 
 
 def sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
