@@ -52,8 +52,8 @@ def rename(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[df[source].alias(target) for target, source in names.items()])
 
 
-#: Rows of a single 64-bit key that are broadcast at most (a few dozen MB once hashed); beyond it the join is shuffled.
-BROADCAST_KEYS = 1_000_000
+#: Rows of a single 64-bit key that are broadcast at most (some 10 MB once hashed); beyond it the join is shuffled.
+BROADCAST_KEYS = 300_000
 
 
 def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

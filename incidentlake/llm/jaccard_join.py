@@ -2,21 +2,25 @@
 
 Sets are joined exactly. Equal sets are one node from the start. The tokens of a set are ordered by how often their
 bucket occurs in the corpus (rarest first; any fixed order is right) and only the first ``n - ceil(t * n) + NEEDED`` are
-indexed: linked sets have at least NEEDED tokens in common there. Index lists hold positions, and entries whose positions or sizes rule a
-link out are skipped. Set relations then save most of the work:
+indexed. Index lists hold positions and sizes. Set relations then save most of the work:
 
 * Round 1: each list names its smallest set as pivot, and a set is compared with the pivot it shares most lists with. That
   is one comparison a set, and it settles most groups of copies, whatever their size.
-* Sets that are already connected need no further comparison, so only lists whose sets lie in several components go on.
+* Sets that are known to be connected need no further comparison, so only lists whose sets lie in several groups go on.
 * Round 2: each such list names another pivot, and a set is compared with the one whose bitmap is nearest. Bitmaps hold
   the parity of the tokens in BITS classes; they differ in at most as many places as the sets, so they also rule pairs out.
-* Round 3: lists that still hold several components are joined with themselves. What rounds 1 and 2 computed rules out more: distances obey
-  the triangle inequality, so sets whose distances to a common pivot differ by more than ``1 - t`` cannot be linked.
-  The pairs that are left are compared.
+* Round 3: lists that still hold several groups are joined with themselves, block by block: a list is cut into blocks by size, and a block
+  meets only the blocks whose sizes allow a link. Two sets are found by the first token they have in common, and behind it
+  each must have as many tokens left as a link takes. So tokens that stand late in their sets skip whole blocks: a token that a
+  million otherwise different sets hold yields no pair, because each has tokens of its own before it. What rounds 1 and 2 computed rules
+  out more: sets whose distances to a common pivot differ by more than ``1 - t`` cannot be linked (triangle inequality). The pairs that are left are compared.
+
+The answer of a set is its component: which of the linked sets of a component are linked directly is not told, since a group of
+n different near copies has up to n * n links and only n memberships.
 
 Tokens and sets are 64-bit hashes. Texts are lower-cased (A-Z) and split at white space. A text with fewer words than a shingle
 is one shingle; null, empty and blank texts have none and are linked with nothing. Equal rows and equal texts are linked; a null id gives way to any
-other as the name of its component. Texts are whole at any length. Other columns are ignored.
+other as the name of its component. Texts are whole at any length; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,6 +91,14 @@ class Threshold:
             f"{self.num} * greatest({n}, {m}) <= {self.den} * least({n}, {m})"
             f" and least({pos}, {at}) + least({n} - {pos}, {m} - {at}) >= {self.overlap(n, m)}")
 
+    def block(self, n: str) -> str:
+        """Sizes in ranges of the factor 1 / t; never falling with the size."""
+        return f"cast(floor(ln({n}) / ln({self.den / self.num}D)) as int)"
+
+    def first_common(self, n: str, pos: str, m: str, at: str) -> Column:
+        """A token at these places can be the first that linked sets have in common."""
+        return F.expr(f"least({n} - {pos}, {m} - {at}) >= {self.overlap(n, m)}")
+
     def hopeless(self, count: str, low: str, high: str) -> str:
         """A list of two sets whose sizes rule a link out."""
         return f"({count} = 2 and {self.num} * {high} > {self.den} * {low})"
@@ -121,17 +133,29 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t
     return cut(both.select("a", "b", "ta", "tb").mapInPandas(compare, "a bigint, b bigint, common bigint, n bigint, m bigint, linked boolean"))
 
 
-def _mixed(entries: DataFrame, label: DataFrame, t: Threshold) -> DataFrame:
-    """The entries of lists whose sets lie in several components and may be linked, with ``label``."""
-    placed = entries.join(label, entries["node"] == label["v"], "left").drop("v").withColumn("label", F.coalesce("label", "node"))
-    several = placed.groupBy("token").agg(
+def _mixed(entries: DataFrame, t: Threshold) -> DataFrame:
+    """The entries of lists whose sets have several labels and may be linked."""
+    several = entries.groupBy("token").agg(
         F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
     ).filter(f"x <> y and not {t.hopeless('size', 'low', 'high')}").select("token")
-    return placed.join(several, "token", "left_semi")
+    return entries.join(several, "token", "left_semi")
+
+
+def _hooked(links: DataFrame) -> DataFrame:
+    """(v, up) of links: the smallest neighbour below each vertex, followed upwards a few times."""
+    up = cut(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("up")).filter("v > up").groupBy("v").agg(F.min("up").alias("up")))
+    for _ in range(2):
+        up = up.join(up.selectExpr("v as up", "up as further"), "up", "left").select("v", F.coalesce("further", "up").alias("up"))
+    return cut(up)
+
+
+def _relabelled(entries: DataFrame, up: DataFrame) -> DataFrame:
+    """Entries with the label that ``up`` gives to their label."""
+    return entries.join(up.withColumnRenamed("v", "label"), "label", "left").withColumn("label", F.coalesce("up", "label")).drop("up")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """id, n_shingles, n_links (links of the document's set that were compared and hold) and component_id of every document.
+    """id, n_shingles and component_id of every document.
 
     ``row_key`` and ``component_key`` name the row and the first row of its component where ids repeat or are null.
     """
@@ -188,43 +212,43 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .filter(t.enough("common", "n", "m"))
     first = votes.groupBy("node").agg(F.max(F.struct("common", "pivot")).alias("best")).selectExpr("best.pivot as a", "node as b")
     answers = _verified(rows, nodes, first, words, t)
+    held.unpersist()
     links = answers.filter("linked").select("a", "b")
-    label = components(links, "a", "b")
 
-    entries = cut(_mixed(shared.drop("p"), label, t).drop("label").join(nodes.select("node", "bits"), "node"))
-    placed = _mixed(entries, label, t)
+    # labels tell which sets are known to be connected, not yet whole components
+    labelled = _relabelled(shared.drop("p").withColumn("label", F.col("node")), _hooked(links))
+    entries = cut(_mixed(labelled, t).join(nodes.select("node", "bits"), "node"))
     order = F.xxhash64("token", "node")
-    pivots = placed.groupBy("token").agg(F.min(F.struct(order, "node", "n", "pos", "bits", "label")).alias("p"))
-    second = placed.join(pivots, "token").filter("label <> p.label").filter(t.possible("n", "pos", "p.n", "p.pos")) \
+    pivots = entries.groupBy("token").agg(F.min(F.struct(order, "node", "n", "pos", "bits", "label")).alias("p"))
+    second = entries.join(pivots, "token").filter("label <> p.label").filter(t.possible("n", "pos", "p.n", "p.pos")) \
         .filter(t.near("bits", "n", "p.bits", "p.n")).groupBy("node").agg(
-            F.min(F.struct(F.expr(_distance("bits", "p.bits")).alias("far"), F.col("p.node").alias("pivot"))).alias("best"))
-    more = _verified(rows, nodes, second.selectExpr("best.pivot as a", "node as b"), words, t)
+            F.min(F.struct(F.expr(_distance("bits", "p.bits")).alias("far"), F.col("p.node").alias("pivot"), "label", F.col("p.label").alias("other"))).alias("best"))
+    second = cut(second.selectExpr("best.pivot as a", "node as b", "best.label as lb", "best.other as la"))
+    more = _verified(rows, nodes, second.select("a", "b"), words, t)
     answers = answers.union(more)
     links = links.union(more.filter("linked").select("a", "b"))
-    label = components(links, "a", "b")
-
-    open_ = cut(_mixed(entries, label, t))
-    left = open_.selectExpr("token", "node as a", "n", "pos", "label as la", "bits as xa")
-    right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb", "bits as xb")
-    pairs = left.join(right, (left["token"] == right["token"]) & F.expr("a < b and la <> lb") & t.possible("n", "pos", "m", "at") & t.near("xa", "n", "xb", "m")) \
-        .groupBy("a", "b", "n", "m").agg(F.count("*").alias("common")).filter(t.enough("common", "n", "m")).select("a", "b")
-    done = answers.selectExpr("least(a, b) as a", "greatest(a, b) as b")
+    groups = more.filter("linked").select("a", "b").join(second, ["a", "b"]).selectExpr("la as a", "lb as b")
+
+    open_ = cut(_mixed(_relabelled(entries, _hooked(groups)), t))
+    left = open_.selectExpr("token", "node as a", "n", "pos", "label as la", "bits as xa", f"explode(sequence({t.block('n')}, {t.block(f'(n * {den} div {num})')})) as block")
+    right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb", "bits as xb", f"{t.block('n')} as block")
+    pairs = left.join(right, ["token", "block"]).filter("la <> lb and (n < m or n = m and a < b)").filter(
+        t.first_common("n", "pos", "m", "at") & t.near("xa", "n", "xb", "m")).select("a", "b").distinct()
+    done = answers.selectExpr("a", "b").union(answers.selectExpr("b", "a"))
     known = answers.selectExpr("b as v", "a as pivot", "1 - common / (n + m - common) as far")
     apart = f"pa = pb and abs(fa - fb) > {1 - num / den + 1e-9}"
     ruled_out = pairs.join(known.selectExpr("v as a", "pivot as pa", "far as fa"), "a") \
         .join(known.selectExpr("v as b", "pivot as pb", "far as fb"), "b").filter(apart).select("a", "b")
     left_pairs = pairs.join(done, ["a", "b"], "left_anti").join(ruled_out, ["a", "b"], "left_anti")
     more = _verified(rows, nodes, left_pairs, words, t).filter("linked").select("a", "b")
-    links = links.union(more)
-    label = cut(components(links, "a", "b"))
+    label = cut(components(links.union(more), "a", "b"))
 
-    degree = links.selectExpr("a as v").union(links.selectExpr("b as v")).groupBy("v").agg(F.count("*").alias("n_links"))
-    placed = members.join(label, members["node"] == label["v"], "left").drop("v").join(degree, members["node"] == degree["v"], "left").select(
-        "id", "row_key", "n", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
+    placed = members.join(label, members["node"] == label["v"], "left").drop("v").select(
+        "id", "row_key", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
     # the smallest id names the component; nulls only if there is no other
     names = placed.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "row_key")).alias("first"))
     return placed.join(names, "label", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "n_links", F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("component_id"),
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("component_id"),
         "row_key", F.coalesce("first.row_key", "row_key").alias("component_key"))
 
 

@@ -59,7 +59,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Set size, links and component of every document."""
+    """Set size and component of every document."""
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("row_key", "component_key")
 
 

@@ -241,5 +241,26 @@ def test_jaccard(texts, small_docs, k, num, den):
     assert found == jaccard_brute(rows, k, num, den)
 
 
+def test_jaccard_hot_tokens(texts):
+    """Tokens that very many unlinked sets hold, and groups whose members lie on both sides of the threshold."""
+    import random
+    rng = random.Random(9)
+    words = [f"t{j}" for j in range(400)]
+    hot = " ".join(f"h{j}" for j in range(11))
+    rows = [(i, f"{hot} a{i} b{i} c{i}") for i in range(1500)]
+    template = [rng.choice(words) for _ in range(90)]
+    for i in range(2000, 2120):  # five to twelve own words in a template: some linked, most not
+        w = list(template)
+        for _ in range(rng.choice([1, 2, 3])):
+            at = rng.randrange(85)
+            w[at:at + 1] = [f"own{i}x{at}"]
+        rows.append((i, " ".join(w)))
+    rows += [(i, " ".join(template[:60 + i % 31])) for i in range(3000, 3090)]  # sizes in several blocks
+    docs = texts([(i, t, "en") for i, t in rows])
+    for k, num, den in ((3, 90, 100), (5, 80, 100)):
+        found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, words=k, num=num, den=den).collect())
+        assert found == jaccard_brute(rows, k, num, den)
+
+
 def test_jaccard_empty(texts):
     assert jaccard_join.jaccard_components(texts([])).count() == 0
