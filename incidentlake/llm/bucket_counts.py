@@ -36,29 +36,29 @@ def _summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"slice": list(total), "counts": [_packed(x) for x in total.values()]})
 
 
-def bucket_counts(rows: DataFrame, size: int, features: Features) -> np.ndarray:
-    """How often the ``features`` (bucket numbers of each ``text``) fall in each of ``size`` buckets.
+def bucket_counts(rows: DataFrame, size: int, features: Features, count_rows: bool = False) -> np.ndarray | tuple[np.ndarray, int]:
+    """How often the ``features`` (bucket numbers of each ``text``) fall in each of ``size`` buckets; with ``count_rows`` also the rows.
 
-    Each task sends one packed array; two rounds of sums follow, the first over 16 partitions.
+    Each task sends one packed array in slices; a slice is summed by itself, so the sums spread over tasks at any number of them.
     """
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, empty = np.zeros(size, np.int64), True
+        total, n = np.zeros(size, np.int64), 0
         for frame in frames:
             waiting, held = [], 0
+            n += len(frame)
             for found in features(list(frame["text"])):
                 waiting.append(found)
                 held += len(found)
                 if held > size:
                     total += np.bincount(np.concatenate(waiting), minlength=size)
-                    waiting, held, empty = [], 0, False
+                    waiting, held = [], 0
             if held:
                 total += np.bincount(np.concatenate(waiting), minlength=size)
-                empty = False
-        if not empty:
-            yield _rows(total)
+        if n:
+            yield pd.concat([_rows(total), pd.DataFrame({"slice": [-1], "counts": [_packed(np.array([n]))]})])
 
     parts = rows.select("text").mapInPandas(counted, _SCHEMA)
-    half = parts.repartition(16).mapInPandas(_summed, _SCHEMA)
-    found = {r["slice"]: r["counts"] for r in half.repartition(1).mapInPandas(_summed, _SCHEMA).collect()}
+    found = {r["slice"]: r["counts"] for r in parts.repartition(_SLICES, "slice").mapInPandas(_summed, _SCHEMA).collect()}
     nothing = _packed(np.zeros(size // _SLICES, np.int64))
-    return np.concatenate([_unpacked(bytes(found.get(k, nothing))) for k in range(_SLICES)])
+    counts = np.concatenate([_unpacked(bytes(found.get(k, nothing))) for k in range(_SLICES)])
+    return (counts, int(_unpacked(bytes(found.get(-1, _packed(np.zeros(1, np.int64)))))[0])) if count_rows else counts

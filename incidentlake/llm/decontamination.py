@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are windows of words, as TF-IDF vectors over BUCKETS hashed words; document frequencies come from all documents. A
-randomised SVD finds their latent space: sketches of ``A' A`` times a thin matrix are summed over tasks, once for the range and
-once for the Rayleigh-Ritz step. It is fitted on the windows of all documents and of the whole benchmark.
+randomised SVD finds their latent space in one pass: the sketch ``Y = A'A S`` with a thin random ``S`` is summed over tasks, and by Nyström's
+formula ``A'A ~ Y (S'Y)^-1 Y'``, whose eigenvectors follow from a thin factorisation. It is fitted on the windows of all documents and of the whole benchmark.
 
 A window is a candidate for an item if its cosine with one of the item's windows reaches COSINE. Item windows start at every
 word and document windows at every STRIDE-th, so a copied passage always holds a pair of windows that are equal. For each candidate's place
@@ -14,11 +14,11 @@ Texts are taken in chunks that hold every region of the exact check whole, and t
 counted for all chunks and items by products of blocks. Only windows of a chunk with LCS of the item's words or more are
 compared with the item, so the bound loses no place that the exact check would accept.
 
-The benchmark is a stated query set: it is searched in blocks of ITEMS items, each of which is sent to the tasks. All blocks share one
-latent space, so what is found for an item does not depend on its block.
+The benchmark is a stated query set: it is searched in blocks of ITEMS items, each of which is sent to the tasks; every block is one more scan of
+the documents. All blocks share one latent space, so what is found for an item does not depend on its block.
 
 Defined cases: null and empty texts and items match nothing; words are compared without case (A-Z) and punctuation; equal
-rows and equal items give a row each; texts are whole at any length; other columns are ignored.
+rows and equal items give a row each; texts are whole at any length; an empty table on either side gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ FIT_WORDS = 1 << 13  # words whose windows are summed at a time
 WINDOW, STRIDE = 12, 4
 COSINE, LCS, ANSWER = 0.7, 0.7, 0.6
 CHUNK = 64  # words between the starts of chunks
+ROUND = 8  # regions of the exact check start and end at multiples
 ITEMS = 2000
+SLICES = 64  # of the summed sketch
 
 
 def buckets_of(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -119,35 +121,42 @@ def latent_space(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Scaled right singular vectors (BUCKETS x RANK) of the passages of all texts."""
     spark = texts.sparkSession
     shape = BUCKETS, RANK + EXTRA
+    sketch = np.random.default_rng(3).standard_normal(shape)
+    held = spark.sparkContext.broadcast((idf[:, None] * sketch).astype(np.float32))
 
-    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(shape)
         for frame in frames:
-            for part in frame["part"]:
-                total += np.frombuffer(part, np.float32).reshape(shape)
-        yield pd.DataFrame({"part": [total.astype(np.float32).tobytes()]})
-
-    def product(thin: np.ndarray) -> np.ndarray:
-        held = spark.sparkContext.broadcast((idf[:, None] * thin).astype(np.float32))
-
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(shape)
-            for frame in frames:
-                gram_product(list(frame["text"]), held.value, total)
-            if total.any():
-                yield pd.DataFrame({"part": [total.astype(np.float32).tobytes()]})
-
-        # arrays of a fixed size, one a task, are summed in two rounds, so the driver sees a single one
-        half = texts.mapInPandas(run, "part binary").repartition(16).mapInPandas(summed, "part binary")
-        part = half.repartition(1).mapInPandas(summed, "part binary").first().part
-        held.unpersist()
-        return idf[:, None] * np.frombuffer(part, np.float32).reshape(shape)
-
-    basis, _ = np.linalg.qr(product(np.random.default_rng(3).standard_normal(shape)))
-    values, vectors = np.linalg.eigh(basis.T @ product(basis))
-    order = np.argsort(-values)[:RANK]
+            gram_product(list(frame["text"]), held.value, total)
+        if total.any():
+            yield pd.DataFrame({"slice": np.arange(SLICES), "part": [x.astype(np.float32).tobytes() for x in np.split(total, SLICES)]})
+
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[int, np.ndarray] = {}
+        for frame in frames:
+            for k, part in frame.itertuples(index=False):
+                totals[k] = totals.get(k, 0) + np.frombuffer(part, np.float32).astype(np.float64)
+        if totals:
+            yield pd.DataFrame({"slice": list(totals), "part": [x.astype(np.float32).tobytes() for x in totals.values()]})
+
+    # a task sends an array of a fixed size in slices; each slice is summed by itself, so the sums spread over tasks
+    sums = texts.mapInPandas(run, "slice int, part binary").repartition(SLICES, "slice").mapInPandas(summed, "slice int, part binary")
+    found = {r["slice"]: np.frombuffer(bytes(r["part"]), np.float32) for r in sums.collect()}
+    held.unpersist()
+    nothing = np.zeros(shape[0] // SLICES * shape[1], np.float32)
+    y = idf[:, None] * np.concatenate([found.get(k, nothing) for k in range(SLICES)]).reshape(shape)
+    if not y.any():
+        return np.zeros((BUCKETS, RANK))
+    # a small shift keeps the inner matrix positive definite in single precision; it is taken off the eigenvalues again
+    shift = 1e-6 * np.linalg.norm(y)
+    y = y + shift * sketch
+    inner = sketch.T @ y
+    weights, axes = np.linalg.eigh((inner + inner.T) / 2)
+    held_axes = weights > 1e-10 * weights[-1]
+    vectors, singular, _ = np.linalg.svd(y @ axes[:, held_axes] / np.sqrt(weights[held_axes]), full_matrices=False)
+    values = np.maximum(singular ** 2 - shift, 0)
     # directions that many passages share count for less: each is scaled to unit variance
-    return basis @ vectors[:, order] / np.sqrt(np.maximum(values[order], 1e-9))
+    return vectors[:, :RANK] / np.sqrt(np.maximum(values[:RANK], 1e-9))
 
 
 def answer_of(item: str) -> str:
@@ -189,7 +198,7 @@ class Searcher:
         self.answer_masks = [masks_of(w) for w in self.answers]
         buckets = list(buckets_of(texts))
         sizes = np.array([len(b) for b in buckets], np.int64)
-        self.reach = int((sizes + 2 * (sizes // 4 + 2)).max(initial=1))  # no region of the exact check is longer
+        self.reach = int((sizes + 2 * (sizes // 4 + 2)).max(initial=1)) + 2 * ROUND  # no region of the exact check is longer
         self.needed = np.where(sizes > 0, np.ceil(LCS * sizes - 1e-9), np.inf).astype(np.float32)
         known = np.unique(np.concatenate([*buckets, np.zeros(0, np.int64)]))
         self.column = np.full(BUCKETS, len(known))
@@ -221,18 +230,21 @@ class Searcher:
             for first in chunks:
                 inside |= (start >= first) & (start < first + CHUNK + self.reach)
             start = start[inside]
-            tried: set[int] = set()
+            tried: list[tuple[int, int]] = []  # regions that failed
             for some in range(0, len(start), 1024):
                 s = start[some:some + 1024]
                 cosines = self.unit(tokens[s[:, None] + np.arange(width)]) @ matrix
                 rows, offsets = np.nonzero(cosines >= COSINE)
                 for row, offset in zip(rows.tolist(), offsets.tolist(), strict=True):
                     place = int(s[row]) - offset
-                    if place // 8 not in tried:
-                        tried.add(place // 8)
-                        found = self.check(words[k], j, place)
-                        if found and found[2] > best.get((k, j), (0, 0, 0, 0, 0))[2]:
-                            best[k, j] = (*found[:2], found[2], found[3], float(cosines[row, offset]))
+                    first, last = self.region(len(words[k]), j, place)
+                    if any(a <= first and last <= b for a, b in tried[-16:]):
+                        continue
+                    found = self.check(words[k], j, first, last)
+                    if not found:
+                        tried.append((first, last))
+                    elif found[2] > best.get((k, j), (0, 0, 0, 0, 0))[2]:
+                        best[k, j] = (*found[:2], found[2], found[3], float(cosines[row, offset]))
         return [(k, self.ids[j], f[0], f[1], f[4], f[2], f[3]) for (k, j), f in best.items()]
 
     def possible(self, words: list[np.ndarray]) -> dict[tuple[int, int], list[int]]:
@@ -261,11 +273,15 @@ class Searcher:
         close()
         return out
 
-    def check(self, words: np.ndarray, j: int, place: int) -> tuple | None:
+    def region(self, n_words: int, j: int, place: int) -> tuple[int, int]:
+        """The words that the exact check of an item at a place takes; slack on both sides is rounded out, so near places share it."""
         n = len(self.words[j])
         slack = n // 4 + 2
-        first = max(0, place - slack)
-        region = words[first:place + n + slack].tolist()
+        return max(0, (place - slack) // ROUND * ROUND), min(n_words, -(-(place + n + slack) // ROUND) * ROUND)
+
+    def check(self, words: np.ndarray, j: int, first: int, last: int) -> tuple | None:
+        n = len(self.words[j])
+        region = words[first:last].tolist()
         share = lcs_length(self.masks[j], n, region) / n
         if share < LCS:
             return None
@@ -282,8 +298,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = rename(benchmark, item=item_col, text=item_text_col).filter("text is not null")
     id_type, item_type = rows.schema["id"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
     schema = f"id {id_type}, row_key bigint, item {item_type}, first_word bigint, n_words bigint, cosine double, lcs double, answer double"
-    df = bucket_counts(rows, BUCKETS, _distinct_buckets)
-    idf = np.log((rows.count() + 1) / (df + 1))
+    df, n_rows = bucket_counts(rows, BUCKETS, _distinct_buckets, count_rows=True)
+    idf = np.log((n_rows + 1) / (df + 1))
     blocks = -(-items.count() // ITEMS)
     space = latent_space(rows.select("text").union(items.select("text")), idf).astype(np.float32) if blocks else None
     found = spark.createDataFrame([], schema)

@@ -210,7 +210,7 @@ def test_recall_against_every_place(spark, sf_dir, texts):
     wanted = set()
     for (d, _), words in zip(rows, word_hashes([t for _, t in rows], PLAIN), strict=True):
         j = next(k for k, (i, _) in enumerate(items) if i == d % 1000)
-        if any(every.check(words, j, place) for place in range(len(words))):
+        if any(every.check(words, j, *every.region(len(words), j, place)) for place in range(len(words))):
             wanted.add((d, d % 1000))
     found = {(r.doc_id, r.item_id) for r in decontamination.leaks(texts([(*r, "en") for r in rows]), table(spark, sf_dir, "benchmark")).collect()}
     print("recall", len(wanted & found), "of", len(wanted))
