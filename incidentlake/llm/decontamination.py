@@ -81,28 +81,39 @@ def _group_sums(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
     return rows
 
 
-def gram_product(texts: list[str | None], weighted: np.ndarray, total: np.ndarray) -> None:
-    """Add ``A' A thin`` of the passages of some texts, less the factor idf of each row, to ``total``; ``weighted`` is idf times thin."""
+def gram_product(texts: list[str | None], padded: np.ndarray, total: np.ndarray) -> None:
+    """Add ``A' A thin`` of the passages of some texts, less the factor idf of each row, to ``total``; ``padded`` is idf times thin and a row of zeros."""
     waiting: list[np.ndarray] = []
     held = 0
 
     def add() -> None:
-        t = np.concatenate(waiting)
-        sizes = [len(x) for x in waiting]
-        base = np.concatenate([[0], np.cumsum(sizes)])
-        starts = np.concatenate([window_starts(n, WINDOW, STRIDE) + base[k] for k, n in enumerate(sizes)])
-        stops = np.minimum(starts + WINDOW, np.repeat(base[1:], [len(window_starts(n, WINDOW, STRIDE)) for n in sizes]))
-        rank = weighted.shape[1]
-        passages = np.zeros((len(starts), rank), np.float32)
-        back = np.zeros((len(t), rank), np.float32)
-        steps = [(np.flatnonzero(starts + k < stops), k) for k in range(WINDOW)]
-        for inside, k in steps:
-            passages[inside] += weighted.take(t[starts[inside] + k], axis=0)
-        for inside, k in steps:
-            back[starts[inside] + k] += passages[inside]  # no two windows start at the same word
-        order = np.argsort(t, kind="stable")
-        names, first, counts = np.unique(t[order], return_index=True, return_counts=True)
-        total[names] += _group_sums(back.take(order, axis=0), np.arange(len(t)) - np.repeat(first, counts))
+        # words in blocks of STRIDE: a window is WINDOW / STRIDE blocks in a row, but for the last one of a text, which ends with it
+        sizes = np.array([len(x) for x in waiting])
+        blocks = -(-sizes // STRIDE)
+        first = np.concatenate([[0], np.cumsum(blocks)])
+        t = np.full(first[-1] * STRIDE, BUCKETS)  # the rest of a text's last block is a word without weight
+        at = np.arange(sizes.sum()) + np.repeat(first[:-1] * STRIDE - np.cumsum(sizes) + sizes, sizes)
+        t[at] = np.concatenate(waiting)
+        rows = padded.take(t, axis=0)
+        sums = rows.reshape(-1, STRIDE, rows.shape[1]).sum(axis=1)
+        whole = np.maximum(-(-(sizes - WINDOW) // STRIDE), 0)
+        begin = np.arange(whole.sum()) + np.repeat(first[:-1] - np.cumsum(whole) + whole, whole)
+        passages = sums.take(begin, axis=0)
+        for k in range(1, WINDOW // STRIDE):
+            passages += sums.take(begin + k, axis=0)
+        covering = np.zeros_like(sums)
+        for k in range(WINDOW // STRIDE):
+            covering[begin + k] += passages
+        last = np.maximum(sizes - WINDOW, 0) + first[:-1] * STRIDE
+        words = last[:, None] + np.minimum(np.arange(WINDOW), (np.minimum(sizes, WINDOW) - 1)[:, None])
+        inside = np.arange(WINDOW) < sizes[:, None]
+        ends = (rows[words] * inside[:, :, None]).sum(axis=1)
+        # what each word gets: the windows around its block, and the last window of its text if it stands there
+        bucket = np.concatenate([t[at], t[words[inside]]])
+        source = np.concatenate([at // STRIDE, len(covering) + np.nonzero(inside)[0]])
+        order = np.argsort(bucket, kind="stable")
+        names, start, counts = np.unique(bucket[order], return_index=True, return_counts=True)
+        total[names] += _group_sums(np.vstack([covering, ends]).take(source[order], axis=0), np.arange(len(bucket)) - np.repeat(start, counts))
         waiting.clear()
 
     for x in buckets_of(texts):
@@ -122,7 +133,7 @@ def latent_space(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
     spark = texts.sparkSession
     shape = BUCKETS, RANK + EXTRA
     sketch = np.random.default_rng(3).standard_normal(shape)
-    held = spark.sparkContext.broadcast((idf[:, None] * sketch).astype(np.float32))
+    held = spark.sparkContext.broadcast(np.vstack([idf[:, None] * sketch, np.zeros((1, shape[1]))]).astype(np.float32))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(shape)
