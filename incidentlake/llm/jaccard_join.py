@@ -202,12 +202,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pd.DataFrame({"token": np.concatenate(token), "node": np.concatenate(node), "n": np.concatenate(n), "pos": np.concatenate(pos)})
 
     entries = rows.select("text").mapInPandas(index, "token bigint, node bigint, n int, pos int")
-    lists = cut(entries.groupBy("token").agg(
-        F.min(F.struct("node", "n", "pos")).alias("p"), F.max("node").alias("last"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
-    ).filter(f"p.node <> last and not {t.hopeless('size', 'low', 'high')}").select("token", "p"))
-    shared = cut(narrowed(entries, lists, "token").join(lists, "token").groupBy("token", "node", "n", "pos", "p").agg(F.lit(1).alias("one")).drop("one"))
+    # most tokens have one set: whether there are more is found from two numbers a token
+    several = entries.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y").select("token")
+    shared = cut(narrowed(entries, several, "token").groupBy("token", "node", "n", "pos").agg(F.lit(1).alias("one")).drop("one"))
+    lists = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("p"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
+    ).filter(f"not {t.hopeless('size', 'low', 'high')}").select("token", "p")
 
-    votes = shared.filter("node <> p.node").filter(t.possible("n", "pos", "p.n", "p.pos")) \
+    votes = shared.join(lists, "token").filter("node <> p.node").filter(t.possible("n", "pos", "p.n", "p.pos")) \
         .groupBy("node", "n", F.expr("p.node as pivot"), F.expr("p.n as m")).agg(F.count("*").alias("common")) \
         .filter(t.enough("common", "n", "m"))
     first = votes.groupBy("node").agg(F.max(F.struct("common", "pivot")).alias("best")).selectExpr("best.pivot as a", "node as b")
@@ -216,7 +217,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = answers.filter("linked").select("a", "b")
 
     # labels tell which sets are known to be connected, not yet whole components
-    labelled = _relabelled(shared.drop("p").withColumn("label", F.col("node")), _hooked(links))
+    labelled = _relabelled(shared.withColumn("label", F.col("node")), _hooked(links))
     entries = cut(_mixed(labelled, t).join(nodes.select("node", "bits"), "node"))
     order = F.xxhash64("token", "node")
     pivots = entries.groupBy("token").agg(F.min(F.struct(order, "node", "n", "pos", "bits", "label")).alias("p"))
