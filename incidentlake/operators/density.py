@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import cell_label
@@ -11,7 +13,19 @@ from .features import geo_grid, night_flag, weekend_flag
 
 CELL = ["lat_grid", "lon_grid_abs"]
 WINDOW = ["hour_of_day", "day_of_week", "month_num"]
-DENSITY_FEATURES = [*CELL, *WINDOW, "is_weekend", "is_night"]
+CUBE_KEYS = [*CELL, *WINDOW]
+DENSITY_FEATURES = [*CUBE_KEYS, "is_weekend", "is_night"]
+
+
+def cube_keys(df: DataFrame, ts: str = "crime_timestamp", keep: Sequence[str] = ()) -> DataFrame:
+    """Cell and window of every incident with a place and a time, and the columns to keep."""
+    return df.filter(F.col("latitude").isNotNull() & F.col(ts).isNotNull()).select(
+        *[c.alias(n) for n, c in geo_grid("latitude", "longitude").items()],
+        F.hour(ts).alias("hour_of_day"),
+        F.dayofweek(ts).alias("day_of_week"),
+        F.month(ts).alias("month_num"),
+        *keep,
+    ).filter("lat_grid != 0.0")
 
 
 def density_cube(
@@ -22,13 +36,7 @@ def density_cube(
     ``at_least`` leaves out windows with fewer incidents. The weekend and night flags follow from hour and weekday, so they are added to
     the groups instead of widening the grouping key.
     """
-    keyed = df.filter(F.col("latitude").isNotNull() & F.col(ts).isNotNull()).select(
-        *[c.alias(n) for n, c in geo_grid("latitude", "longitude").items()],
-        F.hour(ts).alias("hour_of_day"),
-        F.dayofweek(ts).alias("day_of_week"),
-        F.month(ts).alias("month_num"),
-    ).filter("lat_grid != 0.0")
-    counts = keyed.groupBy(*CELL, *WINDOW).agg(F.count("*").alias("crime_count"))
+    counts = cube_keys(df, ts).groupBy(*CUBE_KEYS).agg(F.count("*").alias("crime_count"))
     if at_least > 1:  # a group never has fewer than one row
         counts = counts.filter(F.col("crime_count") >= at_least)
     return (

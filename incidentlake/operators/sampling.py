@@ -66,8 +66,16 @@ def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     )
 
 
-# Ranges that a column's values are counted in.
+# --- pages ----------------------------------------------------------------------------
+
+# Ranges that a page index counts rows in.
 _RANGES = 2048
+# Rows that a task may keep for a page; a page that ends further down needs a page index.
+TOP_ROWS = 100_000
+
+
+def _newest_first(order_by: str, tie: str) -> list[Column]:
+    return [F.desc_nulls_last(order_by), F.asc_nulls_first(tie)]
 
 
 def newest_records(
@@ -76,63 +84,102 @@ def newest_records(
 ) -> DataFrame:
     """Rows ``offset .. offset+limit`` of the frame ordered newest first, ties by ``tie``.
 
-    Rows are counted in ranges of the order column, and once more in ranges of the tie
-    column among the values that are left. Only the ranges that hold the page are sorted.
+    A page near the top is a bounded top-k in every task. One further down takes a page index, which
+    is worth keeping if there are more such pages; pages in a row take ``next_page``.
     """
-    chosen = df.select(*(columns or df.columns))
-    rows = df.select(*dict.fromkeys([*chosen.columns, order_by, tie]))
-    before = 0
-    # the finer second pass over the order column helps where a few values are far away
-    for name, down in ((order_by, True), (order_by, True), (tie, False)):
-        rows, skipped = _narrowed(rows, name, down, offset - before, limit, single=name != order_by and order_by)
-        before += skipped
-    page = rows.orderBy(F.desc_nulls_last(order_by), F.asc(tie)).offset(offset - before).limit(limit)
-    return page.select(*chosen.columns)
-
-
-def _rank_value(df: DataFrame, name: str) -> Column:
-    """A number that follows the order of a column: equal for equal values, never falling."""
-    kind = df.schema[name].dataType.simpleString()
-    c = F.col(name)
-    if kind == "date":
-        return F.unix_date(c).cast("double")
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if kind in ("string", "binary"):
-        return F.conv(F.hex(F.rpad(F.substring(c.cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
-    return c.cast("double")
-
-
-def _narrowed(
-    df: DataFrame, name: str, down: bool, offset: int, limit: int, single: str | bool = False
-) -> tuple[DataFrame, int]:
-    """The rows in the ranges of a column that hold a page, and how many rows come before them.
-
-    With ``single`` the rows are left as they are unless that column has a single value.
-    At most ``_RANGES + 1`` counts are collected; unknown values are a range of their own, last when
-    the order is descending and first when it is ascending.
+    columns = list(columns or df.columns)
+    if offset + limit <= TOP_ROWS:
+        return df.orderBy(*_newest_first(order_by, tie)).offset(offset).limit(limit).select(*columns)
+    return PageIndex.build(df, order_by, tie).page(df, limit, offset, columns)
+
+
+def next_page(
+    df: DataFrame, order_by: str, tie: str, limit: int, cursor: tuple | None = None,
+    columns: Sequence[str] | None = None,
+) -> tuple[DataFrame, tuple | None]:
+    """The rows behind a cursor, newest first, and the cursor of their last row; no cursor follows the last page.
+
+    A cursor is (order value, tie) of a row. It becomes a range on the order column that reaches the reader, so no page
+    sorts or skips what was before it. Rows whose order and tie are equal are not told apart: ``tie`` should be unique.
     """
-    x = _rank_value(df, name)
-    edge = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), *([
-        F.min(single).alias("a"), F.max(single).alias("b"),
-        F.count_if(F.col(single).isNull()).alias("unknown")] if single else [])).first()
-    if edge.lo is None or edge.lo == edge.hi or single and (
-            edge.a != edge.b or edge.unknown and edge.a is not None):
-        return df, 0
-    step = (edge.hi - edge.lo) / _RANGES
-    place = F.least(F.floor((x - edge.lo) / step), F.lit(_RANGES - 1))
-    unknown = F.lit(_RANGES if down else -1)
-    number = F.when(x.isNull(), unknown).otherwise(_RANGES - 1 - place if down else place)
-    counts = sorted(df.groupBy(number.alias("n")).count().collect())
-    seen, first, last, skipped = 0, None, None, 0
-    for n, count in counts:
-        if first is None and seen + count > offset:
-            first, skipped = n, seen
-        seen += count
-        if first is not None:
-            last = n
-            if seen >= offset + limit:
-                break
-    if first is None:  # the page begins behind the last row
-        return df.filter(number > counts[-1][0]), 0
-    return df.filter(number.between(first, last)), skipped
+    columns = list(columns or df.columns)
+    rows = df.select(*dict.fromkeys([*columns, order_by, tie]))
+    if cursor is not None:
+        value, last = (F.lit(v) for v in cursor)
+        order, t = F.col(order_by), F.col(tie)
+        behind = t > last if cursor[1] is not None else t.isNotNull()
+        if cursor[0] is None:  # among the rows without a value, which come last
+            rows = rows.filter(order.isNull() & behind)
+        else:
+            rows = rows.filter(order.isNull() | (order <= value)).filter(order.isNull() | (order < value) | behind)
+    page = rows.orderBy(*_newest_first(order_by, tie)).limit(limit)
+    found = page.collect()  # one page
+    after = (found[-1][order_by], found[-1][tie]) if len(found) == limit and limit else None
+    return df.sparkSession.createDataFrame(found, rows.schema).select(*columns), after
+
+
+class PageIndex:
+    """How many rows lie in ranges of the order column: pages at any offset read and sort only the ranges they need.
+
+    Ranges are cut at approximate quantiles, so they hold about equally many rows whatever the values look like;
+    a value that fills several ranges is one range. Built by two scans, used for any number of pages.
+    """
+
+    def __init__(self, order_by: str, tie: str, counts: list[tuple]):
+        # newest first: (lowest value, rows); the last range has no lowest value and holds the rows without a value
+        self.order_by, self.tie, self.counts = order_by, tie, counts
+        self.rows = sum(n for _, n in counts)
+
+    @classmethod
+    def build(cls, df: DataFrame, order_by: str, tie: str, ranges: int = _RANGES) -> PageIndex:
+        return cls(order_by, tie, cls._counted(df, order_by, cls._edges(df, order_by, tie, ranges)))
+
+    @staticmethod
+    def _edges(df: DataFrame, name: str, tie: str, ranges: int) -> list:
+        """Distinct values at about equal distances in the sorted column, from a sample of fixed size: the rows with the smallest hashes."""
+        chosen = df.filter(F.col(name).isNotNull()).select(F.col(name).alias("v"), F.xxhash64(name, tie).alias("h")).orderBy("h").limit(16 * ranges)
+        values = sorted(r.v for r in chosen.collect())
+        return sorted(set(values[::max(1, len(values) // ranges)]))
+
+    @staticmethod
+    def _counted(df: DataFrame, name: str, edges: list) -> list[tuple]:
+        """(lowest value or None, rows) of each range, newest first; the range below all edges has the value None."""
+        if not edges:
+            rows = df.agg(F.count("*")).first()[0]
+            return [(None, rows)]
+        bounds = F.array(*[F.lit(e) for e in edges])
+        kind = df.schema[name].dataType.simpleString()
+        place = F.when(F.col(name).isNull(), F.lit(-2)).otherwise(_rank(F.col(name), bounds.cast(f"array<{kind}>"), len(edges)))
+        found = dict(df.groupBy(place.alias("p")).count().collect())
+        out = [(edges[k], found.get(k, 0)) for k in range(len(edges) - 1, -1, -1)]
+        return [*out, (None, found.get(-1, 0) + found.get(-2, 0))]
+
+    def page(self, df: DataFrame, limit: int, offset: int = 0, columns: Sequence[str] | None = None) -> DataFrame:
+        """Rows ``offset .. offset+limit``, newest first."""
+        columns = list(columns or df.columns)
+        rows = df.select(*dict.fromkeys([*columns, self.order_by, self.tie]))
+        seen, skipped, first, last = 0, 0, None, None
+        for k, (_, n) in enumerate(self.counts):
+            if first is None and seen + n > offset:
+                first, skipped = k, seen
+            seen += n
+            if first is not None:
+                last = k
+                if seen >= offset + limit:
+                    break
+        if first is None:  # behind the last row
+            return rows.filter("false").select(*columns)
+        order = F.col(self.order_by)
+        low, above = self.counts[last][0], self.counts[first - 1][0] if first else None
+        if low is not None:
+            rows = rows.filter(order >= F.lit(low))
+        if above is not None:
+            rows = rows.filter(order < F.lit(above) if low is not None else order.isNull() | (order < F.lit(above)))
+        return rows.orderBy(*_newest_first(self.order_by, self.tie)).offset(offset - skipped).limit(limit).select(*columns)
+
+
+def _rank(value: Column, bounds: Column, size: int) -> Column:
+    """How many of the sorted bounds a value reaches, less one, by halving steps."""
+    steps = F.array(*[F.lit(1 << k) for k in range(size.bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(-1), lambda place, step: F.when(
+        (place + step < size) & (F.get(bounds, place + step) <= value), place + step).otherwise(place))

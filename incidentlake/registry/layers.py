@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import clean_audit
 from ..operators.shaping import to_envelope, to_event_record
+from ..plans.incremental import (
+    MARTS, Bucketed, compact, increment, read_counts, read_heatmap, read_rows, silver_rows,
+)
 from ..plans.layers import (
     SILVER_REQUIRED, gold_marts, refine_to_gold, refine_to_silver, to_gold, to_silver, typed,
 )
 from ..schema import EVENT_FIELDS
 from ..session import scratch_dir
 from ..sources import layer_counts
-from ..streaming import decode_envelope, ingest, parse_events
+from ..streaming import decode_envelope, ingest, late_rows, parse_events, refine_stream
 from .binding import MESSAGES, bronze_rows, incidents, messages, with_incidents
 
 
@@ -216,7 +219,84 @@ def _mart_sql(column, where=""):
 
 _DATED = "WHERE crime_timestamp IS NOT NULL"
 
+
+# --- increments: the same tables without rebuilding them ------------------------------------
+
+
+def _incremented(spark, sf_dir) -> Bucketed:
+    """Bronze in three increments, second copies first, the last one delivered twice and the second one compacted."""
+    table = Bucketed(scratch_dir(spark, "increments"), buckets=16)
+    rows = silver_rows(bronze_rows(spark, sf_dir).withColumn("json_value", F.col("arrest")))
+    part = F.crc32(F.concat_ws("|", "crime_id", F.col("kafka_timestamp").cast("string"))) % 3
+    for number in range(3):
+        increment(spark, table, rows.filter(part == number), number)
+        if number == 1:
+            compact(spark, table)
+    increment(spark, table, rows.filter(part == 2), 3)  # delivered again
+    return table
+
+
+def silver_increments(spark, sf_dir):
+    return read_rows(spark, _incremented(spark, sf_dir)).select(*SILVER_SHOWN, _text_ts("crime_timestamp"))
+
+
+def merged_marts(spark, sf_dir):
+    """The four marts from partial aggregates, as (mart, key, count)."""
+    key = F.coalesce(*[F.col(k).cast("string") for k, _ in MARTS.values()])
+    return read_counts(spark, _incremented(spark, sf_dir), "marts").select("mart", key.alias("key"), "count")
+
+
+def merged_heatmap(spark, sf_dir):
+    cells = read_heatmap(spark, _incremented(spark, sf_dir))
+    return cells.withColumn("avg_crimes", F.round("avg_crimes", 6))
+
+
+def silver_stream(spark, sf_dir):
+    """Messages streamed to bronze and on to silver, in two deliveries of which the second repeats a part of the first."""
+    root = scratch_dir(spark, "stream")
+    table = Bucketed(f"{root}/silver", buckets=16)
+    sent = messages(spark, sf_dir)
+    part = F.crc32(F.concat("key", F.col("timestamp").cast("string"))) % 4
+    for delivery in (sent.filter(part < 2), sent.filter(part > 0)):
+        delivery.write.mode("append").parquet(f"{root}/inbox")
+        ingest(spark, f"{root}/bronze", f"{root}/to_bronze", path=f"{root}/inbox")
+        refine_stream(spark, f"{root}/bronze", table, f"{root}/to_silver", delay="12 hours")
+    return read_rows(spark, table).select(*SILVER_SHOWN, _text_ts("crime_timestamp"))
+
+
+def streamed_late_rows(spark, sf_dir):
+    """Incidents of a second delivery that begins half a day before the latest message of the first."""
+    root = scratch_dir(spark, "late")
+    table = Bucketed(f"{root}/silver", buckets=16)
+    rows = bronze_rows(spark, sf_dir).withColumn("json_value", F.col("crime_id"))
+    first = F.col("crime_id").cast("bigint") % 2 == 0
+    for delivery in (rows.filter(first), rows.filter(~first)):
+        delivery.write.mode("append").parquet(f"{root}/bronze")
+        refine_stream(spark, f"{root}/bronze", table, f"{root}/checkpoint", delay="12 hours")
+    return late_rows(spark, table).groupBy("crime_id").agg(F.count("*").alias("copies"))
+
+
+LATE_SQL = with_incidents(f"""
+WITH {MESSAGES},
+first AS (SELECT max(ts) AS latest FROM sent WHERE CAST(id AS BIGINT) % 2 = 0)
+SELECT id AS crime_id, count(*) AS copies FROM sent, first
+WHERE CAST(id AS BIGINT) % 2 = 1 AND ts <= latest - INTERVAL 12 HOUR + INTERVAL 1 MILLISECOND GROUP BY 1""")
+
+_MERGED_MARTS = "\nUNION ALL\n".join(
+    f"SELECT '{mart}' AS mart, {key} AS key, count(*) AS count FROM silver {where} GROUP BY 2" for mart, key, where in (
+        ("by_type", "primary_type", ""), ("hourly", "CAST(hour(crime_timestamp) AS VARCHAR)", _DATED),
+        ("by_district", "CAST(district AS VARCHAR)", ""), ("daily", "strftime(crime_timestamp, '%Y-%m-%d')", _DATED)))
+
 QUERIES = {
+    "silver_increments": (silver_increments, silver_sql(f"SELECT {_SHOWN_SQL} FROM silver")),
+    "silver_stream": (silver_stream, silver_sql(f"SELECT {_SHOWN_SQL} FROM silver")),
+    "streamed_late_rows": (streamed_late_rows, LATE_SQL),
+    "marts_merged": (merged_marts, silver_sql(_MERGED_MARTS)),
+    "heatmap_merged": (merged_heatmap, silver_sql("""
+SELECT lat_grid, lon_grid_abs, count(*) AS time_windows, round(avg(n), 6) AS avg_crimes FROM (
+  SELECT lat_grid, lon_grid_abs, hour(crime_timestamp) AS h, dayofweek(crime_timestamp) AS d, month(crime_timestamp) AS m, count(*) AS n
+  FROM (SELECT *, round(latitude, 2) AS lat_grid, COALESCE(abs(round(longitude, 2)), 0.0) AS lon_grid_abs FROM silver) WHERE latitude IS NOT NULL AND crime_timestamp IS NOT NULL AND lat_grid <> 0
+  GROUP BY ALL) GROUP BY ALL""")),
     "event_record": (event_record, EVENT_SQL),
     "message_key": (message_key, KEY_SQL),
     "bronze_parse": (bronze_parse, BRONZE_SQL),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cleaning import dedupe
 from ..operators.explore import order_by_day
 from ..operators.metrics import classification_metrics
 from ..operators.sampling import (
-    cap_rows, newest_records, sample_exact, sample_fraction, split,
+    PageIndex, cap_rows, newest_records, next_page, sample_exact, sample_fraction, split,
 )
 from ..operators.shaping import normalize_columns, select_existing
 from ..session import scratch_dir
@@ -49,16 +51,36 @@ _LINES_SHOWN = ", ".join(LINE_COLUMNS[:-1]) + ", strftime(l_shipdate, '%Y-%m-%d'
 
 
 def _page(share):
-    """A page that begins behind a share of all orders."""
+    """A page that begins behind a share of all orders, by way of stored range counts."""
     def query(spark, sf_dir):
         orders = table(spark, sf_dir, "orders")
-        page = newest_records(
-            orders, "o_orderdate", "o_orderkey", 500, int(orders.count() * share),
-            ["o_orderkey", "o_orderdate", "o_totalprice"])
+        index = PageIndex.build(orders, "o_orderdate", "o_orderkey")
+        page = index.page(orders, 500, int(index.rows * share), ["o_orderkey", "o_orderdate", "o_totalprice"])
         return page.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     return query
 
 
+def first_page(spark, sf_dir):
+    page = newest_records(
+        table(spark, sf_dir, "orders"), "o_orderdate", "o_orderkey", 500, 0, ["o_orderkey", "o_orderdate", "o_totalprice"])
+    return page.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+def pages_in_a_row(spark, sf_dir):
+    """Five pages of orders, each found from the last row of the one before."""
+    orders = table(spark, sf_dir, "orders")
+    cursor, pages = None, []
+    for number in range(5):
+        page, cursor = next_page(orders, "o_orderdate", "o_orderkey", 300, cursor, ["o_orderkey", "o_orderdate"])
+        pages.append(page.withColumn("page", F.lit(number)))
+    return reduce(DataFrame.unionByName, pages).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+PAGES_SQL = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, CAST(n // 300 AS INT) AS page FROM (
+  SELECT o_orderkey, orders.o_orderdate, row_number() OVER (ORDER BY orders.o_orderdate DESC, o_orderkey) - 1 AS n FROM orders) WHERE n < 1500"""
+
+
 def _page_sql(share):
     return f"""
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice FROM orders
@@ -171,11 +193,8 @@ def run_log(spark, sf_dir):
 
 
 def order_weekdays(spark, sf_dir):
-    """Large orders of the last days in the table, shown for the whole week; some days have none."""
-    orders = table(spark, sf_dir, "orders")
-    latest = orders.agg(F.max("o_orderdate")).scalar()
-    recent = orders.filter(F.datediff(latest, "o_orderdate") < 4)
-    days = recent.groupBy(F.date_format("o_orderdate", "EEEE").alias("day")).agg(F.count("*").alias("count"))
+    """Orders per weekday in display order; a day without orders would have the count 0."""
+    days = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "EEEE").alias("day")).agg(F.count("*").alias("count"))
     return order_by_day(days)
 
 
@@ -188,7 +207,8 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.
 SELECT {_LINES_SHOWN} FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY {_FLAG_ORDER.replace(
     'l_shipdate', 'lineitem.l_shipdate')}) = 1"""),
-    "newest_page": (_page(0.0), _page_sql(0.0)),
+    "newest_page": (first_page, _page_sql(0.0)),
+    "pages_in_a_row": (pages_in_a_row, PAGES_SQL),
     "newest_page_middle": (_page(0.4), _page_sql(0.4)),
     "newest_page_deep": (_page(0.99), _page_sql(0.99)),
     "split_by_key": (key_split, f"""
@@ -226,7 +246,6 @@ UNION ALL SELECT 'flags', 'Broken', 'param', 'error', '700'"""),
     "weekday_reindex": (order_weekdays, """
 WITH days AS (SELECT * FROM (VALUES (1, 'Monday'), (2, 'Tuesday'), (3, 'Wednesday'),
   (4, 'Thursday'), (5, 'Friday'), (6, 'Saturday'), (7, 'Sunday')) t(position, day))
-SELECT position, day, count(o_orderkey) AS count FROM days LEFT JOIN
-  (SELECT * FROM orders WHERE date_diff('day', CAST(o_orderdate AS DATE), (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)) < 4) AS o
+SELECT position, day, count(o_orderkey) AS count FROM days LEFT JOIN orders
   ON dayname(o_orderdate) = day GROUP BY ALL"""),
 }

@@ -13,9 +13,25 @@ from ..operators.shaping import to_envelope, to_event_record
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path names."""
+    fs, target = _file_system(spark, path)
+    return bool(fs.exists(target))
+
+
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hadoop_path))
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, on whatever file system the path names; nothing if it is not there."""
+    fs, folder = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
 
 
 _NO_SUCH_FORMAT = "DATA_SOURCE_NOT_FOUND"

@@ -1,5 +1,9 @@
-"""Streaming ingest."""
+"""Streaming ingest and refinement."""
 
 from .ingest import decode_envelope, ingest, parse_events, read_events, write_stream
+from .refine import late_rows, refine_stream
 
-__all__ = ["decode_envelope", "ingest", "parse_events", "read_events", "write_stream"]
+__all__ = [
+    "decode_envelope", "ingest", "parse_events", "read_events", "write_stream",
+    "late_rows", "refine_stream",
+]

@@ -182,3 +182,42 @@ def test_districts_tie_by_number(frame):
                "district int, date_ts timestamp, primary_type string, location_description string, arrest string, domestic string")
     found = {r["finding"]: r["detail"] for r in eda_summary(df).collect()}
     assert found["Highest-crime districts"] == "2, 9, 10"
+
+
+def test_pages_in_a_row_are_the_sorted_table(frame):
+    """A cursor walks through ties, equal values and missing ones without a gap."""
+    import random
+    rng = random.Random(1)
+    rows = [(rng.choice([None, "https:a", "https:b", "https:" + "c" * rng.randrange(4)]), i if i != 7 else None) for i in range(200)]
+    df = frame(rows, "at string, id int")
+    wanted = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0))
+    wanted = sorted(wanted, key=lambda r: r[0] or "", reverse=True)  # stable; missing values are last
+    for limit in (7, 50, 200, 1000):
+        cursor, found, pages = None, [], 0
+        while True:
+            page, cursor = sampling.next_page(df, "at", "id", limit, cursor, ["at", "id"])
+            found += [tuple(r) for r in page.collect()]
+            pages += 1
+            if cursor is None:
+                break
+        assert found == wanted and pages == 200 // limit + 1
+    index = sampling.PageIndex.build(df, "at", "id", ranges=16)
+    assert index.rows == 200
+    for offset in (0, 3, 60, 150, 199, 200, 500):
+        assert [tuple(r) for r in index.page(df, 30, offset).collect()] == wanted[offset:offset + 30]
+    assert sampling.PageIndex.build(df.limit(0), "at", "id").page(df.limit(0), 5).count() == 0
+
+
+def test_pages_reach_the_reader(spark, sf_dir):
+    """The range of a cursor and of an indexed page are pushed down."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    index = sampling.PageIndex.build(orders, "o_orderdate", "o_orderkey", ranges=64)
+    assert index.rows == orders.count() and len(index.counts) > 30
+    plan = index.page(orders, 10, 700, ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan and "o_totalprice" not in plan
+
+
+def test_absent_weekday(frame):
+    from incidentlake.operators.explore import order_by_day
+    days = order_by_day(frame([("Monday", 3), ("Sunday", 1)], "day string, count bigint")).collect()
+    assert [(r["day"], r["count"]) for r in days][:2] == [("Monday", 3), ("Tuesday", 0)] and len(days) == 7
