@@ -81,6 +81,61 @@ def test_extraction(spark, sf_dir):
     assert extraction.extract(df.limit(0)).count() == 0
 
 
+def extraction_brute(rows):
+    """Runs of eight tokens on at least three and half of the distinct pages of a host are cut, token by token."""
+    def host(url):
+        m = re.match(r"[^:/?#]+://([^/?#]*)", url or "")
+        return m[1].lower() if m else ""
+    pages = defaultdict(set)
+    holders = defaultdict(set)
+
+    def stream(html):
+        found, has_main = markup.blocks(html)
+        return [(tag, text.split(), aside) for tag, text, in_main, aside in found if not in_main]
+
+    def runs(blocks):
+        tokens = [t for tag, words, _ in blocks for t in (f"<{tag}>", *words)]
+        return [tuple(tokens[i:i + 8]) for i in range(len(tokens) - 7)]
+    for _, url, html in rows:
+        pages[host(url)].add(html or "")
+        for run in runs(stream(html)):
+            holders[host(url), run].add(html or "")
+    out = []
+    for i, url, html in rows:
+        blocks, h = stream(html), host(url)
+        gone = set()
+        for at, run in enumerate(runs(blocks)):
+            n = len(holders[h, run])
+            if n >= 3 and 2 * n >= len(pages[h]):
+                gone |= set(range(at, at + 8))
+        at, lines = 0, []
+        for _, words, aside in blocks:
+            left = [w for k, w in enumerate(words, at + 1) if k not in gone]
+            at += 1 + len(words)
+            if left and not aside:
+                lines.append(" ".join(left))
+        out.append((i, "\n".join(lines)))
+    return Counter(out)
+
+
+def test_extraction_of_unmarked_pages(spark):
+    """Copies and quotes of articles stay, boilerplate goes, unique runs of a block are kept."""
+    def words(name, n):
+        return " ".join(f"{name}{j}" for j in range(n))
+    article = f"<div>{words('a', 40)}</div>"
+    rows = [(1, "http://h/1", article), (2, "http://h/2", article), (3, "http://h/3", f"<div>{words('a', 12)} {words('own', 9)}</div>")]
+    found = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found[1] == found[2] == words("a", 40) and found[3].endswith(words("own", 9))
+    rows += [(10 + k, f"HTTP://Big/{k}", f"<div>{words('menu', 15)} {words(f'x{k}', 20)} {words('foot', 10)}</div><p>{words('legal', 9)}</p><p>{words('story', 30) if k % 3 == 0 else words(f'y{k}', 30)}</p>") for k in range(9)]
+    rows += [(10, "http://big/0", None), (40, "http://one/", f"<div>{words('menu', 15)}</div>"), (41, "http://two/1", article), (42, "http://two/1", article)]
+    rows += [(50 + k, "http://big/copy", rows[5][2]) for k in range(12)]  # copies of one page count once
+    rows += [(60, "http://rep/1", f"<p>{words('r', 12)}</p>")] * 5 + [(61, "http://rep/2", f"<p>{words('r', 12)} two</p>")]  # equal rows are one page
+    got = Counter((r.page_id, r.text) for r in extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 as content", "2 as pages")).collect())
+    assert got == extraction_brute(rows)
+    texts = dict(got.keys())
+    assert texts[13].startswith("x3") and words("story", 30) in texts[13] and "menu" not in texts[13] and "legal" not in texts[13]
+
+
 def test_url_rules_and_words(spark, sf_dir, duck):
     judged = registry.op3_url_filter(spark, sf_dir)
     base = {r[0]: r[1:] for r in duck.execute(url_filter.base_sql()).fetchall()}
