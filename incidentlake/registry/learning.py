@@ -117,16 +117,26 @@ def saved_model(spark, sf_dir):
 
 # --- experiments: trained on the whole tables, rows-only checks ------------------------
 
+#: Parts of the training rows here; on a cluster, as many as the training tasks should be.
+PARTS = 8
+
+
+def _whole(result):
+    """The result of an experiment whose models have all been trained."""
+    if result.failures:
+        raise RuntimeError(f"models that failed: {result.failures}")
+    return result
+
 
 def _experiment(target):
     def query(spark, sf_dir):
-        return run_binary(_table_a(spark, sf_dir), ExperimentConfig(target, keys=["id"])).metrics
+        return _whole(run_binary(_table_a(spark, sf_dir), ExperimentConfig(target, keys=["id"], partitions=PARTS))).metrics
     return query
 
 
 def model_roc_curves(spark, sf_dir):
     """ROC points of all five models; both ends of every curve are checked in SQL."""
-    result = run_binary(_table_a(spark, sf_dir), ExperimentConfig("arrest", keys=["id"]))
+    result = _whole(run_binary(_table_a(spark, sf_dir), ExperimentConfig("arrest", keys=["id"], partitions=PARTS)))
     points = roc_curves(result)
     rising = Window.partitionBy("model").orderBy(F.desc("threshold_no"))
     before = F.coalesce(F.lag("tpr").over(rising), F.lit(0.0))
@@ -136,14 +146,14 @@ def model_roc_curves(spark, sf_dir):
 
 
 def density_experiment(spark, sf_dir):
-    return run_density(typed_incidents(spark, sf_dir), ExperimentConfig("density"), "date_ts").metrics
+    return _whole(run_density(typed_incidents(spark, sf_dir), ExperimentConfig("density", partitions=PARTS), "date_ts")).metrics
 
 
 def predicted_heatmap(spark, sf_dir):
     """Cells of the heatmap of predicted counts: every window of the cube is predicted."""
     boosted = {"GBTRegressor": model_zoo("density")["GBTRegressor"]}
     incidents_ = typed_incidents(spark, sf_dir)
-    result = run_density(incidents_, ExperimentConfig("density", models=boosted), "date_ts")
+    result = _whole(run_density(incidents_, ExperimentConfig("density", models=boosted, partitions=PARTS), "date_ts"))
     predicted = result.models[result.best].transform(density_cube(incidents_, "date_ts"))
     found = heatmap(predicted, "prediction")
     return found.select("lat_grid", "lon_grid_abs", "time_windows")
@@ -152,7 +162,7 @@ def predicted_heatmap(spark, sf_dir):
 def importance_of_a_tree(spark, sf_dir):
     """Features of the best model, whose importances add up to one."""
     models = {"DecisionTreeClassifier": model_zoo("binary")["DecisionTreeClassifier"]}
-    result = run_binary(_table_a(spark, sf_dir), ExperimentConfig("arrest", models=models, keys=["id"]))
+    result = _whole(run_binary(_table_a(spark, sf_dir), ExperimentConfig("arrest", models=models, keys=["id"], partitions=PARTS)))
     total = F.round(F.sum("importance").over(Window.partitionBy()), 6)
     return result.importance.select("feature", total.alias("total"))
 
@@ -169,7 +179,7 @@ def heatmap_report(spark, sf_dir):
 
 def protocol_experiment(spark, sf_dir):
     table_c = feature_table(incidents(spark, sf_dir), "C").withColumnRenamed("id", "crime_id")
-    return run_protocol(table_c, ExperimentConfig("protocol")).metrics
+    return _whole(run_protocol(table_c, ExperimentConfig("protocol", partitions=PARTS))).metrics
 
 
 def experiment_reports(spark, sf_dir):
