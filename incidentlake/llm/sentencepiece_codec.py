@@ -3,7 +3,7 @@
 Encoding keeps an agenda of adjacent symbol pairs ordered by score (ties: the leftmost) and
 merges the best pair until none is left. A text falls apart where no vocabulary entry holds
 the two neighbouring characters side by side: no merge can cross such a place, so the parts
-are encoded apart and repeated parts come from a bounded cache. Decoding joins the pieces of the ids;
+are encoded apart and repeated parts come from a bounded cache. The ids of each part are decoded once, by joining their pieces;
 runs of byte pieces become characters. Every part that is encoded anew, and one whole text of each Arrow batch, is
 compared with the sentencepiece library in both directions; a difference is an error, not a row that goes on.
 A vocabulary with a space mark behind another character in a piece is refused, since merges could cross spaces there.
@@ -27,7 +27,7 @@ from .common import ship
 
 SPACE = "▁"
 #: Parts kept by a worker (about 250 bytes each, and none longer than KEPT_CHARS); beyond it the cache starts anew. Results do not depend on it.
-CACHE_PARTS, KEPT_CHARS = 800_000, 100
+CACHE_PARTS, KEPT_CHARS = 1_500_000, 100
 _PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MARKS = ".,;:!?#*$%&|)\"'"
 _CODECS: dict[str, Codec] = {}
@@ -69,6 +69,7 @@ class Codec:
         self.byte_decimals = set(map(str, self.byte_of))
         self.decimal: dict[str, str] = {}  # ids of a part, as decimals
         self.runs: dict[str, str] = {}  # the same of what parts fall into
+        self.spelled: dict[str, str] = {}  # decoded texts of those parts whose ids do not decode to the part itself
 
     def merged(self, part: str) -> list[str]:
         """Pieces of a part: the best-scored adjacent pair is merged first, then the next."""
@@ -114,6 +115,8 @@ class Codec:
             found = self.run_decimal(core) + " " + self.run_decimal(part[len(core):])
         else:
             found = self.run_decimal(part)
+        if (text := self.text_of_decimal(found)) != part.replace(SPACE, " "):
+            self.spelled[key] = text
         return found
 
     def text_of(self, ids: list[int]) -> str:
@@ -135,12 +138,21 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return self.text_of(ids).removeprefix(" ")
 
-    def decoded(self, decimal: str) -> str:
-        """Text of ids that are given as decimals."""
+    def text_of_decimal(self, decimal: str) -> str:
+        """``text_of`` of ids that are given as decimals."""
         ids = decimal.split()
         if not self.byte_decimals.isdisjoint(ids):
-            return self.decode(list(map(int, ids)))
-        return "".join(map(self.piece_of.__getitem__, ids)).replace(SPACE, " ").removeprefix(" ")
+            return self.text_of(list(map(int, ids)))
+        return "".join(map(self.piece_of.__getitem__, ids)).replace(SPACE, " ")
+
+    def decoded(self, decimal: str) -> str:
+        return self.text_of_decimal(decimal).removeprefix(" ")
+
+    def joined(self, parts: list[str]) -> str:
+        """The decoded text of parts, each as its ids were decoded."""
+        if not self.spelled or self.spelled.keys().isdisjoint(parts):
+            return " ".join(parts).replace(SPACE, " ")
+        return "".join([self.spelled.get(p) or " " + p.replace(SPACE, " ") for p in parts]).removeprefix(" ")
 
     def parts(self, text: str | None) -> list[str]:
         """The parts between spaces, each without its first mark."""
@@ -160,8 +172,8 @@ class Codec:
                 raise ValueError(f"the library encodes or decodes {text[:200]!r} differently")
 
     def forget(self) -> None:
-        if len(self.decimal) + len(self.runs) > CACHE_PARTS:
-            for held in (self.decimal, self.runs):
+        if len(self.decimal) + len(self.runs) > CACHE_PARTS or len(self.spelled) > CACHE_PARTS // 100:
+            for held in (self.decimal, self.runs, self.spelled):
                 held.clear()
 
 
@@ -205,7 +217,7 @@ def encode_batch(c: Codec, texts: list[str | None], outputs: list[str], begin: l
         if text and whole is None:
             whole = text, inner
         decimal = " ".join(edges[:1] * bool(begin) + [inner] * bool(found) + edges[1:] * bool(end))
-        decoded = c.decoded(inner) if "decoded" in outputs or "decoded_sha256" in outputs else ""
+        decoded = c.joined(parts) if "decoded" in outputs or "decoded_sha256" in outputs else ""
         for out, column in zip(outputs, columns, strict=True):
             if out == "ids":
                 column.append(list(map(int, decimal.split())))
