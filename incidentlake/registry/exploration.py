@@ -11,12 +11,16 @@ from ..operators.explore import (
     profile, rate_by, share, top_k, value_range, weekday_hour_matrix,
 )
 from ..operators.features import feature_table
+from ..operators.quantiles import exact_quantiles
 from ..plans.findings import CHECKED, CHECKED_NUMERIC, eda_summary
 from ..schema import CITY_BOX
 from .binding import table, typed_incidents, with_incidents
 from .features import FEATURES_B_CTE
 
 
+EXACT_AT = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
 def _events(spark, sf_dir):
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -117,6 +121,16 @@ def lineitem_profile(spark, sf_dir):
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
+def lineitem_exact_quantiles(spark, sf_dir):
+    """Values at ranks of all measures and of the ship time, by counts in narrowing ranges."""
+    found = exact_quantiles(table(spark, sf_dir, "lineitem"), [*_PROFILED, "l_shipdate"], EXACT_AT)
+    return found.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def incident_exact_quantiles(spark, sf_dir):
+    return exact_quantiles(typed_incidents(spark, sf_dir), ["latitude", "longitude", "beat", "ward"], EXACT_AT)
+
+
 def lineitem_quartiles(spark, sf_dir):
     """Quartiles of the sketch have a rank within its promised error on every column.
 
@@ -312,6 +326,12 @@ UNION ALL SELECT 'o_orderdate', count(DISTINCT o_orderdate) FROM orders"""),
     "lineitem_quartiles": (lineitem_quartiles, "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column, '{q}' AS quantile, count({c}) AS rows, true AS near FROM lineitem"
         for c in _PROFILED for q in QUARTILES)),
+    "lineitem_exact_quantiles": (lineitem_exact_quantiles, "\nUNION ALL\n".join(
+        f"SELECT {p}::DOUBLE AS probability, " + ", ".join(f"quantile_disc({c}, {p}) AS {c}" for c in _PROFILED)
+        + f", strftime(quantile_disc(l_shipdate, {p}), '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate FROM lineitem" for p in EXACT_AT)),
+    "incident_exact_quantiles": (incident_exact_quantiles, with_incidents("\nUNION ALL\n".join(
+        f"SELECT {p}::DOUBLE AS probability, quantile_disc(lat, {p}) AS latitude, quantile_disc(lon, {p}) AS longitude, "
+        f"quantile_disc(beat_n, {p}) AS beat, quantile_disc(ward_n, {p}) AS ward FROM inc" for p in EXACT_AT))),
     "lineitem_correlation": (lineitem_correlation, _corr_sql({c: c for c in _CORRELATED}, "lineitem")),
     "incident_correlation": (incident_correlation, with_incidents(_corr_sql(
         {"latitude": "lat", "longitude": "lon", "beat": "beat_n", "ward": "ward_n"}, "inc"))),
