@@ -1,7 +1,15 @@
-"""Model experiments: shared feature stages, isolated models, metrics in one job each."""
+"""Model experiments: shared feature stages, isolated models, metrics in one job each.
+
+With ``out`` and ``resume`` a run leaves a state folder by a digest of everything a model follows from: the configuration, the
+parameters of every estimator, and the counts and key hashes of the training and test rows. A model's state is complete once its scores are
+written, after the model itself. A later run with the same digest reads those models and scores and trains only the rest, so a run that
+was killed half way ends with the rows it would have had.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
@@ -23,7 +31,7 @@ from ..operators.metrics import (
 )
 from ..operators.sampling import cap_rows, split
 from ..sources.runlog import log_run
-from ..sources.writers import save_model, write_report
+from ..sources.writers import path_exists, save_model, write_report
 
 TRAIN_CAP = 600_000
 
@@ -56,6 +64,7 @@ class ExperimentConfig:
     keys: list[str] | None = None  # split key; default: the whole row
     train_cap: int | None = TRAIN_CAP  # None trains on everything
     keep_models: bool = False
+    resume: bool = False  # keep trained models as state, and take those of an earlier run of the same kind
     partitions: int = 32  # of the training rows, dealt out by the split key at every size
     parallelism: int = 4  # models in training at the same time
     seed: int = 42
@@ -77,6 +86,7 @@ class ExperimentResult:
     predictions: DataFrame | None  # of the best model, lazy
     failures: dict[str, str] = field(default_factory=dict)
     models: dict[str, PipelineModel] = field(default_factory=dict)
+    resumed: list[str] = field(default_factory=list)  # models that were read, not trained
     test: DataFrame | None = None  # the rows the models were scored on
 
 
@@ -96,6 +106,52 @@ class _Task:
     keys: list[str]
 
 
+def _content(df: DataFrame) -> list[str]:
+    """What tells two inputs apart, whatever their layout: rows and sums of two hashes of all columns."""
+    hashed = [F.xxhash64(*df.columns), F.xxhash64(F.lit(1), *df.columns)]
+    return [str(v) for v in df.agg(F.count("*"), *[F.sum(h.cast("decimal(38,0)")) for h in hashed]).first()]
+
+
+def _digest(config: ExperimentConfig, task: _Task, estimator) -> str:
+    """Of everything a model and its scores follow from, its input apart."""
+    parameters = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
+    if hasattr(estimator, "getClassifier"):  # a wrapped estimator counts by its parameters, not by its random name
+        inner = estimator.getClassifier()
+        parameters["classifier"] = [type(inner).__name__, sorted((p.name, str(v)) for p, v in inner.extractParamMap().items())]
+    told = [config.target, config.seed, config.partitions, config.train_cap, task.keys, task.names, task.report,
+            sorted((k, str(v)) for k, v in task.params.items()), type(estimator).__name__, sorted(parameters.items())]
+    return hashlib.md5(json.dumps(told).encode()).hexdigest()
+
+
+class _State:
+    """Trained models and their scores under a digest of configuration and input."""
+
+    def __init__(self, config: ExperimentConfig, task: _Task, spark):
+        self.spark, self.report = spark, task.report
+        self.root = config.path("state") if config.resume else None
+        if config.resume and not config.out:
+            raise ValueError("a run is resumed from its folder: set out")
+        if self.root:
+            content = "|".join(_content(task.train) + _content(task.test))
+            self.of = {n: hashlib.md5(f"{content}|{_digest(config, task, e)}".encode()).hexdigest()
+                       for n, e in (config.models or task.models).items()}
+
+    def path(self, name: str, part: str) -> str:
+        return f"{self.root}/{name}/{self.of[name]}/{part}"
+
+    def read(self, name: str):
+        """Scores and model of an earlier run; nothing if they are not complete."""
+        if not self.root or not path_exists(self.spark, self.path(name, "scores/_SUCCESS")):
+            return None
+        row = self.spark.read.parquet(self.path(name, "scores")).first()
+        return [row[c] for c in self.report], PipelineModel.load(self.path(name, "model")).stages[-1]
+
+    def write(self, name: str, row: list, model: PipelineModel) -> None:
+        if self.root:
+            save_model(model, self.path(name, "model"))
+            _frame(self.spark, [row], self.report).write.mode("overwrite").parquet(self.path(name, "scores"))
+
+
 def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
     """Train and score every model; a failing one is logged and left out.
 
@@ -114,6 +170,12 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
     train, test = vectors(laid_out), vectors(task.test)
     estimators = config.models or task.models
     found, fitted, failures = {}, {}, {}
+    state = _State(config, task, spark)
+    for name in estimators:
+        earlier = state.read(name)
+        if earlier:
+            found[name], fitted[name] = earlier
+    resumed = list(found)
 
     def attempt(name):
         model = estimators[name].fit(train)
@@ -139,7 +201,9 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
             params |= {f"class_weight_{label:g}": w for label, w in sorted(weights)}
         with ThreadPoolExecutor(config.parallelism) as pool:
             started = {pool.submit(inheritable_thread_target(spark)(attempt), n): n
-                       for n in estimators}
+                       for n in estimators if n not in found}
+            if config.out and resumed:
+                write_report(_frame(spark, finished(), task.report), config.path("model_metrics"))
             for done in as_completed(started):
                 name = started[done]
                 try:
@@ -150,6 +214,7 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
                     continue
                 found[name] = [name, *[float(scores[c]) for c in task.report[1:]]]
                 fitted[name] = model
+                state.write(name, found[name], PipelineModel([*shared.stages, model]))
                 _log(spark, config, name, {"model_name": name, **params}, scores)
                 if config.out:  # appended after every model, so a later crash loses nothing
                     write_report(_frame(spark, [found[name]], task.report), config.path("model_metrics"),
@@ -178,7 +243,7 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
         write_report(importance, config.path("feature_importance_best_model"),
                      order_by=(F.desc("importance"), "feature"))
     return ExperimentResult(
-        metrics, best, cells, importance, predictions, failures, models, task.test)
+        metrics, best, cells, importance, predictions, failures, models, resumed, task.test)
 
 
 def roc_curves(result: ExperimentResult, thresholds: int = 100) -> DataFrame:

@@ -116,3 +116,62 @@ def test_layout_does_not_change_models(table_a):
         run_binary(table_a.repartition(n), ExperimentConfig("arrest", models=models, keys=["id"], partitions=6)).metrics.first()
         for n in (3, 11)]
     assert found[0] == found[1]
+
+
+class Counted(DecisionTreeClassifier):
+    """Counts its fits; from a depth on it ends the run like a lost driver."""
+
+    fits = []
+    fatal = None
+
+    def fit(self, dataset, params=None):
+        if Counted.fatal and self.getMaxDepth() >= Counted.fatal:
+            raise KeyboardInterrupt
+        Counted.fits.append(self.getMaxDepth())
+        return super().fit(dataset, params)
+
+
+def resumable(tmp_path, **settings):
+    models = {f"depth {d}": Counted(maxDepth=d, seed=1) for d in (1, 2, 3, 4)}
+    return ExperimentConfig("arrest", out=str(tmp_path), models=models, keys=["id"], resume=True, parallelism=1, **settings)
+
+
+def test_killed_run_is_resumed(spark, table_a, tmp_path, monkeypatch):
+    Counted.fits = []
+    whole = run_binary(table_a, resumable(tmp_path / "whole"))
+    assert Counted.fits == [1, 2, 3, 4] and whole.resumed == []
+
+    Counted.fits = []
+    monkeypatch.setattr(Counted, "fatal", 3)
+    with pytest.raises(KeyboardInterrupt):
+        run_binary(table_a, resumable(tmp_path / "killed"))
+    assert Counted.fits == [1, 2]
+
+    monkeypatch.setattr(Counted, "fatal", None)
+    config = resumable(tmp_path / "killed")
+    result = run_binary(table_a.repartition(3), config)  # another layout is the same input
+    assert Counted.fits == [1, 2, 3, 4] and result.resumed == ["depth 1", "depth 2"]
+    assert result.metrics.collect() == whole.metrics.collect()
+    assert result.best == whole.best and result.confusion.collect() == whole.confusion.collect()
+    schema = "model string, " + ", ".join(f"{c} double" for c in BINARY_REPORT[1:])
+    reported = read_report(spark, config.path("model_metrics"), schema)
+    assert sorted(r["model"] for r in reported.collect()) == sorted(config.models)
+
+    again = run_binary(table_a, resumable(tmp_path / "killed"))
+    assert Counted.fits == [1, 2, 3, 4] and len(again.resumed) == 4
+    assert again.metrics.collect() == whole.metrics.collect()
+
+
+def test_state_is_not_taken_for_other_runs(table_a, tmp_path):
+    models = {"NaiveBayes": NaiveBayes()}
+    def run(df, **settings):
+        return run_binary(df, ExperimentConfig("arrest", **{
+            "out": str(tmp_path), "models": models, "keys": ["id"], "resume": True, **settings})).resumed
+    assert run(table_a) == []
+    assert run(table_a) == ["NaiveBayes"]
+    assert run(table_a, seed=7) == []
+    assert run(table_a, models={"NaiveBayes": NaiveBayes(smoothing=2.0)}) == []
+    assert run(table_a.filter("id % 10 > 0")) == []
+    assert run(table_a) == ["NaiveBayes"]
+    with pytest.raises(ValueError, match="set out"):
+        run(table_a, out=None)
