@@ -15,7 +15,9 @@ from ..plans.layers import (
 from ..schema import EVENT_FIELDS
 from ..session import scratch_dir
 from ..sources import layer_counts
-from ..streaming import decode_envelope, ingest, late_rows, parse_events, refine_stream
+from ..streaming import (
+    decode_envelope, ingest, ingest_checked, late_rows, open_messages, parse_events, read_checked, refine_stream, replay,
+)
 from .binding import MESSAGES, bronze_rows, incidents, messages, with_incidents
 
 
@@ -78,6 +80,38 @@ def malformed_json(spark, sf_dir):
     )
 
 
+def checked_sinks(spark, sf_dir):
+    """Messages cut in half go to quarantine; the even ones are repaired and put back, twice."""
+    root = scratch_dir(spark, "checked")
+    inbox, table, held = f"{root}/inbox", f"{root}/bronze", f"{root}/held"
+    messages(spark, sf_dir).write.parquet(f"{root}/whole")
+    whole = spark.read.parquet(f"{root}/whole")
+    number = F.col("key").cast("string").cast("bigint")
+    sent = whole.withColumn("value", F.when(number % 10 > 7, F.expr("substring(value, 1, 40)")).otherwise(F.col("value")))
+    for part in range(2):
+        sent.filter(F.crc32("key") % 2 == part).write.mode("append").parquet(inbox)
+        ingest_checked(spark, table, held, f"{root}/checkpoint", path=inbox)
+    repaired = whole.filter(number % 10 == 8).select(
+        F.col("key").cast("string").alias("kafka_key"), F.col("value").cast("string").alias("json_value"))
+    repairs = open_messages(spark, held).select("kafka_key", "source", "place").join(repaired, "kafka_key").drop("kafka_key")
+    repairs.write.parquet(f"{root}/repairs")
+    repairs = spark.read.parquet(f"{root}/repairs")  # they do not change while they are put back
+    for _ in range(2):
+        replay(spark, table, held, repairs, 0)
+    taken = read_checked(spark, table).select(
+        "kafka_key", "crime_id", F.lit("bronze").alias("sink"), F.lit(None).cast("string").alias("reason"))
+    left = open_messages(spark, held).select("kafka_key", F.lit(None).cast("string").alias("crime_id"), F.lit("quarantine").alias("sink"), "reason")
+    return taken.unionByName(left)
+
+
+CHECKED_SQL = with_incidents(f"""
+WITH {MESSAGES}
+SELECT id AS kafka_key, CASE WHEN CAST(id AS BIGINT) % 10 <> 9 THEN id END AS crime_id,
+  CASE WHEN CAST(id AS BIGINT) % 10 = 9 THEN 'quarantine' ELSE 'bronze' END AS sink,
+  CASE WHEN CAST(id AS BIGINT) % 10 = 9 THEN 'not valid JSON' END AS reason
+FROM sent""")
+
+
 MALFORMED_SQL = with_incidents(f"""
 WITH {MESSAGES}
 SELECT count(*) AS messages, count(*) FILTER (WHERE CAST(id AS BIGINT) % 10 <> 3) AS with_id,
@@ -302,6 +336,7 @@ SELECT lat_grid, lon_grid_abs, count(*) AS time_windows, round(avg(n), 6) AS avg
     "bronze_parse": (bronze_parse, BRONZE_SQL),
     "bronze_stream": (bronze_stream, BRONZE_SQL),
     "bronze_malformed_json": (malformed_json, MALFORMED_SQL),
+    "checked_sinks": (checked_sinks, CHECKED_SQL),
     "silver_table": (silver_table, silver_sql(f"SELECT {_SHOWN_SQL} FROM silver")),
     "refined_layers": (refined_layers, with_incidents(f"""
 WITH {MESSAGES}
