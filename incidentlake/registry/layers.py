@@ -12,6 +12,7 @@ from ..plans.incremental import (
 from ..plans.layers import (
     SILVER_REQUIRED, gold_marts, refine_to_gold, refine_to_silver, to_gold, to_silver, typed,
 )
+from ..plans.pruned import DAY, on_days, read_days, write_by_day
 from ..schema import EVENT_FIELDS
 from ..session import scratch_dir
 from ..sources import layer_counts
@@ -257,6 +258,17 @@ _DATED = "WHERE crime_timestamp IS NOT NULL"
 # --- increments: the same tables without rebuilding them ------------------------------------
 
 
+def busiest_days_by_district(spark, sf_dir):
+    """Districts of the five busiest days, from a silver layer of which only those days are read."""
+    root = scratch_dir(spark, "pruned")
+    write_by_day(to_silver(bronze_rows(spark, sf_dir)), f"{root}/silver")
+    rows = read_days(spark, f"{root}/silver")
+    rows.filter(F.col(DAY).isNotNull()).groupBy(DAY).agg(F.count("*").alias("rows")).write.parquet(f"{root}/days")
+    busiest = spark.read.parquet(f"{root}/days").orderBy(F.desc("rows"), DAY).limit(5)
+    found = on_days(rows, busiest).groupBy(DAY, "district").agg(F.count("*").alias("count"))
+    return found.withColumn(DAY, F.col(DAY).cast("string"))
+
+
 def _incremented(spark, sf_dir) -> Bucketed:
     """Bronze in three increments, second copies first, the last one delivered twice and the second one compacted."""
     table = Bucketed(scratch_dir(spark, "increments"), buckets=16)
@@ -347,6 +359,11 @@ UNION ALL SELECT 'features', NULL, 'NOT FOUND'""")),
     "silver_audit": (silver_audit, AUDIT_SQL),
     "silver_blank_ids": (silver_blank_ids, BLANK_SQL),
     "gold_table": (gold_table, GOLD_SQL),
+    "busiest_days_by_district": (busiest_days_by_district, silver_sql("""
+SELECT strftime(crime_timestamp, '%Y-%m-%d') AS event_day, district, count(*) AS count FROM silver
+WHERE CAST(crime_timestamp AS DATE) IN (
+  SELECT CAST(crime_timestamp AS DATE) FROM silver WHERE crime_timestamp IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5)
+GROUP BY 1, 2""")),
     "mart_by_type": (_mart("by_type"), _mart_sql("primary_type")),
     "mart_hourly": (_mart("hourly"), _mart_sql("hour(crime_timestamp) AS hour", _DATED)),
     "mart_by_district": (_mart("by_district"), _mart_sql("district")),
