@@ -202,12 +202,17 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
         with ThreadPoolExecutor(config.parallelism) as pool:
             started = {pool.submit(inheritable_thread_target(spark)(attempt), n): n
                        for n in estimators if n not in found}
-            if config.out and resumed:
+            if config.out and resumed:  # an earlier run may have ended between a model's state and its report
                 write_report(_frame(spark, finished(), task.report), config.path("model_metrics"))
+                for name in resumed if config.keep_models else []:
+                    save_model(PipelineModel([*shared.stages, fitted[name]]), config.path(f"models/{name}"))
             for done in as_completed(started):
                 name = started[done]
                 try:
                     model, scores = done.result()
+                except (KeyboardInterrupt, SystemExit):  # the run ends: models that wait are not trained
+                    pool.shutdown(wait=False, cancel_futures=True)
+                    raise
                 except Exception as error:  # noqa: BLE001 - one bad model must not end the run
                     failures[name] = str(error)
                     _log(spark, config, name, {"model_name": name, **params}, error=error)

@@ -157,8 +157,9 @@ def test_killed_run_is_resumed(spark, table_a, tmp_path, monkeypatch):
     reported = read_report(spark, config.path("model_metrics"), schema)
     assert sorted(r["model"] for r in reported.collect()) == sorted(config.models)
 
-    again = run_binary(table_a, resumable(tmp_path / "killed"))
+    again = run_binary(table_a, resumable(tmp_path / "killed", keep_models=True))
     assert Counted.fits == [1, 2, 3, 4] and len(again.resumed) == 4
+    assert {p.name for p in (tmp_path / "killed" / config.name / "models").iterdir()} == set(config.models)
     assert again.metrics.collect() == whole.metrics.collect()
 
 
