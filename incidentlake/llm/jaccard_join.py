@@ -6,13 +6,13 @@ indexed. Index lists hold positions and sizes. Set relations then save most of t
 
 * Round 1: each list names its smallest set as pivot, and a set is compared with the pivot it shares most lists with. That
   is one comparison a set, and it settles most groups of copies, whatever their size.
-* Sets that are known to be connected need no further comparison, so only lists whose sets lie in several groups go on.
+* Sets that are known to be connected need no further comparison, and two sets whose sizes are too far apart cannot be linked. So only those
+  blocks of a list go on (a list is cut in blocks by size) that hold several groups together with the blocks whose sizes allow a link. Places too
+  late in a set for a first common token go before that: a token that stands late in all its sets has no list at all.
 * Round 2: each such list names another pivot, and a set is compared with the one whose bitmap is nearest. Bitmaps hold
   the parity of the tokens in BITS classes; they differ in at most as many places as the sets, so they also rule pairs out.
-* Round 3: lists that still hold several groups are joined with themselves, block by block: a list is cut into blocks by size, and a block
-  meets only the blocks whose sizes allow a link. Two sets are found by the first token they have in common, and behind it
-  each must have as many tokens left as a link takes. So tokens that stand late in their sets skip whole blocks: a token that a
-  million otherwise different sets hold yields no pair, because each has tokens of its own before it. What rounds 1 and 2 computed rules
+* Round 3: what still holds several groups is joined with itself, block by block, as far as sizes allow a link. Two sets are found by the first
+  token they have in common, and behind it each must have as many tokens left as a link takes. What rounds 1 and 2 computed rules
   out more: sets whose distances to a common pivot differ by more than ``1 - t`` cannot be linked (triangle inequality). The pairs that are left are compared.
 
 The answer of a set is its component: which of the linked sets of a component are linked directly is not told, since a group of
@@ -33,13 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bucket_counts import bucket_counts
-from .common import cut, narrowed, rename, ship, without
+from .common import BROADCAST_KEYS, cut, narrowed, rename, ship, without
 from .components import components
 from .hashing import mixed, word_hashes
 
 NEEDED = 3
 SKETCH = 1 << 20  # buckets of the corpus counts
 BITS = 256
+PARTNERS = 64  # texts that meet the text of a set in one group
 
 
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
@@ -95,10 +96,18 @@ class Threshold:
         """Sizes in ranges of the factor 1 / t; never falling with the size."""
         return f"cast(floor(ln({n}) / ln({self.den / self.num}D)) as int)"
 
+    def reach(self, n: str) -> str:
+        """The blocks of the sets of this size or more that may be linked with it."""
+        return f"sequence({self.block(n)}, {self.block(f'(cast({n} as bigint) * {self.den} div {self.num})')})"
+
     def first_common(self, n: str, pos: str, m: str, at: str) -> Column:
         """A token at these places can be the first that linked sets have in common."""
         return F.expr(f"least({n} - {pos}, {m} - {at}) >= {self.overlap(n, m)}")
 
+    def leading(self) -> Column:
+        """A token at this place of a set can be the first that it has in common with a linked set, whatever the other's size."""
+        return F.expr(f"{self.den} * (n - pos) >= {self.num} * n")
+
     def hopeless(self, count: str, low: str, high: str) -> str:
         """A list of two sets whose sizes rule a link out."""
         return f"({count} = 2 and {self.num} * {high} > {self.den} * {low})"
@@ -112,33 +121,50 @@ class Threshold:
 
 
 def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t: Threshold) -> DataFrame:
-    """(a, b, common, n, m, linked) of pairs of sets, from their texts."""
+    """(a, b, common, n, m, linked) of pairs of sets, from their texts.
+
+    The texts of all partners of a set meet the set's own in groups of at most about PARTNERS; they stream past it, one text at a time.
+    """
+    pairs = cut(pairs)
     named = pairs.join(nodes.selectExpr("node as a", "row_key as ra"), "a").join(nodes.selectExpr("node as b", "row_key as rb"), "b")
-    named = cut(named.select("a", "b", "ra", "rb"))
-    wanted = named.selectExpr("ra as row_key").union(named.selectExpr("rb as row_key")).distinct()
-    texts = narrowed(rows.select("row_key", "text"), wanted, "row_key").dropDuplicates(["row_key"])
-    both = named.join(texts.selectExpr("row_key as rb", "text as tb"), "rb").join(texts.selectExpr("row_key as ra", "text as ta"), "ra")
+    groups = cut(pairs.groupBy("a").agg(F.expr(f"count(*) div {PARTNERS} + 1").alias("parts")))
+    named = cut(named.join(groups, "a").selectExpr("a", "b", "ra", "rb", "pmod(xxhash64(b), parts) as part"))
+    asked = cut(named.selectExpr("rb as row_key", "a", "part", "b", "1 as turn").union(named.selectExpr("ra", "a", "part", "a", "0").distinct()))
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_KEYS // 4 else asked
+    met = rows.select("row_key", "text").join(asked, "row_key").drop("row_key") \
+        .repartition("a", "part").sortWithinPartitions("a", "part", "turn", "b")  # a set, then its partners
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, own, last = None, np.zeros(0, np.uint64), None
         for frame in frames:
             out = []
-            for x, y in zip(shingle_sets(list(frame["ta"]), words), shingle_sets(list(frame["tb"]), words), strict=True):
-                out.append((len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
-            made = pd.DataFrame(out, columns=["common", "n", "m"])
-            made.insert(0, "a", frame["a"].to_numpy())
-            made.insert(1, "b", frame["b"].to_numpy())
-            made["linked"] = t.den * made["common"] >= t.num * (made["n"] + made["m"] - made["common"])
-            yield made
-
-    return cut(both.select("a", "b", "ta", "tb").mapInPandas(compare, "a bigint, b bigint, common bigint, n bigint, m bigint, linked boolean"))
+            for a, part, b, turn, tokens in zip(*[frame[c].tolist() for c in ("a", "part", "b", "turn")], shingle_sets(list(frame["text"]), words), strict=True):
+                if not turn:
+                    group, own, last = (a, part), tokens, None
+                elif (a, part) != group:
+                    raise ValueError("partners without their set")
+                elif b != last:  # equal rows come more than once
+                    last = b
+                    out.append((a, b, len(np.intersect1d(own, tokens, assume_unique=True)), len(own), len(tokens)))
+            if out:
+                made = pd.DataFrame(out, columns=["a", "b", "common", "n", "m"])
+                made["linked"] = t.den * made["common"] >= t.num * (made["n"] + made["m"] - made["common"])
+                yield made
+
+    return cut(met.mapInPandas(compare, "a bigint, b bigint, common bigint, n bigint, m bigint, linked boolean"))
 
 
 def _mixed(entries: DataFrame, t: Threshold) -> DataFrame:
-    """The entries of lists whose sets have several labels and may be linked."""
-    several = entries.groupBy("token").agg(
-        F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
-    ).filter(f"x <> y and not {t.hopeless('size', 'low', 'high')}").select("token")
-    return entries.join(several, "token", "left_semi")
+    """The entries that share a list with an entry of another label and a size that allows a link.
+
+    A list is cut in blocks by size. An entry reports its label to the blocks of the larger sets it may be linked with, and a block
+    with several labels keeps its own entries and those of the blocks below that reach it.
+    """
+    several = entries.select("token", "label", F.expr(f"explode({t.reach('n')}) as block")).groupBy("token", "block").agg(
+        F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    # one block below by the sizes, one more for a logarithm that is rounded down
+    kept = several.select("token", F.expr("explode(array(block, block - 1, block - 2)) as block")).distinct()
+    return entries.withColumn("block", F.expr(t.block("n"))).join(kept, ["token", "block"], "left_semi").drop("block")
 
 
 def _hooked(links: DataFrame) -> DataFrame:
@@ -216,8 +242,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held.unpersist()
     links = answers.filter("linked").select("a", "b")
 
+    # from here on only places that can hold a first common token, so a token that stands late in its sets has no list at all;
     # labels tell which sets are known to be connected, not yet whole components
-    labelled = _relabelled(shared.withColumn("label", F.col("node")), _hooked(links))
+    labelled = _relabelled(shared.filter(t.leading()).withColumn("label", F.col("node")), _hooked(links))
     entries = cut(_mixed(labelled, t).join(nodes.select("node", "bits"), "node"))
     order = F.xxhash64("token", "node")
     pivots = entries.groupBy("token").agg(F.min(F.struct(order, "node", "n", "pos", "bits", "label")).alias("p"))
@@ -230,11 +257,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = links.union(more.filter("linked").select("a", "b"))
     groups = more.filter("linked").select("a", "b").join(second, ["a", "b"]).selectExpr("la as a", "lb as b")
 
-    open_ = cut(_mixed(_relabelled(entries, _hooked(groups)), t))
-    left = open_.selectExpr("token", "node as a", "n", "pos", "label as la", "bits as xa", f"explode(sequence({t.block('n')}, {t.block(f'(n * {den} div {num})')})) as block")
-    right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb", "bits as xb", f"{t.block('n')} as block")
+    open_ = cut(_mixed(_relabelled(entries.drop("bits"), _hooked(groups)), t))
+    left = open_.selectExpr("token", "node as a", "n", "pos", "label as la", f"explode({t.reach('n')}) as block")
+    right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb", f"{t.block('n')} as block")
     pairs = left.join(right, ["token", "block"]).filter("la <> lb and (n < m or n = m and a < b)").filter(
-        t.first_common("n", "pos", "m", "at") & t.near("xa", "n", "xb", "m")).select("a", "b").distinct()
+        t.first_common("n", "pos", "m", "at")).select("a", "b", "n", "m").distinct()
+    pairs = cut(pairs.join(nodes.selectExpr("node as a", "bits as xa"), "a").join(nodes.selectExpr("node as b", "bits as xb"), "b").filter(
+        t.near("xa", "n", "xb", "m")).select("a", "b"))
     done = answers.selectExpr("a", "b").union(answers.selectExpr("b", "a"))
     known = answers.selectExpr("b as v", "a as pivot", "1 - common / (n + m - common) as far")
     apart = f"pa = pb and abs(fa - fb) > {1 - num / den + 1e-9}"
