@@ -20,20 +20,24 @@ every increment counts once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.cleaning import dedupe
 from ..operators.density import CELL, CUBE_KEYS, cube_keys
-from ..session import ensure_checkpoint_dir
 from ..sources.writers import list_folder, path_exists, remove_path
 from .layers import SILVER_KEY, SILVER_ORDER, complete, typed
 
 #: Folders of a bucketed table; a table keeps the number it was made with.
 BUCKETS = 64
 SIGN = "_sign"
+#: What the partial counts read of a row.
+COUNTED = ("primary_type", "crime_timestamp", "district", "latitude", "longitude")
+#: Of the files of a table: silver rows hold their JSON text beside its fields, which zstd halves.
+CODEC = "zstd"
 DONE = "_SUCCESS"
 
 
@@ -80,51 +84,67 @@ def _done(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/{DONE}")
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+@contextmanager
+def _unsorted_writes(spark: SparkSession, buckets: int) -> Iterator[None]:
+    """Writers of all buckets of a task stay open, so rows go to their folders without a shuffle or a sort."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(buckets + 1))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-def _changes(spark: SparkSession, table: Bucketed, new: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Signed rows that an increment adds and takes away, and the buckets they lie in.
+def _write_buckets(spark: SparkSession, table: Bucketed, rows: DataFrame, path: str, **options: str) -> None:
+    """Rows to the folders of their buckets. Tasks read whole splits of files, so a bucket gets at most a file a split."""
+    with _unsorted_writes(spark, table.buckets):
+        rows.write.mode("overwrite").options(compression=CODEC, **options).partitionBy("bucket").parquet(path)
 
-    Of the stored rows only key and order of buckets that the increment reaches are compared.
+
+def _changes(spark: SparkSession, table: Bucketed, new: DataFrame) -> DataFrame:
+    """Signed rows that an increment adds and takes away. Of a row that goes, key, bucket and what the counts read are told.
+
+    Of the stored rows only these and the order are compared, of buckets that the increment reaches. One join finds winners and the
+    rows they replace, on the partitions that ``dedupe`` has made.
     """
-    firsts = _checkpointed(dedupe(new, [table.key], table.order).withColumn("bucket", table.bucket()))
+    new = new.withColumns({"bucket": table.bucket(), "_k": F.struct(table.key)})  # a struct: NULL keys are equal
+    firsts = dedupe(new, ["_k"], table.order)
     stored = read_rows(spark, table)
     if stored is None:
-        changes = firsts.withColumn(SIGN, F.lit(1))
-    else:
-        other = stored.select("bucket").distinct().filter(~F.col("bucket").endswith(f"-of-{table.buckets}")).limit(1).collect()
-        if other:
-            raise ValueError(f"the table has buckets like {other[0].bucket!r}, not {table.buckets} of them")
-        reached = [r.bucket for r in firsts.select("bucket").distinct().collect()]  # at most ``buckets`` names
-        old = stored.filter(F.col("bucket").isin(reached))
-        known = old.select(F.col(table.key).alias("_key"), F.struct(*table.order).alias("_first"))
-        same_key = firsts[table.key].eqNullSafe(known["_key"])
-        ahead = F.col("_first").isNull() | (F.struct(*[firsts[c] for c in table.order]) < F.col("_first"))
-        winners = _checkpointed(firsts.join(known, same_key, "left").filter(ahead).drop("_key", "_first"))
-        again = winners.select(F.col(table.key).alias("_key"))
-        replaced = old.join(again, old[table.key].eqNullSafe(again["_key"]), "left_semi")
-        changes = winners.withColumn(SIGN, F.lit(1)).unionByName(replaced.withColumn(SIGN, F.lit(-1)))
-    changed = sorted(r.bucket for r in changes.filter(f"{SIGN} = 1").select("bucket").distinct().collect())
-    return changes, changed
+        return firsts.drop("_k").withColumn(SIGN, F.lit(1))
+    other = stored.select("bucket").distinct().filter(~F.col("bucket").endswith(f"-of-{table.buckets}")).limit(1).collect()
+    if other:
+        raise ValueError(f"the table has buckets like {other[0].bucket!r}, not {table.buckets} of them")
+    reached = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` names
+    old = stored.filter(F.col("bucket").isin(reached))
+    known = old.select(F.struct(table.key).alias("_k"), F.struct(*table.order).alias("_first"), F.struct(*COUNTED).alias("_was"))
+    ahead = F.col("_first").isNull() | (F.struct(*table.order) < F.col("_first"))
+    winners = firsts.join(known, "_k", "left").filter(ahead)
+    signs = F.when(F.col("_first").isNull(), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(-1)))
+    signed = winners.withColumn(SIGN, F.explode(signs))
+    is_new = F.col(SIGN) == 1
+
+    def told(name):
+        if name in (table.key, "bucket"):
+            return F.col(name)
+        return F.when(is_new, F.col(name)).otherwise(F.col("_was")[name] if name in COUNTED else F.lit(None)).alias(name)
+    return signed.select(*[told(c) for c in firsts.columns if c != "_k"], SIGN)
 
 
 def _stage(spark: SparkSession, table: Bucketed, new: DataFrame, number: int) -> None:
-    changes, changed = _changes(spark, table, new)
     target = f"{table.staged}/{number}"
-    changes.write.mode("overwrite").parquet(f"{target}/changes")
+    _changes(spark, table, new).write.mode("overwrite").option("compression", CODEC).parquet(f"{target}/changes")
     changes = spark.read.parquet(f"{target}/changes")
     added = changes.filter(f"{SIGN} = 1").drop(SIGN)
     stored = read_rows(spark, table)
-    if stored is not None and changed:
+    changed = [] if stored is None else sorted(r.bucket for r in added.select("bucket").distinct().collect())
+    if changed:
         gone = changes.filter(f"{SIGN} = -1").select(F.col(table.key).alias("_key"))
         old = stored.filter(F.col("bucket").isin(changed))
         kept = old.join(gone, old[table.key].eqNullSafe(gone["_key"]), "left_anti")
         added = kept.unionByName(added)
-    # a bucket's rows go to few files, however many tasks there are
-    added.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/buckets")
+    _write_buckets(spark, table, added, f"{target}/buckets")
 
 
 def _publish(spark: SparkSession, table: Bucketed, number: int) -> None:
@@ -132,8 +152,7 @@ def _publish(spark: SparkSession, table: Bucketed, number: int) -> None:
     if not any(n.startswith("bucket=") for n in list_folder(spark, source)):  # no bucket has changed
         return
     rows = spark.read.parquet(source).withColumn("bucket", F.col("bucket").cast("string"))
-    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("bucket").parquet(table.rows)
+    _write_buckets(spark, table, rows, table.rows, partitionOverwriteMode="dynamic")
 
 
 def _fold(spark: SparkSession, table: Bucketed, number: int) -> None:

@@ -163,3 +163,27 @@ def test_streamed_silver(spark, bronze_of, tmp_path):
     assert {"5007", "5011", "5015", "5019"} <= late and not {str(100 * b + 2) for b in range(20)} & late
     assert max(totals) < 300 < len(sent)
     assert len(totals) >= 20
+
+
+def test_increment_shuffles_rows_once(spark, bronze_of, tmp_path, monkeypatch):
+    """Whole rows are dealt out once, to find the first of each key; buckets are staged and published without a shuffle."""
+    table = Bucketed(str(tmp_path / "silver"), buckets=4)
+    increment(spark, table, silver_rows(bronze_of(DELIVERIES[0])), 0)
+    plan = incremental._changes(spark, table, silver_rows(bronze_of(DELIVERIES[1])))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 or plan.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" in plan
+    staged = []
+    monkeypatch.setattr(incremental, "_write_buckets", lambda s, t, rows, path, **o: staged.append(rows))
+    incremental._stage(spark, table, silver_rows(bronze_of(DELIVERIES[1])), 1)
+    plan = staged[0]._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" not in plan
+
+
+def test_null_keys_are_one_key(spark, bronze_of, tmp_path):
+    table = Bucketed(str(tmp_path / "silver"), buckets=4)
+    rows = silver_rows(bronze_of(DELIVERIES[0])).withColumn("crime_id", F.expr("if(crime_id < '2', null, crime_id)"))
+    for number in range(2):
+        increment(spark, table, rows.withColumn("kafka_timestamp", F.expr(f"kafka_timestamp - interval {number} hour")), number)
+    got = read_rows(spark, table)
+    wanted = rows.select("crime_id").distinct().count()
+    assert got.count() == wanted and got.filter("crime_id is null").count() == 1
+    assert read_mart(spark, table, "by_type").agg(F.sum("count")).first()[0] == wanted
