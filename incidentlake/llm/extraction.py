@@ -10,9 +10,10 @@ cut and the unique runs of a block are kept.
 Rows of such an array are grouped by key (host and tokens, 64 bits) with sums in each task before the shuffle, so a host
 with a third of all pages sends a row per key and task. A match never crosses two pages.
 
-Marks come first: a page that marks its main text (``article``, ``main``) keeps just that, whole, because passages that many articles of a
-host share would otherwise be lost; and blocks inside menus, headers, footers, sidebars,
-notices, adverts, forms and comments go even where a host has a single page.
+Every page is judged so, marked main text (``article``, ``main``) included: a run of it that is boilerplate is cut. What is boilerplate is learned
+outside the marked main text, because passages that many articles of a host share would otherwise be lost; for runs inside it, page
+titles do not count either, as an article repeats its own. Marks are the check that follows: of a page that marks its main text the unique runs of just that
+are kept, and blocks inside menus, headers, footers, sidebars, notices, adverts, forms and comments go even where a host has a single page.
 
 Defined cases: a null or empty page has an empty text; a null or odd URL belongs to the host ``''``; equal rows count as
 one page and give a row each; an empty table gives no rows; other columns are ignored; texts are whole at any length.
@@ -35,7 +36,11 @@ RUN = 8
 #: Distinct pages of a host that hold a run of boilerplate: at least so many, and at least this share of all.
 PAGES, SHARE = 3, 0.5
 
-_PARSED = "row_key bigint, main string, outside array<struct<text:string, tag:string, aside:boolean>>"
+#: Keys of runs inside the marked main text are told from others by these bits; blocks whose runs are not looked for there.
+_MAIN, _TITLES = 0x5BD1E9955BD1E995, ("head", "title")
+
+_BLOCKS = "array<struct<text:string, tag:string, aside:boolean>>"
+_PARSED = f"row_key bigint, has_main boolean, main {_BLOCKS}, outside {_BLOCKS}"
 
 
 def _tokens(outside: list) -> tuple[list[str], list[int]]:
@@ -53,9 +58,9 @@ def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for page in frame["html"]:
             found, has_main = blocks(page)
-            main = "\n".join(t for _, t, in_main, aside in found if in_main and not aside) if has_main else None
-            out.append((main, [{"text": t, "tag": tag, "aside": aside} for tag, t, in_main, aside in found if not in_main]))
-        made = pd.DataFrame(out, columns=["main", "outside"], dtype=object)
+            parts = [[{"text": t, "tag": tag, "aside": aside} for tag, t, in_main, aside in found if in_main == wanted] for wanted in (True, False)]
+            out.append((has_main, *parts))
+        made = pd.DataFrame(out, columns=["has_main", "main", "outside"], dtype=object)
         yield pd.concat([frame.drop(columns="html").reset_index(drop=True), made], axis=1)
 
 
@@ -73,43 +78,59 @@ def _keys(host: str, outside: list) -> np.ndarray:
     return mixed.view(np.int64)
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([*parts, np.zeros(0, np.int64)])
+
+
 def page_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each key of a page and its host."""
+    """A row for each key of a page and its host: of all runs outside the main text, and as runs of main text of those without titles."""
     for frame in frames:
-        found = [np.unique(_keys(h, outside)) for h, outside in frame[["host", "outside"]].itertuples(index=False)]
-        yield pd.DataFrame({"key": np.concatenate([*found, np.zeros(0, np.int64)]), "host_key": np.repeat(frame["host_key"].to_numpy(), [len(x) for x in found])})
+        found = []
+        for h, outside in frame[["host", "outside"]].itertuples(index=False):
+            keys, (stream, owner) = _keys(h, outside), _tokens(outside)
+            title = np.array([outside[k]["tag"] in _TITLES for k in owner], bool)
+            plain = np.array([not title[p:p + RUN].any() for p in range(len(keys))], bool)
+            found.append(np.unique(np.concatenate([keys, keys[plain] ^ np.int64(_MAIN)])))
+        yield pd.DataFrame({"key": _joined(found), "host_key": np.repeat(frame["host_key"].to_numpy(), [len(x) for x in found])})
 
 
 def suffixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each suffix: its key, page and place."""
+    """A row for each suffix: its key, page and place; places inside the main text are counted down from -1."""
     for frame in frames:
-        found = [_keys(h, outside) for h, outside in frame[["host", "outside"]].itertuples(index=False)]
-        sizes = [len(x) for x in found]
-        yield pd.DataFrame({
-            "key": np.concatenate([*found, np.zeros(0, np.int64)]), "row_key": np.repeat(frame["row_key"].to_numpy(), sizes),
-            "place": np.concatenate([*[np.arange(n, dtype=np.int32) for n in sizes], np.zeros(0, np.int32)])})
+        found, places = [], []
+        for h, main, outside in frame[["host", "main", "outside"]].itertuples(index=False):
+            inside, keys = _keys(h, main) ^ np.int64(_MAIN), _keys(h, outside)
+            found.append(np.concatenate([inside, keys]))
+            places.append(np.concatenate([-1 - np.arange(len(inside)), np.arange(len(keys))]).astype(np.int32))
+        yield pd.DataFrame({"key": _joined(found), "row_key": np.repeat(frame["row_key"].to_numpy(), [len(x) for x in found]),
+                            "place": _joined(places).astype(np.int32)})
+
+
+def _unique(part: list, places: np.ndarray) -> list[str]:
+    """Texts of blocks without the runs that begin at the places; aside blocks and those that have nothing left go."""
+    stream, _ = _tokens(part)
+    covered = np.zeros(len(stream), bool)
+    for p in places:
+        covered[p:p + RUN] = True
+    texts, at = [], 0
+    for b in part:
+        words = b["text"].split()
+        left = [w for w, gone in zip(words, covered[at + 1:at + 1 + len(words)], strict=True) if not gone]  # the first token is the mark
+        at += 1 + len(words)
+        if left and not b["aside"]:
+            texts.append(" ".join(left))
+    return texts
 
 
 def assemble(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The text of each page: its runs that are not boilerplate, of its marked main text if it has one."""
     for frame in frames:
         texts, counts = [], []
-        for main, outside, places in zip(frame["main"], frame["outside"], frame["places"], strict=True):
+        for has_main, main, outside, places in zip(frame["has_main"], frame["main"], frame["outside"], frame["places"], strict=True):
             places = np.sort(np.asarray(places if places is not None else [], np.int64))
-            counts.append(int(np.minimum(np.diff(places), RUN).sum()) + RUN * bool(len(places)))
-            if main is not None:
-                texts.append(main)
-                continue
-            stream, _ = _tokens(outside)
-            covered = np.zeros(len(stream), bool)
-            for p in places:
-                covered[p:p + RUN] = True
-            left: list[list[str]] = [[] for _ in outside]
-            at = 0
-            for k, b in enumerate(outside):
-                words = b["text"].split()
-                left[k] = [w for w, gone in zip(words, covered[at + 1:at + 1 + len(words)], strict=True) if not gone]  # the first token is the mark
-                at += 1 + len(words)
-            texts.append("\n".join(" ".join(words) for b, words in zip(outside, left, strict=True) if words and not b["aside"]))
+            beside = places[places >= 0]
+            counts.append(int(np.minimum(np.diff(beside), RUN).sum()) + RUN * bool(len(beside)))
+            texts.append("\n".join(_unique(main, -1 - places[places < 0]) if has_main else _unique(outside, beside)))
         yield pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": texts, "n_repeated": counts})
 
 
@@ -135,7 +156,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     covered = narrowed(parsed(kept).mapInPandas(suffixes, "key bigint, row_key bigint, place int"), repeated, "key") \
         .groupBy("row_key").agg(F.collect_set("place").alias("places"))
     # a page with marked main text needs no more than the number of its covered tokens
-    slim = parsed(kept).select("page_id", "url", "row_key", "main", F.when(F.col("main").isNull(), F.col("outside")).alias("outside"))
-    joined = slim.join(covered, "row_key", "left").select("page_id", "url", "main", "outside", "places")
+    slim = parsed(kept).select("page_id", "url", "row_key", "has_main", "main", F.when(~F.col("has_main"), F.col("outside")).alias("outside"))
+    joined = slim.join(covered, "row_key", "left").select("page_id", "url", "has_main", "main", "outside", "places")
     made = joined.mapInPandas(assemble, f"page_id {id_type}, url string, text string, n_repeated bigint")
     return made.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")

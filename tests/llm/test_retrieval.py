@@ -350,3 +350,19 @@ def test_pipeline(spark, sf_dir):
 def test_quality_against_sql(spark, sf_dir, duck):
     found, _ = differences(registry.op2_quality_rules(spark, sf_dir), duck, registry.QUERIES["op2_quality_rules"][1])
     assert not found
+
+
+def test_extraction_of_marked_pages(spark):
+    """Boilerplate inside marked main text is cut too; passages that articles share, titles and unique runs stay."""
+    def words(name, n):
+        return " ".join(f"{name}{j}" for j in range(n))
+    rows = []
+    for k in range(4):
+        inside = f" {words('offer', 10)}" if k == 3 else ""
+        outside = "" if k == 3 else f"<div>{words('offer', 10)}</div>"
+        rows.append((k, f"http://h/{k}", f"<head><title>{words('title', 9)}</title></head><body>{outside}<article><h1>{words('title', 9)}</h1>"
+                     f"<p>{words(f'own{k}', 9)}{inside}</p><p>{words('quote', 12)}</p></article></body>"))
+    found = {r.page_id: r for r in extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for k in range(4):
+        assert found[k].text == "\n".join([words("title", 9), words(f"own{k}", 9), words("quote", 12)])
+    assert all(found[k].n_repeated > 0 for k in range(4))
