@@ -17,6 +17,8 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..session import scratch_dir
+from ..sources.writers import remove_path
 from .features import CATEGORICAL_A, NUMERIC_A
 
 SEED = 42
@@ -219,5 +221,24 @@ def feature_importance(spark: SparkSession, model, names: Sequence[str]) -> Data
         F.desc("importance"), "feature")
 
 
+def without_summary(model):
+    """A fitted model without its training summary, which is sent to every task with it.
+
+    The summary of a binary model holds the session, and a session that has kept observed metrics or artifacts
+    cannot be serialized. A copy drops the summary of most models; the others are written and read again.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    bare = model.copy()
+    if not bare.hasSummary:
+        return bare
+    spark = SparkSession.active()
+    path = scratch_dir(spark, "model")
+    model.write().save(path)
+    bare = type(model).load(path)
+    remove_path(spark, path)
+    return bare
+
+
 def fit_stages(df: DataFrame, stages: list) -> PipelineModel:
     return Pipeline(stages=stages).fit(df)

@@ -24,7 +24,7 @@ from ..operators.density import CELL, DENSITY_FEATURES, WINDOW, density_cube, he
 from ..operators.features import CATEGORICAL_C, NUMERIC_C
 from ..operators.learning import (
     auc_roc, feature_importance, feature_stages, features_for, fit_stages, label_for,
-    model_zoo, with_class_weights,
+    model_zoo, with_class_weights, without_summary,
 )
 from ..operators.metrics import (
     classification_metrics, confusion, positive_score, regression_metrics, roc_points,
@@ -178,7 +178,7 @@ def _run(config: ExperimentConfig, task: _Task) -> ExperimentResult:
     resumed = list(found)
 
     def attempt(name):
-        model = estimators[name].fit(train)
+        model = without_summary(estimators[name].fit(train))
         preds = model.transform(test)
         preds = preds.select(*[c for c in _SCORED if c in preds.columns]).persist(
             StorageLevel.MEMORY_AND_DISK)

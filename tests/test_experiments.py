@@ -176,3 +176,25 @@ def test_state_is_not_taken_for_other_runs(table_a, tmp_path):
     assert run(table_a) == ["NaiveBayes"]
     with pytest.raises(ValueError, match="set out"):
         run(table_a, out=None)
+
+
+def test_models_of_a_session_with_observed_metrics(spark, frame):
+    """Models are sent to tasks without their summary, which holds the session; a used session cannot be serialized."""
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import Observation
+
+    from incidentlake.operators.learning import without_summary
+
+    seen = Observation()
+    rows = frame([(float(k % 2), float(k % 7), float(k % 3 + k % 2)) for k in range(60)], "label double, x double, y double")
+    assert rows.observe(seen, F.count(F.lit(1)).alias("n")).count() == 60 and seen.get["n"] == 60
+    rows = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(rows)
+    for estimator in (LogisticRegression(), RandomForestClassifier(numTrees=3, seed=1)):
+        fitted = estimator.fit(rows)
+        bare = without_summary(fitted)
+        assert fitted.hasSummary and not bare.hasSummary and bare.uid == fitted.uid
+        assert bare.transform(rows).groupBy("label", "prediction").count().count() >= 2
+        stream = spark._jvm.java.io.ByteArrayOutputStream()
+        spark._jvm.java.io.ObjectOutputStream(stream).writeObject(bare._java_obj)
+        assert b"SparkSession" not in bytes(stream.toByteArray())
