@@ -304,7 +304,7 @@ def silver_stream(spark, sf_dir):
     sent = messages(spark, sf_dir)
     part = F.crc32(F.concat("key", F.col("timestamp").cast("string"))) % 4
     for delivery in (sent.filter(part < 2), sent.filter(part > 0)):
-        delivery.write.mode("append").parquet(f"{root}/inbox")
+        delivery.write.mode("append").option("compression", "zstd").parquet(f"{root}/inbox")
         ingest(spark, f"{root}/bronze", f"{root}/to_bronze", path=f"{root}/inbox")
         refine_stream(spark, f"{root}/bronze", table, f"{root}/to_silver", delay="12 hours")
     return read_rows(spark, table).select(*SILVER_SHOWN, _text_ts("crime_timestamp"))
@@ -317,7 +317,7 @@ def streamed_late_rows(spark, sf_dir):
     rows = bronze_rows(spark, sf_dir).withColumn("json_value", F.col("crime_id"))
     first = F.col("crime_id").cast("bigint") % 2 == 0
     for delivery in (rows.filter(first), rows.filter(~first)):
-        delivery.write.mode("append").parquet(f"{root}/bronze")
+        delivery.write.mode("append").option("compression", "zstd").parquet(f"{root}/bronze")
         refine_stream(spark, f"{root}/bronze", table, f"{root}/checkpoint", delay="12 hours")
     return late_rows(spark, table).groupBy("crime_id").agg(F.count("*").alias("copies"))
 

@@ -53,6 +53,7 @@ def write_stream(
     query = (
         df.writeStream.format(fmt).outputMode("append")
         .option("checkpointLocation", checkpoint)
+        .option("compression", "zstd")  # rows hold their JSON text beside its fields
         .trigger(availableNow=True)
         .start(path)
     )

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..plans.incremental import Bucketed, increment, silver_rows
+from ..plans.incremental import CODEC, Bucketed, increment, silver_rows
 from ..plans.layers import SILVER_ORDER
 from ..sources.writers import list_folder, path_exists
 
@@ -50,17 +50,17 @@ def refine_stream(
 
     def take(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        batch = batch.persist()
+        before = _clock(session, clock, number)
+        at = None if before is None else before.first().at
+        is_late = F.col(EVENT_TIME).isNull()
+        if at is not None:  # a millisecond more than the watermark: rows that are in both branches do no harm
+            edge = F.lit(at) - F.expr(f"interval {delay}") + F.expr("interval 1 millisecond")
+            is_late = is_late | (F.col(EVENT_TIME) <= edge)
+        # of the branch without state only late rows are kept; a replay is no later than the message it repeats
+        batch = batch.filter(~F.col("_raw") | is_late).persist()
         try:
-            before = _clock(session, clock, number)
             late = batch.filter("_raw").drop("_raw")
-            at = None if before is None else before.first().at
-            if at is None:
-                late = late.filter(F.col(EVENT_TIME).isNull())
-            else:  # a millisecond more than the watermark: rows that are in both branches do no harm
-                edge = F.lit(at) - F.expr(f"interval {delay}") + F.expr("interval 1 millisecond")
-                late = late.filter(F.col(EVENT_TIME).isNull() | (F.col(EVENT_TIME) <= edge))
-            late.write.mode("overwrite").parquet(f"{table.root}/late/{number}")
+            late.write.mode("overwrite").option("compression", CODEC).parquet(f"{table.root}/late/{number}")
             increment(session, table, batch.filter("not _raw").drop("_raw").unionByName(late), number)
             latest = batch.agg(F.max(EVENT_TIME).alias("at"))
             if at is not None:
