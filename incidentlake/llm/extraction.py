@@ -83,15 +83,18 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def page_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each key of a page and its host: of all runs outside the main text, and as runs of main text of those without titles."""
+    """A row for each key of a page and its host, and whether a run with it touches no title."""
     for frame in frames:
-        found = []
+        found, plain = [], []
         for h, outside in frame[["host", "outside"]].itertuples(index=False):
-            keys, (stream, owner) = _keys(h, outside), _tokens(outside)
-            title = np.array([outside[k]["tag"] in _TITLES for k in owner], bool)
-            plain = np.array([not title[p:p + RUN].any() for p in range(len(keys))], bool)
-            found.append(np.unique(np.concatenate([keys, keys[plain] ^ np.int64(_MAIN)])))
-        yield pd.DataFrame({"key": _joined(found), "host_key": np.repeat(frame["host_key"].to_numpy(), [len(x) for x in found])})
+            keys, place = np.unique(_keys(h, outside), return_inverse=True)
+            titles = np.cumsum([0, *[outside[k]["tag"] in _TITLES for k in _tokens(outside)[1]]])
+            of_key = np.zeros(len(keys), bool)
+            of_key[place[(titles[RUN:] == titles[:-RUN])[:len(place)]]] = True
+            found.append(keys)
+            plain.append(of_key)
+        yield pd.DataFrame({"key": _joined(found), "host_key": np.repeat(frame["host_key"].to_numpy(), [len(x) for x in found]),
+                            "plain": np.concatenate([*plain, np.zeros(0, bool)])})
 
 
 def suffixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,8 +154,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     twice = cut(kept.groupBy("row_key").agg(F.count("*").alias("n")).filter("n > 1"))  # only rows that are repeated are gathered by their key
     chosen = narrowed(kept, distinct, "row_key")
     counted = parsed(without(chosen, twice, "row_key").unionByName(narrowed(chosen, twice, "row_key").dropDuplicates(["row_key"])))
-    many = counted.mapInPandas(page_keys, "key bigint, host_key bigint").groupBy("key", "host_key").agg(F.count("*").alias("n")).filter(f"n >= {PAGES}")
-    repeated = many.join(sizes, "host_key").filter(f"n >= {SHARE} * pages").select("key")
+    many = counted.mapInPandas(page_keys, "key bigint, host_key bigint, plain boolean").groupBy("key", "host_key") \
+        .agg(F.count("*").alias("n"), F.count_if("plain").alias("plain")).filter(f"n >= {PAGES}").join(sizes, "host_key")
+    inside = F.when((F.col("plain") >= PAGES) & (F.col("plain") >= SHARE * F.col("pages")), F.col("key").bitwiseXOR(F.lit(_MAIN)))
+    repeated = many.filter(f"n >= {SHARE} * pages").select(F.explode(F.array("key", inside)).alias("key")).filter("key is not null")
     covered = narrowed(parsed(kept).mapInPandas(suffixes, "key bigint, row_key bigint, place int"), repeated, "key") \
         .groupBy("row_key").agg(F.collect_set("place").alias("places"))
     # a page with marked main text needs no more than the number of its covered tokens
