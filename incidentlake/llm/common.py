@@ -58,14 +58,15 @@ BROADCAST_KEYS = 1_000_000
 
 def narrowed(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose 64-bit ``key`` is in ``keys``. The keys are counted first and broadcast only if they are few."""
-    return df.join(_checked(keys, key), key, "left_semi")
+    return df.join(checked(keys, key), key, "left_semi")
 
 
 def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose 64-bit ``key`` is not in ``keys``; as ``narrowed``."""
-    return df.join(_checked(keys, key), key, "left_anti")
+    return df.join(checked(keys, key), key, "left_anti")
 
 
-def _checked(keys: DataFrame, key: str) -> DataFrame:
+def checked(keys: DataFrame, key: str) -> DataFrame:
+    """The distinct keys, to be broadcast if they are few."""
     keys = cut(keys.select(key).distinct())
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys

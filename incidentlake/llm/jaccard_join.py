@@ -10,10 +10,12 @@ indexed. Index lists hold positions and sizes. Set relations then save most of t
   blocks of a list go on (a list is cut in blocks by size) that hold several groups together with the blocks whose sizes allow a link. Places too
   late in a set for a first common token go before that: a token that stands late in all its sets has no list at all.
 * Round 2: each such list names another pivot, and a set is compared with the one whose bitmap is nearest. Bitmaps hold
-  the parity of the tokens in BITS classes; they differ in at most as many places as the sets, so they also rule pairs out.
-* Round 3: what still holds several groups is joined with itself, block by block, as far as sizes allow a link. Two sets are found by the first
-  token they have in common, and behind it each must have as many tokens left as a link takes. What rounds 1 and 2 computed rules
-  out more: sets whose distances to a common pivot differ by more than ``1 - t`` cannot be linked (triangle inequality). The pairs that are left are compared.
+  the parity of the tokens in BITS classes; they differ in at most as many places as the sets, so they also rule pairs out. The pivot is a
+  set in which the token stands first: near copies have rare tokens of their own before it, the text they were made from has the fewest.
+* Round 3: what still holds several groups is joined with itself, block by block, as far as sizes and bitmaps allow a link. Two sets are found by the
+  first token they have in common, and behind it each must have as many tokens left as a link takes. What rounds 1 and 2 computed rules
+  out more: sets whose distances to a common pivot differ by more than ``1 - t`` cannot be linked (triangle inequality). The pairs that are left are
+  compared. The join makes only pairs that bitmaps allow; bitmaps of sets that share a list and are in no way linked still meet pair by pair.
 
 The answer of a set is its component: which of the linked sets of a component are linked directly is not told, since a group of
 n different near copies has up to n * n links and only n memberships.
@@ -33,13 +35,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bucket_counts import bucket_counts
-from .common import BROADCAST_KEYS, cut, narrowed, rename, ship, without
+from .common import BROADCAST_KEYS, checked, cut, narrowed, rename, ship, without
 from .components import components
 from .hashing import mixed, word_hashes
 
 NEEDED = 3
 SKETCH = 1 << 20  # buckets of the corpus counts
 BITS = 256
+LONG = 64  # entries of a list that meet before bitmaps are looked at
 PARTNERS = 64  # texts that meet the text of a set in one group
 
 
@@ -247,7 +250,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labelled = _relabelled(shared.filter(t.leading()).withColumn("label", F.col("node")), _hooked(links))
     entries = cut(_mixed(labelled, t).join(nodes.select("node", "bits"), "node"))
     order = F.xxhash64("token", "node")
-    pivots = entries.groupBy("token").agg(F.min(F.struct(order, "node", "n", "pos", "bits", "label")).alias("p"))
+    pivots = entries.groupBy("token").agg(F.min(F.struct("pos", order, "node", "n", "bits", "label")).alias("p"))
     second = entries.join(pivots, "token").filter("label <> p.label").filter(t.possible("n", "pos", "p.n", "p.pos")) \
         .filter(t.near("bits", "n", "p.bits", "p.n")).groupBy("node").agg(
             F.min(F.struct(F.expr(_distance("bits", "p.bits")).alias("far"), F.col("p.node").alias("pivot"), "label", F.col("p.label").alias("other"))).alias("best"))
@@ -258,12 +261,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = more.filter("linked").select("a", "b").join(second, ["a", "b"]).selectExpr("la as a", "lb as b")
 
     open_ = cut(_mixed(_relabelled(entries.drop("bits"), _hooked(groups)), t))
-    left = open_.selectExpr("token", "node as a", "n", "pos", "label as la", f"explode({t.reach('n')}) as block")
-    right = open_.selectExpr("token", "node as b", "n as m", "pos as at", "label as lb", f"{t.block('n')} as block")
-    pairs = left.join(right, ["token", "block"]).filter("la <> lb and (n < m or n = m and a < b)").filter(
-        t.first_common("n", "pos", "m", "at")).select("a", "b", "n", "m").distinct()
-    pairs = cut(pairs.join(nodes.selectExpr("node as a", "bits as xa"), "a").join(nodes.selectExpr("node as b", "bits as xb"), "b").filter(
-        t.near("xa", "n", "xb", "m")).select("a", "b"))
+    met = ["token", "node as a", "n", "pos", "label as la", f"explode({t.reach('n')}) as block"]
+    meeting = ["token", "node as b", "n as m", "pos as at", "label as lb", f"{t.block('n')} as block"]
+    bits = nodes.select("node", "bits")
+
+    def joined(lists: DataFrame, *more: str) -> DataFrame:
+        left, right = lists.selectExpr(*met, *[f"{c} as xa" for c in more]), lists.selectExpr(*meeting, *[f"{c} as xb" for c in more])
+        return left.join(right, ["token", "block"]).filter("la <> lb and (n < m or n = m and a < b)").filter(t.first_common("n", "pos", "m", "at"))
+
+    # entries of long lists carry their bitmaps into the join, so that its rows do not grow with the square of a list
+    long = checked(open_.groupBy("token").agg(F.count("*").alias("size")).filter(f"size > {LONG}"), "token")
+    pairs = joined(open_.join(long, "token", "left_anti")).select("a", "b", "n", "m").distinct() \
+        .join(bits.toDF("a", "xa"), "a").join(bits.toDF("b", "xb"), "b").filter(t.near("xa", "n", "xb", "m")).select("a", "b")
+    pairs = cut(pairs.union(joined(open_.join(long, "token", "left_semi").join(bits, "node"), "bits").filter(t.near("xa", "n", "xb", "m")).select("a", "b")).distinct())
     done = answers.selectExpr("a", "b").union(answers.selectExpr("b", "a"))
     known = answers.selectExpr("b as v", "a as pivot", "1 - common / (n + m - common) as far")
     apart = f"pa = pb and abs(fa - fb) > {1 - num / den + 1e-9}"

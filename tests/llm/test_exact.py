@@ -262,5 +262,27 @@ def test_jaccard_hot_tokens(texts):
         assert found == jaccard_brute(rows, k, num, den)
 
 
+def test_jaccard_near_copies_of_one_text(texts, monkeypatch):
+    """Copies with a few words of their own are compared with the text they were made from, not with each other."""
+    import random
+    rng = random.Random(7)
+    base, rows = [f"base{k}" for k in range(150)], []
+    for i in range(240):
+        words = base.copy()
+        for j in range(i % 4):
+            words[rng.randrange(150)] = f"own{i}x{j}"
+        rows.append((i, " ".join(words)))
+    compared, verified = [], jaccard_join._verified
+
+    def counted(all_rows, nodes, pairs, words, t):
+        compared.append(pairs.count())
+        return verified(all_rows, nodes, pairs, words, t)
+
+    monkeypatch.setattr(jaccard_join, "_verified", counted)
+    found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(texts([(i, t, "en") for i, t in rows])).collect())
+    assert found == jaccard_brute(rows, 3, 90, 100)
+    assert len(compared) == 3 and compared[2] <= len(rows) // 2
+
+
 def test_jaccard_empty(texts):
     assert jaccard_join.jaccard_components(texts([])).count() == 0
