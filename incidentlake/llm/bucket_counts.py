@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import taken
+
 _SLICES = 64
 _SCHEMA = "slice long, counts binary"
 Features = Callable[[list], Iterator[np.ndarray]]
@@ -29,7 +31,7 @@ def _rows(total: np.ndarray) -> pd.DataFrame:
 def _summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sums of equal slices, of any number of tasks, in the memory of one result."""
     total: dict[int, np.ndarray] = {}
-    for frame in frames:
+    for frame in taken(frames):
         for k, data in frame.itertuples(index=False):
             total[k] = total.get(k, 0) + _unpacked(data)
     if total:
@@ -43,7 +45,7 @@ def bucket_counts(rows: DataFrame, size: int, features: Features, count_rows: bo
     """
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(size, np.int64), 0
-        for frame in frames:
+        for frame in taken(frames):
             waiting, held = [], 0
             n += len(frame)
             for found in features(list(frame["text"])):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,6 +15,9 @@ from ..session import ensure_checkpoint_dir
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED: set[str] = set()
+#: How caches go that an operator keeps in a Python worker from one task to the next, by operator.
+CACHES: dict[str, Callable[[], None]] = {}
+Batch = TypeVar("Batch")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +44,25 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def taken(batches: Iterator[Batch], owner: str = "") -> Iterator[Batch]:
+    """The batches of a task, in a worker that other operators may have used before.
+
+    Spark reuses Python workers from stage to stage, and what they hold counts beside the executor's heap: caches of other
+    operators than ``owner`` go before the first batch, and freed memory goes back to the system there and behind the last.
+    """
+    for name, drop in CACHES.items():
+        if name != owner:
+            drop()
+    _give_back()
+    yield from batches
+    _give_back()
+
+
+def _give_back() -> None:
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)

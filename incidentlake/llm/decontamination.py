@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .bucket_counts import bucket_counts
-from .common import rename, ship, without
+from .common import rename, ship, taken, without
 from .hashing import PLAIN, word_hashes
 
 BUCKETS = 1 << 15
@@ -137,14 +137,14 @@ def latent_space(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(shape)
-        for frame in frames:
+        for frame in taken(frames):
             gram_product(list(frame["text"]), held.value, total)
         if total.any():
             yield pd.DataFrame({"slice": np.arange(SLICES), "part": [x.astype(np.float32).tobytes() for x in np.split(total, SLICES)]})
 
     def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[int, np.ndarray] = {}
-        for frame in frames:
+        for frame in taken(frames):
             for k, part in frame.itertuples(index=False):
                 totals[k] = totals.get(k, 0) + np.frombuffer(part, np.float32).astype(np.float64)
         if totals:
@@ -325,7 +325,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def _search(held):  # noqa: ANN001, ANN202
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         searcher = Searcher(*held.value)
-        for frame in frames:
+        for frame in taken(frames):
             ids, keys = frame["id"].to_numpy(), frame["row_key"].to_numpy()
             for start in range(0, len(frame), 1000):
                 out = searcher.search(list(frame["text"].iloc[start:start + 1000]))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bucket_counts import bucket_counts
-from .common import BROADCAST_KEYS, checked, cut, narrowed, rename, ship, without
+from .common import BROADCAST_KEYS, checked, cut, narrowed, rename, ship, taken, without
 from .components import components
 from .hashing import mixed, word_hashes
 
@@ -139,7 +139,7 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, own, last = None, np.zeros(0, np.uint64), None
-        for frame in frames:
+        for frame in taken(frames):
             out = []
             for a, part, b, turn, tokens in zip(*[frame[c].tolist() for c in ("a", "part", "b", "turn")], shingle_sets(list(frame["text"]), words), strict=True):
                 if not turn:
@@ -195,12 +195,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = rows.schema["id"].dataType.simpleString()
 
     def sizes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sets = list(shingle_sets(list(frame["text"]), words))
+        for frame in taken(frames):
             out = frame[["id", "row_key"]].copy()
-            out["n"] = [len(s) for s in sets]
-            out["node"] = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-            out["bits"] = [_bitmap(s) for s in sets]
+            told = [(len(s), xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63), _bitmap(s)) for s in shingle_sets(list(frame["text"]), words)]
+            out["n"], out["node"], out["bits"] = [x[0] for x in told], [x[1] for x in told], [x[2] for x in told]
             yield out
 
     members = cut(rows.select("id", "row_key", "text").mapInPandas(sizes, f"id {id_type}, row_key bigint, n bigint, node bigint, bits array<bigint>"))
@@ -210,7 +208,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def index(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # copies of a set give one entry a task, or one more each time this is emptied
-        for frame in frames:
+        for frame in taken(frames):
             token, node, n, pos = [], [], [], []
             for tokens in shingle_sets(list(frame["text"]), words):
                 size = len(tokens)

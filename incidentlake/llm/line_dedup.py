@@ -28,7 +28,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, narrowed, ship
+from .common import cut, narrowed, ship, taken
 
 MIN_WORDS = 50
 
@@ -96,7 +96,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = rows.schema["id"].dataType.simpleString()
 
     def fingerprints(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in taken(frames):
             found = [windows(t, min_words) for t in frame["text"]]
             n = [len(f) for f in found]
             flat = np.array([w for f in found for w in f], np.uint64).reshape(-1, 6).view(np.int64)
@@ -119,7 +119,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     starts = again.groupBy("row_key").agg(F.collect_set("first").alias("starts"))
 
     def ends(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in taken(frames):
             found = [endings(t, set(s.tolist()), min_words) for t, s in zip(frame["text"], frame["starts"], strict=True)]
             n = [len(f) for f in found]
             flat = np.array([w for f in found for w in f], np.uint64).reshape(-1, 4).view(np.int64)
@@ -132,7 +132,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = later.groupBy("row_key").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
 
     def remove(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in taken(frames):
             texts, n_lines, n_removed = [], [], []
             for text, spans in zip(frame["text"], frame["gone"], strict=True):
                 lines = lines_of(text)

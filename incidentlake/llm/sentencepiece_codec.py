@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ship
+from .common import CACHES, ship, taken
 
 SPACE = "▁"
 #: Parts kept by a worker (about 250 bytes each, and none longer than KEPT_CHARS); beyond it the cache starts anew. Results do not depend on it.
@@ -31,6 +31,7 @@ CACHE_PARTS, KEPT_CHARS = 1_500_000, 100
 _PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MARKS = ".,;:!?#*$%&|)\"'"
 _CODECS: dict[str, Codec] = {}
+CACHES["sentencepiece"] = _CODECS.clear
 
 TYPES = {
     "ids": "array<int>", "decoded": "string", "n_tokens": "bigint",
@@ -249,7 +250,7 @@ def encode(df: DataFrame, model: bytes, text: str = "text", keys: tuple[str, ...
         c = codec(held.value)
         begin = [c.library.bos_id()] if bos else []
         end = [c.library.eos_id()] if eos else []
-        for batch in batches:
+        for batch in taken(batches, "sentencepiece"):
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 columns = encode_batch(c, part.column(n_keys).to_pylist(), outputs, begin, end)
@@ -269,7 +270,7 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", keys: tuple[str, ...]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(held.value)
-        for batch in batches:
+        for batch in taken(batches, "sentencepiece"):
             texts = [c.decode(x or []) for x in batch.column(n_keys).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n_keys], pa.array(texts, pa.string())], [*keys, "decoded"])
 

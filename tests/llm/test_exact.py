@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from incidentlake.llm import jaccard_join, line_dedup, quality, registry, sentencepiece_codec, suffix_dedup
+from incidentlake.llm import bucket_counts, common, jaccard_join, line_dedup, quality, registry, sentencepiece_codec, suffix_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ODD = [
@@ -59,6 +59,26 @@ def test_sentencepiece_checks(monkeypatch):
         sentencepiece_codec.encode_batch(c, ["this and that"], ["n_tokens"], [], [])
 
 
+def test_worker_caches(texts):
+    """A worker keeps an operator's cache for its next task, and not beside the memory of another operator."""
+    def codecs(batches):
+        for batch in batches:
+            yield batch.assign(n=len(sentencepiece_codec._CODECS))[["n"]]
+
+    docs = texts([(1, "a b", "en")]).coalesce(1)
+    sentencepiece_codec.codec(model())
+    assert list(common.taken(iter("ab"), "sentencepiece")) == ["a", "b"] and sentencepiece_codec._CODECS
+    assert list(common.taken(iter("ab"))) == ["a", "b"] and not sentencepiece_codec._CODECS
+
+    def after_another(batches):
+        sentencepiece_codec.codec(held)
+        assert not list(bucket_counts._summed(iter([])))
+        yield from codecs(batches)
+
+    held = model()
+    assert [r.n for r in docs.mapInPandas(after_another, "n long").collect()] == [0]
+
+
 def base_counts(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
