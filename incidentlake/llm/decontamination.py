@@ -12,7 +12,8 @@ the longest common subsequence of words with the item must reach LCS of its leng
 A bound that LCS implies comes first: a subsequence holds no more words than the item has words that occur anywhere in the text.
 Texts are taken in chunks that hold every region of the exact check whole, and the words of an item that occur in a chunk are
 counted for all chunks and items by products of blocks. Only windows of a chunk with LCS of the item's words or more are
-compared with the item, so the bound loses no place that the exact check would accept.
+compared with the item, so the bound loses no place that the exact check would accept. Before the product stands a bound on rare words: without
+its most frequent words, as many as fall short of LCS by one, an item needs a certain number of the others in a chunk, which are counted one by one.
 
 The benchmark is a stated query set: it is searched in blocks of ITEMS items, each of which is sent to the tasks; every block is one more scan of
 the documents. All blocks share one latent space, so what is found for an item does not depend on its block.
@@ -37,10 +38,12 @@ from .hashing import PLAIN, word_hashes
 BUCKETS = 1 << 15
 RANK, EXTRA = 48, 12
 FIT_WORDS = 1 << 13  # words whose windows are summed at a time
+LARGE = 32  # rows of a group that are summed by itself
 WINDOW, STRIDE = 12, 4
 COSINE, LCS, ANSWER = 0.7, 0.7, 0.6
 CHUNK = 64  # words between the starts of chunks
 ROUND = 8  # regions of the exact check start and end at multiples
+LIGHT = 0.75  # of LCS: share of an item whose words are too frequent to tell chunks apart
 ITEMS = 2000
 SLICES = 64  # of the summed sketch
 
@@ -71,14 +74,17 @@ def _parts(buckets: np.ndarray) -> Iterator[np.ndarray]:
     yield buckets[starts[-1]:]
 
 
-def _group_sums(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Sums of groups of rows that stand together; ``at`` is the place of each row in its group. Neighbours are added in rounds."""
-    while at.any():
-        odd = np.flatnonzero(at & 1)
-        rows[odd - 1] += rows[odd]
-        even = np.flatnonzero(at & 1 == 0)
-        rows, at = rows.take(even, axis=0), at[even] >> 1
-    return rows
+def _group_sums(rows: np.ndarray, source: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of groups of rows: group k takes the next ``counts[k]`` of the row numbers in ``source``; larger groups come first."""
+    start = np.cumsum(counts) - counts
+    out = rows.take(source[start], axis=0)
+    large = int(np.searchsorted(-counts, -LARGE))
+    for k in range(large):
+        out[k] = rows.take(source[start[k]:start[k] + counts[k]], axis=0).sum(axis=0)
+    for k in range(1, int(counts[large:].max(initial=0))):  # the next row of every group that has one
+        more = int(np.searchsorted(-counts, -k))
+        out[large:more] += rows.take(source[start[large:more] + k], axis=0)
+    return out
 
 
 def gram_product(texts: list[str | None], padded: np.ndarray, total: np.ndarray) -> None:
@@ -94,8 +100,9 @@ def gram_product(texts: list[str | None], padded: np.ndarray, total: np.ndarray)
         t = np.full(first[-1] * STRIDE, BUCKETS)  # the rest of a text's last block is a word without weight
         at = np.arange(sizes.sum()) + np.repeat(first[:-1] * STRIDE - np.cumsum(sizes) + sizes, sizes)
         t[at] = np.concatenate(waiting)
-        rows = padded.take(t, axis=0)
-        sums = rows.reshape(-1, STRIDE, rows.shape[1]).sum(axis=1)
+        sums = padded.take(t[::STRIDE], axis=0)
+        for k in range(1, STRIDE):
+            sums += padded.take(t[k::STRIDE], axis=0)
         whole = np.maximum(-(-(sizes - WINDOW) // STRIDE), 0)
         begin = np.arange(whole.sum()) + np.repeat(first[:-1] - np.cumsum(whole) + whole, whole)
         passages = sums.take(begin, axis=0)
@@ -107,13 +114,17 @@ def gram_product(texts: list[str | None], padded: np.ndarray, total: np.ndarray)
         last = np.maximum(sizes - WINDOW, 0) + first[:-1] * STRIDE
         words = last[:, None] + np.minimum(np.arange(WINDOW), (np.minimum(sizes, WINDOW) - 1)[:, None])
         inside = np.arange(WINDOW) < sizes[:, None]
-        ends = (rows[words] * inside[:, :, None]).sum(axis=1)
+        ends = padded.take(np.where(inside, t[words], BUCKETS), axis=0).sum(axis=1)
         # what each word gets: the windows around its block, and the last window of its text if it stands there
         bucket = np.concatenate([t[at], t[words[inside]]])
         source = np.concatenate([at // STRIDE, len(covering) + np.nonzero(inside)[0]])
-        order = np.argsort(bucket, kind="stable")
-        names, start, counts = np.unique(bucket[order], return_index=True, return_counts=True)
-        total[names] += _group_sums(np.vstack([covering, ends]).take(source[order], axis=0), np.arange(len(bucket)) - np.repeat(start, counts))
+        often = np.bincount(bucket, minlength=BUCKETS)
+        names = np.flatnonzero(often)
+        names = names[np.argsort(-often[names], kind="stable")]
+        rank = np.zeros(BUCKETS, np.uint16)
+        rank[names] = np.arange(len(names))
+        order = np.argsort(rank[bucket], kind="stable")
+        total[names] += _group_sums(np.vstack([covering, ends]), source[order], often[names])
         waiting.clear()
 
     for x in buckets_of(texts):
@@ -217,6 +228,19 @@ class Searcher:
         self.counts = np.zeros((len(known), len(items)), np.float32)
         for k, b in enumerate(buckets):
             np.add.at(self.counts[:, k], self.column[b], 1)
+        # the most frequent words of an item, less than LCS of it, are not enough: of the others a chunk holds ``rest`` or more
+        postings, self.rest = [np.zeros((3, 0))], np.full(len(items), np.inf)
+        for k, b in enumerate(buckets):
+            cells, times = np.unique(b, return_counts=True)
+            order = np.argsort(idf[cells], kind="stable")
+            light = np.cumsum(times[order]) <= LIGHT * self.needed[k]
+            if len(cells):
+                self.rest[k] = self.needed[k] - times[order][light].sum()
+                rare = order[~light]
+                postings.append(np.array([self.column[cells[rare]], np.full(len(rare), k), times[rare]]))
+        column, self.holder, self.times = np.concatenate(postings, axis=1)[:, np.argsort(np.concatenate(postings, axis=1)[0], kind="stable")]
+        self.holder = self.holder.astype(np.int64)
+        self.first = np.searchsorted(column, np.arange(len(known) + 2))
         self.space = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]))]).astype(np.float32)
         self.shapes = []
         for b in buckets:
@@ -264,11 +288,12 @@ class Searcher:
         out: dict[tuple[int, int], list[int]] = {}
 
         def close() -> None:
-            present = np.zeros((len(cells), len(self.counts) + 1), np.float32)
-            for row, c in enumerate(cells):
-                present[row, c] = 1
+            some = self.hopeful(cells)
+            present = np.zeros((len(some), len(self.counts) + 1), np.float32)
+            for row, k in enumerate(some):
+                present[row, cells[k]] = 1
             rows, found = np.nonzero(present[:, :-1] @ self.counts >= self.needed)
-            for row, j in zip(rows.tolist(), found.tolist(), strict=True):
+            for row, j in zip(some[rows].tolist(), found.tolist(), strict=True):
                 out.setdefault((owner[row], j), []).append(first[row])
             for x in owner, first, cells:
                 x.clear()
@@ -284,6 +309,20 @@ class Searcher:
         close()
         return out
 
+    def hopeful(self, cells: list[np.ndarray]) -> np.ndarray:
+        """The chunks that hold enough of an item's rarer words; a word that a chunk repeats counts each time."""
+        flat = np.concatenate([*cells, np.zeros(0, np.int64)])
+        many = self.first[flat + 1] - self.first[flat]
+        held = np.flatnonzero(many)
+        many = many[held]
+        size = len(cells) * len(self.rest)
+        if many.sum() > 2 * size:  # no words are rare enough
+            return np.arange(len(cells))
+        chunk = np.repeat(np.arange(len(cells)), [len(c) for c in cells])[held]
+        at = np.arange(many.sum()) + np.repeat(self.first[flat[held]] - np.cumsum(many) + many, many)
+        hits = np.bincount(np.repeat(chunk, many) * len(self.rest) + self.holder[at], self.times[at], size)
+        return np.flatnonzero((hits.reshape(len(cells), -1) >= self.rest).any(axis=1))
+
     def region(self, n_words: int, j: int, place: int) -> tuple[int, int]:
         """The words that the exact check of an item at a place takes; slack on both sides is rounded out, so near places share it."""
         n = len(self.words[j])

@@ -297,6 +297,41 @@ def test_one_latent_space(spark, sf_dir, texts, small_docs, monkeypatch):
     assert len(whole) >= items.count() and blocks == pytest.approx(whole, abs=1e-3)
 
 
+def test_rare_words_before_the_product(spark, sf_dir, small_docs):
+    """The bound on rare words spares most chunks the product with all items and changes nothing that is found."""
+    import numpy as np
+    from incidentlake.llm.hashing import PLAIN, word_hashes
+    d = decontamination
+    rng = np.random.default_rng(2)
+    items = [(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()] + [(-1, "one"), (-2, ""), (-3, "a a a b"), (-4, "a a a b")]
+    some = [t for _, t in small_docs] + [None, "", "one", "a b a a", "a " * 900, *[" ".join(rng.permutation(t.split())) for _, t in items[:50]]]
+    some += [f"{some[k]} {t}" for k, (_, t) in enumerate(items)]
+    words = list(word_hashes(some, PLAIN))
+    seen = np.bincount(np.concatenate([np.unique(b) for b in d.buckets_of(some)]), minlength=d.BUCKETS)
+    searcher = d.Searcher(items, np.log((len(some) + 1) / (seen + 1)), rng.standard_normal((d.BUCKETS, d.RANK)))
+    found = searcher.possible(words)
+    left = []
+    searcher.hopeful = lambda cells: left.append(len(cells)) or np.arange(len(cells))
+    assert searcher.possible(words) == found and len(found) >= len(items)
+    # prose of frequent words with a word of an item in each chunk
+    items = [(k, " ".join(f"f{j} r{k}x{j}" for j in range(25))) for k in range(20)]
+    prose = [" ".join(f"f{rng.integers(25)}" for _ in range(150)) + f" r{k % 20}x{k % 25}" for k in range(200)]
+    seen = np.bincount(np.concatenate([np.unique(b) for b in d.buckets_of(prose)]), minlength=d.BUCKETS)
+    searcher = d.Searcher(items, np.log(201 / (seen + 1)), rng.standard_normal((d.BUCKETS, d.RANK)))
+    cells = [searcher.column[b] for b in d.buckets_of([*prose, *[t for _, t in items]])]
+    assert searcher.hopeful(cells).tolist() == list(range(200, 220))
+
+
+def test_group_sums():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows, counts = rng.random((50, 4)).astype(np.float32), np.array([200, 40, 32, 31, 5, 5, 1, 1, 1])
+    source = rng.integers(0, 50, counts.sum())
+    wanted = np.add.reduceat(rows[source].astype(np.float64), np.cumsum(counts) - counts, axis=0)
+    assert np.allclose(decontamination._group_sums(rows, source, counts), wanted, rtol=1e-5)
+    assert np.array_equal(decontamination._group_sums(rows, source[:3], np.ones(3, np.int64)), rows[source[:3]])
+
+
 def test_keep_one(texts):
     base = [f"w{k}" for k in range(60)]
     rows = [(5, " ".join(base), "a"), (3, " ".join(base[:-1] + ["x"]), "b"), (9, " ".join(base), "c"), (9, " ".join(base), "c"), (None, " ".join(base), "d"), (7, "other text", "e"), (8, "", "f"), (8, "", "f"), (6, None, "g")]
