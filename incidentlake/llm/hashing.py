@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -53,7 +53,7 @@ def word_hash(word: bytes) -> int:
     return int(mixed(np.array([(total + len(word)) % (1 << 64)], np.uint64))[0])
 
 
-def word_hashes(texts: list[str | None], table: bytes | None = None) -> Iterator[np.ndarray]:
+def word_hashes(texts: Iterable[str | None], table: bytes | None = None) -> Iterator[np.ndarray]:
     """Of each text, the hashes of its words in order; A-Z count as a-z, words stand between white space.
 
     ``table`` (as for ``bytes.translate``) may turn more bytes into spaces.

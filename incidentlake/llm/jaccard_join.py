@@ -27,10 +27,11 @@ other as the name of its component. Texts are whole at any length; an empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,7 +47,7 @@ LONG = 64  # entries of a list that meet before bitmaps are looked at
 PARTNERS = 64  # texts that meet the text of a set in one group
 
 
-def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None], words: int) -> Iterator[np.ndarray]:
     """The distinct shingle hashes of each text, sorted."""
     for hashes in word_hashes(texts):
         n = len(hashes)
@@ -99,9 +100,13 @@ class Threshold:
         """Sizes in ranges of the factor 1 / t; never falling with the size."""
         return f"cast(floor(ln({n}) / ln({self.den / self.num}D)) as int)"
 
+    def last(self, n: str) -> str:
+        """The block of the largest set that may be linked with one of this size."""
+        return self.block(f"(cast({n} as bigint) * {self.den} div {self.num})")
+
     def reach(self, n: str) -> str:
         """The blocks of the sets of this size or more that may be linked with it."""
-        return f"sequence({self.block(n)}, {self.block(f'(cast({n} as bigint) * {self.den} div {self.num})')})"
+        return f"sequence({self.block(n)}, {self.last(n)})"
 
     def first_common(self, n: str, pos: str, m: str, at: str) -> Column:
         """A token at these places can be the first that linked sets have in common."""
@@ -111,10 +116,6 @@ class Threshold:
         """A token at this place of a set can be the first that it has in common with a linked set, whatever the other's size."""
         return F.expr(f"{self.den} * (n - pos) >= {self.num} * n")
 
-    def hopeless(self, count: str, low: str, high: str) -> str:
-        """A list of two sets whose sizes rule a link out."""
-        return f"({count} = 2 and {self.num} * {high} > {self.den} * {low})"
-
     def near(self, a: str, n: str, b: str, m: str) -> Column:
         """Bitmaps differ in no more places than linked sets do."""
         return F.expr(f"{_distance(a, b)} <= {n} + {m} - 2 * {self.overlap(n, m)}")
@@ -127,6 +128,7 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t
     """(a, b, common, n, m, linked) of pairs of sets, from their texts.
 
     The texts of all partners of a set meet the set's own in groups of at most about PARTNERS; they stream past it, one text at a time.
+    Texts are sent compressed.
     """
     pairs = cut(pairs)
     named = pairs.join(nodes.selectExpr("node as a", "row_key as ra"), "a").join(nodes.selectExpr("node as b", "row_key as rb"), "b")
@@ -134,14 +136,25 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t
     named = cut(named.join(groups, "a").selectExpr("a", "b", "ra", "rb", "pmod(xxhash64(b), parts) as part"))
     asked = cut(named.selectExpr("rb as row_key", "a", "part", "b", "1 as turn").union(named.selectExpr("ra", "a", "part", "a", "0").distinct()))
     asked = F.broadcast(asked) if asked.count() <= BROADCAST_KEYS // 4 else asked
+    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in taken(frames):
+            raw = [(x or "").encode() for x in frame["text"]]
+            frame["size"], frame["text"] = [len(x) for x in raw], [pa.compress(x, codec="zstd", asbytes=True) for x in raw]
+            yield frame[["a", "part", "b", "turn", "size", "text"]]
+
     met = rows.select("row_key", "text").join(asked, "row_key").drop("row_key") \
+        .mapInPandas(packed, "a bigint, part bigint, b bigint, turn int, size bigint, text binary") \
         .repartition("a", "part").sortWithinPartitions("a", "part", "turn", "b")  # a set, then its partners
 
+    def texts(frame: pd.DataFrame) -> Iterator[str]:
+        for raw, size in zip(frame["text"], frame["size"].tolist(), strict=True):
+            yield pa.decompress(raw, size, "zstd", asbytes=True).decode()
+
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, own, last = None, np.zeros(0, np.uint64), None
         for frame in taken(frames):
             out = []
-            for a, part, b, turn, tokens in zip(*[frame[c].tolist() for c in ("a", "part", "b", "turn")], shingle_sets(list(frame["text"]), words), strict=True):
+            for a, part, b, turn, tokens in zip(*[frame[c].tolist() for c in ("a", "part", "b", "turn")], shingle_sets(texts(frame), words), strict=True):
                 if not turn:
                     group, own, last = (a, part), tokens, None
                 elif (a, part) != group:
@@ -160,14 +173,21 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, t
 def _mixed(entries: DataFrame, t: Threshold) -> DataFrame:
     """The entries that share a list with an entry of another label and a size that allows a link.
 
-    A list is cut in blocks by size. An entry reports its label to the blocks of the larger sets it may be linked with, and a block
-    with several labels keeps its own entries and those of the blocks below that reach it.
+    A list is cut in blocks by size. Linked sets stand in one block or the larger one in a block that the smaller one reaches, which is the next or,
+    by a logarithm that is rounded, the one behind it. The entries are shuffled once; in its list each looks at the labels of the blocks it
+    reaches and of those below that reach it.
     """
-    several = entries.select("token", "label", F.expr(f"explode({t.reach('n')}) as block")).groupBy("token", "block").agg(
-        F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    # one block below by the sizes, one more for a logarithm that is rounded down
-    kept = several.select("token", F.expr("explode(array(block, block - 1, block - 2)) as block")).distinct()
-    return entries.withColumn("block", F.expr(t.block("n"))).join(kept, ["token", "block"], "left_semi").drop("block")
+    def found(low: int, high: int, of: str = "label", when: str = "true") -> str:
+        frame = f"over (partition by token order by block range between {_bound(low)} and {_bound(high)})"
+        return f"{when} and (min({of}) {frame} < label or max({of}) {frame} > label)"
+
+    placed = entries.selectExpr("*", f"{t.block('n')} as block", f"{t.last('n')} - {t.block('n')} as steps")
+    others = [found(0, 0)] + [found(k, k, when=f"steps >= {k}") for k in (1, 2)] + [found(-k, -k, f"if(steps >= {k}, label, null)") for k in (1, 2)]
+    return placed.withColumn("mixed", F.expr(" or ".join(f"coalesce({x}, false)" for x in others))).filter("mixed").drop("block", "steps", "mixed")
+
+
+def _bound(k: int) -> str:
+    return "current row" if not k else f"{abs(k)} {'preceding' if k < 0 else 'following'}"
 
 
 def _hooked(links: DataFrame) -> DataFrame:
@@ -232,8 +252,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # most tokens have one set: whether there are more is found from two numbers a token
     several = entries.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y").select("token")
     shared = cut(narrowed(entries, several, "token").groupBy("token", "node", "n", "pos").agg(F.lit(1).alias("one")).drop("one"))
-    lists = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("p"), F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
-    ).filter(f"not {t.hopeless('size', 'low', 'high')}").select("token", "p")
+    lists = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("p"))
 
     votes = shared.join(lists, "token").filter("node <> p.node").filter(t.possible("n", "pos", "p.n", "p.pos")) \
         .groupBy("node", "n", F.expr("p.node as pivot"), F.expr("p.n as m")).agg(F.count("*").alias("common")) \

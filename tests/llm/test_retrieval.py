@@ -332,6 +332,30 @@ def test_group_sums():
     assert np.array_equal(decontamination._group_sums(rows, source[:3], np.ones(3, np.int64)), rows[source[:3]])
 
 
+def test_mixed_lists(spark):
+    """The entries that may have a partner stay, and one shuffle finds them."""
+    import random
+    random.seed(4)
+    t = jaccard_join.Threshold(90, 100)
+    rows = [(random.randrange(60), k, random.choice([1, 2, 9, 10, 11, 17, 19, 20, 40, 44, 45, 50, 1000, 1111, 1112]), 0, random.randrange(3)) for k in range(300)]
+    rows += [(99, 1000 + k, 30, 0, 7) for k in range(50)] + [(98, 2000, 30, 0, 1), (98, 2001, 34, 0, 2)]
+    entries = spark.createDataFrame(rows, "token bigint, node bigint, n int, pos int, label bigint")
+    left = {r.node for r in jaccard_join._mixed(entries, t).collect()}
+    place = {n: (b, e) for n, b, e in spark.createDataFrame([(r[2],) for r in rows], "n int").distinct().selectExpr("n", t.block("n"), t.last("n")).collect()}
+
+    def met(a, b):
+        low, high = sorted([place[a[2]], place[b[2]]])
+        return a[0] == b[0] and a[4] != b[4] and low[0] <= high[0] <= low[1]
+    assert left == {a[1] for a in rows if any(met(a, b) for b in rows)} and 0 < len(left) < 300
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and a[4] != b[4] and 90 * max(a[2], b[2]) <= 100 * min(a[2], b[2]):
+                assert {a[1], b[1]} <= left
+    plan = jaccard_join._mixed(entries, t)._jdf.queryExecution().sparkPlan().toString()
+    prepared = jaccard_join._mixed(entries, t)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and prepared.count("Exchange") == 1
+
+
 def test_keep_one(texts):
     base = [f"w{k}" for k in range(60)]
     rows = [(5, " ".join(base), "a"), (3, " ".join(base[:-1] + ["x"]), "b"), (9, " ".join(base), "c"), (9, " ".join(base), "c"), (None, " ".join(base), "d"), (7, "other text", "e"), (8, "", "f"), (8, "", "f"), (6, None, "g")]
