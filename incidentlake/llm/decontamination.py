@@ -38,7 +38,6 @@ from .hashing import PLAIN, word_hashes
 BUCKETS = 1 << 15
 RANK, EXTRA = 48, 12
 FIT_WORDS = 1 << 13  # words whose windows are summed at a time
-LARGE = 32  # rows of a group that are summed by itself
 WINDOW, STRIDE = 12, 4
 COSINE, LCS, ANSWER = 0.7, 0.7, 0.6
 CHUNK = 64  # words between the starts of chunks
@@ -75,15 +74,17 @@ def _parts(buckets: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _group_sums(rows: np.ndarray, source: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sums of groups of rows: group k takes the next ``counts[k]`` of the row numbers in ``source``; larger groups come first."""
-    start = np.cumsum(counts) - counts
-    out = rows.take(source[start], axis=0)
-    large = int(np.searchsorted(-counts, -LARGE))
-    for k in range(large):
-        out[k] = rows.take(source[start[k]:start[k] + counts[k]], axis=0).sum(axis=0)
-    for k in range(1, int(counts[large:].max(initial=0))):  # the next row of every group that has one
-        more = int(np.searchsorted(-counts, -k))
-        out[large:more] += rows.take(source[start[large:more] + k], axis=0)
+    """Sums of groups of rows, whose numbers stand together in ``source``; the last row is zero and fills groups up to a power of two. Neighbours are added in rounds."""
+    start, rounds = np.cumsum(counts) - counts, np.frexp(counts - 1)[1]
+    out = np.zeros((len(counts), rows.shape[1]), rows.dtype)
+    for k in np.unique(rounds).tolist():
+        at = np.flatnonzero(rounds == k)
+        place = np.arange(1 << k)
+        inside = place < counts[at, None]
+        x = rows.take(np.where(inside, source[np.where(inside, start[at, None] + place, 0)], len(rows) - 1).ravel(), axis=0)
+        for _ in range(k):
+            x = x[::2] + x[1::2]
+        out[at] = x
     return out
 
 
@@ -120,11 +121,8 @@ def gram_product(texts: list[str | None], padded: np.ndarray, total: np.ndarray)
         source = np.concatenate([at // STRIDE, len(covering) + np.nonzero(inside)[0]])
         often = np.bincount(bucket, minlength=BUCKETS)
         names = np.flatnonzero(often)
-        names = names[np.argsort(-often[names], kind="stable")]
-        rank = np.zeros(BUCKETS, np.uint16)
-        rank[names] = np.arange(len(names))
-        order = np.argsort(rank[bucket], kind="stable")
-        total[names] += _group_sums(np.vstack([covering, ends]), source[order], often[names])
+        order = np.argsort(bucket.astype(np.uint16), kind="stable")
+        total[names] += _group_sums(np.vstack([covering, ends, np.zeros_like(ends[:1])]), source[order], often[names])
         waiting.clear()
 
     for x in buckets_of(texts):

@@ -325,7 +325,7 @@ def test_rare_words_before_the_product(spark, sf_dir, small_docs):
 def test_group_sums():
     import numpy as np
     rng = np.random.default_rng(3)
-    rows, counts = rng.random((50, 4)).astype(np.float32), np.array([200, 40, 32, 31, 5, 5, 1, 1, 1])
+    rows, counts = np.vstack([rng.random((50, 4)), np.zeros((1, 4))]).astype(np.float32), np.array([1, 200, 5, 40, 32, 1, 31, 5, 2])
     source = rng.integers(0, 50, counts.sum())
     wanted = np.add.reduceat(rows[source].astype(np.float64), np.cumsum(counts) - counts, axis=0)
     assert np.allclose(decontamination._group_sums(rows, source, counts), wanted, rtol=1e-5)
