@@ -319,7 +319,7 @@ class Searcher:
         chunk = np.repeat(np.arange(len(cells)), [len(c) for c in cells])[held]
         at = np.arange(many.sum()) + np.repeat(self.first[flat[held]] - np.cumsum(many) + many, many)
         hits = np.bincount(np.repeat(chunk, many) * len(self.rest) + self.holder[at], self.times[at], size)
-        return np.flatnonzero((hits.reshape(len(cells), -1) >= self.rest).any(axis=1))
+        return np.flatnonzero((hits.reshape(len(cells), len(self.rest)) >= self.rest).any(axis=1))  # also of no chunks
 
     def region(self, n_words: int, j: int, place: int) -> tuple[int, int]:
         """The words that the exact check of an item at a place takes; slack on both sides is rounded out, so near places share it."""

@@ -322,6 +322,17 @@ def test_rare_words_before_the_product(spark, sf_dir, small_docs):
     assert searcher.hopeful(cells).tolist() == list(range(200, 220))
 
 
+def test_no_chunks_left():
+    """Batches of texts without words, and batches whose last block of chunks is full."""
+    import numpy as np
+    d = decontamination
+    item = " ".join(f"w{k}" for k in range(20))
+    searcher = d.Searcher([(7, item), (8, "")], np.ones(d.BUCKETS), np.random.default_rng(4).standard_normal((d.BUCKETS, d.RANK)))
+    for some in ([], [None, "", " ,"], ["x"] * 1024, ["x"] * 2048):
+        assert searcher.search(some) == []
+    assert [f[:2] for f in searcher.search(["x"] * 1023 + [f"x {item}"])] == [(1023, 7)]
+
+
 def test_group_sums():
     import numpy as np
     rng = np.random.default_rng(3)
