@@ -333,6 +333,12 @@ def test_no_chunks_left():
     assert [f[:2] for f in searcher.search(["x"] * 1023 + [f"x {item}"])] == [(1023, 7)]
 
 
+def test_blank_documents_pass_stage_four(spark, sf_dir):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(1, " ", "en", "s", 1), (2, None, "en", "s", None)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r.doc_id for r in corpus_pipeline.decontamination_stage(spark, docs.coalesce(1), sf_dir).collect()) == [1, 2]
+
+
 def test_group_sums():
     import numpy as np
     rng = np.random.default_rng(3)
