@@ -38,6 +38,10 @@ SIGN = "_sign"
 COUNTED = ("primary_type", "crime_timestamp", "district", "latitude", "longitude")
 #: Of the files of a table: silver rows hold their JSON text beside its fields, which zstd halves.
 CODEC = "zstd"
+#: Bytes of row groups that the open files of a task buffer together.
+BUFFERED = 64 << 20
+#: Of each open file: a column that repeats little gives its dictionary up after the first page, so pages are short.
+PAGES = {"parquet.page.row.count.limit": "2000", "parquet.dictionary.page.size": str(256 << 10)}
 DONE = "_SUCCESS"
 
 
@@ -98,8 +102,9 @@ def _unsorted_writes(spark: SparkSession, buckets: int) -> Iterator[None]:
 
 def _write_buckets(spark: SparkSession, table: Bucketed, rows: DataFrame, path: str, **options: str) -> None:
     """Rows to the folders of their buckets. Tasks read whole splits of files, so a bucket gets at most a file a split."""
+    bounds = {"parquet.block.size": str(max(BUFFERED // table.buckets, 1 << 20)), **PAGES}
     with _unsorted_writes(spark, table.buckets):
-        rows.write.mode("overwrite").options(compression=CODEC, **options).partitionBy("bucket").parquet(path)
+        rows.write.mode("overwrite").options(compression=CODEC, **bounds, **options).partitionBy("bucket").parquet(path)
 
 
 def _changes(spark: SparkSession, table: Bucketed, new: DataFrame) -> DataFrame:

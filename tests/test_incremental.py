@@ -165,6 +165,39 @@ def test_streamed_silver(spark, bronze_of, tmp_path):
     assert len(totals) >= 20
 
 
+def test_stream_keeps_state_off_the_heap(spark, bronze_of, tmp_path):
+    """The state lies in RocksDB, nothing of a batch stays cached or in the table's folder, and the session is as it was."""
+    bronze, table = str(tmp_path / "bronze"), Bucketed(str(tmp_path / "silver"), buckets=4)
+    bronze_of(DELIVERIES[0]).write.parquet(bronze)
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    query = refine_stream(spark, bronze, table, str(tmp_path / "checkpoint"))
+    state = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+    assert state and all("rocksdbSstFileSize" in s for s in state)
+    assert spark.conf.get(name) == before and not os.listdir(f"{table.root}/taken")
+    assert_as_rebuilt(spark, table, bronze_of(DELIVERIES[0]))
+    given = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(name, given)  # what the session names counts
+    try:
+        query = refine_stream(spark, bronze, Bucketed(str(tmp_path / "other"), buckets=4), str(tmp_path / "second"))
+        assert not any("rocksdbSstFileSize" in p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"])
+        assert spark.conf.get(name) == given
+    finally:
+        spark.conf.unset(name)
+
+
+def test_open_files_buffer_little(spark, tmp_path, monkeypatch):
+    """Row groups get smaller the more buckets a task writes at once."""
+    pq = pytest.importorskip("pyarrow.parquet")
+    monkeypatch.setattr(incremental, "BUFFERED", 4 << 20)
+    table = Bucketed(str(tmp_path / "silver"), buckets=4)
+    rows = spark.range(0, 200_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 512).alias("crime_id")).withColumn("bucket", table.bucket())
+    incremental._write_buckets(spark, table, rows, table.rows)
+    groups = [pq.ParquetFile(f).metadata for f in files(table.rows)]
+    assert len(groups) == 4 and all(g.num_row_groups > 1 for g in groups)
+    assert sum(g.num_rows for g in groups) == 200_000
+
+
 def test_increment_shuffles_rows_once(spark, bronze_of, tmp_path, monkeypatch):
     """Whole rows are dealt out once, to find the first of each key; buckets are staged and published without a shuffle."""
     table = Bucketed(str(tmp_path / "silver"), buckets=4)
